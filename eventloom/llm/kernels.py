@@ -134,11 +134,8 @@ def combine(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out + U64(n))
 
 
-def window_hashes(hashes: np.ndarray, n: int, which: int = 0) -> np.ndarray:
-    """As `combine`, at a cost that doesn't grow with n (prefix sums)."""
-    if len(hashes) < n:
-        return np.zeros(0, U64)
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A hash of the hashes in each range, at a cost that doesn't grow with the ranges (prefix sums)."""
     cum = np.zeros(len(hashes) + 1, U64)
     np.cumsum(hashes * _power(which, len(hashes)), out=cum[1:])
-    m = len(hashes) - n + 1
-    return mix((cum[n:] - cum[:-n]) * _power(which, m, True) + U64(n))
+    return mix((cum[ends] - cum[starts]) * _power(which, len(hashes) + 1, True)[starts] + (ends - starts).astype(U64))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventloom.llm import bpe, fingerprint, repetition, shards
+from eventloom.llm import bpe, fingerprint, lines, near, recompress, repetition, shards
 from eventloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +35,26 @@ def op4_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.jaccard_components(read(spark, sf_dir, "documents"), near.Jaccard(words=4, percent=85))
+
+
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.drop_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), window=50).drop("text")
+
+
 def op9_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(read(spark, sf_dir, "documents"))
 
 
+def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines on 5 of the 20 sites or more go, but for their first document."""
+    out = lines.spread_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(text_bytes(), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op4_best_fit_shards, op9_piecewise_hash)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op4_best_fit_shards, op5_grouped_prefix_join, op8_recompression, op9_piecewise_hash, op10_line_spread)}
 
 
 def oracle_sql() -> dict[str, str]:
