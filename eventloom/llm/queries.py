@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventloom.llm import bpe, fingerprint, lines, near, recompress, repetition, shards
-from eventloom.llm.tables import read
+from eventloom.llm import bpe, fingerprint, lines, near, packing, recompress, repetition, shards, store
+from eventloom.llm.tables import read, scratch_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,18 @@ def op5_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.jaccard_components(read(spark, sf_dir, "documents"), near.Jaccard(words=4, percent=85))
 
 
+def op6_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=1, capacity=2048)
+    pieces = written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+    return packing.pack(pieces, capacity=2048)
+
+
+def op7_content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark)
+    store.write_store(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return store.read_digests(spark, path)
+
+
 def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.drop_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), window=50).drop("text")
 
@@ -54,7 +66,7 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op4_best_fit_shards, op5_grouped_prefix_join, op8_recompression, op9_piecewise_hash, op10_line_spread)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op4_best_fit_shards, op5_grouped_prefix_join, op6_cutting_stock, op7_content_store, op8_recompression, op9_piecewise_hash, op10_line_spread)}
 
 
 def oracle_sql() -> dict[str, str]:
