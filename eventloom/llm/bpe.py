@@ -21,54 +21,7 @@ UNIT = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
 #: Units and pre-tokens kept with their ids in each Python worker (the first ones met: the frequent
 #: ones are among them), and the longest one kept.
-CACHE_UNITS, CACHE_TOKENS, CACHE_CHARS = 500_000, 1_000_000, 48
-
-
-class RankQueue:
-    """Least rank first over a fixed range of ranks: a bitmap of non-empty ranks in 256-way levels.
-
-    Each rank's bucket lists positions.  Find-first-set over the levels gives the least rank in
-    as many steps as there are levels (2 for 50,000 ranks), whatever the queue holds.
-    """
-
-    def __init__(self, size: int):
-        self.levels = []
-        while True:
-            size = (size + 255) >> 8
-            self.levels.append([0] * size)
-            if size == 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            word, bit = rank >> 8, 1 << (rank & 255)
-            had, level[word] = level[word], level[word] | bit
-            if had:
-                return
-            rank = word
-
-    def pop(self) -> tuple[int, list[int]] | None:
-        """The least rank with all its positions, in the order of their arrival."""
-        if not self.levels[-1][0]:
-            return None
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            rank = (rank << 8) | ((word & -word).bit_length() - 1)
-        at = rank
-        for level in self.levels:
-            word = at >> 8
-            level[word] &= ~(1 << (at & 255))
-            if level[word]:
-                break
-            at = word
-        return rank, self.buckets.pop(rank)
+CACHE_UNITS, CACHE_TOKENS, CACHE_CHARS = 250_000, 600_000, 48
 
 
 class Bpe:
@@ -76,62 +29,93 @@ class Bpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pieces = {i: b for b, i in ranks.items()}
+        self.pieces = [b""] * (max(ranks.values()) + 1)
+        for b, i in ranks.items():
+            self.pieces[i] = b
+        self.pairs = [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
         self.pattern = regex.compile(pattern)
-        self.queue = RankQueue(max(ranks.values()) + 1)
         self.by_unit: dict[str, bytes] = {}
         self.by_token: dict[str, bytes] = {}
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token.
 
-        A linked list holds the parts; an entry (rank, left part) is stale, and skipped, when the parts
-        that now stand there would merge under another rank or the left part is gone.  All entries of the
-        least rank are taken left to right, as repeated scanning for the least rank would take them: a
-        merge can only add pairs that hold the new part, and those of the same rank come after.
+        The queue: `bucket` has, for each rank, the positions (left parts of a pair) that may merge under
+        it; a bitmap of the ranks with a bucket stands in words of 256 bits, `words`, and `top` has a bit
+        for each word in use.  Find-first-set on `top`, then on the word, is the least rank, whatever the
+        queue holds.  A linked list (`ends`, `before`) holds the parts.  An entry is stale, and skipped,
+        when the pair that now begins there has another rank or nothing begins there.  All entries of the
+        least rank are taken left to right, as repeated scanning would take them; where a merge gives a
+        pair of lower rank, what is left of the bucket goes back to the queue.  `now` has the rank of the
+        pair that begins at each position, -1 for none.
         """
-        ranks = self.ranks
-        whole = ranks.get(token)
+        rank_of = self.ranks.get
+        whole = rank_of(token)
         if whole is not None:
             return [whole]
         n = len(token)
-        ends = list(range(1, n + 1))  # end of the part that begins here; 0 where none begins
+        ends = list(range(1, n + 1))  # end of the part that begins here
         before = list(range(-1, n - 1))
-        queue = self.queue
-        for i in range(n - 1):
-            rank = ranks.get(token[i : i + 2])
-            if rank is not None:
-                queue.push(rank, i)
-        while (least := queue.pop()) is not None:
-            rank, positions = least
-            positions.sort()
-            for k, i in enumerate(positions):
-                mid = ends[i]
-                if not mid or mid >= n or ranks.get(token[i : ends[mid]]) != rank:
+        pairs = self.pairs
+        now = [pairs[a][b] for a, b in zip(token, token[1:])]  # noqa: B905
+        now.append(-1)
+        bucket: dict[int, list[int]] = {}
+        words: dict[int, int] = {}
+        top = 0
+        fresh = [i for i in range(n - 1) if now[i] >= 0]
+        while True:
+            for i in fresh:
+                r = now[i]
+                if r < 0:
                     continue
-                end = ends[mid]
-                ends[i], ends[mid] = end, 0
+                if r in bucket:
+                    bucket[r].append(i)
+                else:
+                    bucket[r] = [i]
+                    w = r >> 8
+                    words[w] = words.get(w, 0) | 1 << (r & 255)
+                    top |= 1 << w
+            if not top:
+                break
+            w = (top & -top).bit_length() - 1
+            bits = words[w]
+            rank = w << 8 | (bits & -bits).bit_length() - 1
+            bits &= bits - 1
+            words[w] = bits
+            if not bits:
+                top &= top - 1
+            positions = bucket.pop(rank)
+            if len(positions) > 1:
+                positions.sort()
+            fresh = []
+            lower = False
+            for i in positions:
+                if now[i] != rank:
+                    continue
+                if lower:
+                    fresh.append(i)
+                    continue
+                mid = ends[i]
+                ends[i] = end = ends[mid]
+                now[mid] = -1
                 if end < n:
                     before[end] = i
-                    new = ranks.get(token[i : ends[end]])
-                    if new is not None:
-                        queue.push(new, i)
+                    now[i] = new = rank_of(token[i : ends[end]], -1)
+                    if new >= 0:
+                        fresh.append(i)
+                        lower = new < rank
+                else:
+                    now[i] = -1
                 left = before[i]
                 if left >= 0:
-                    new = ranks.get(token[left:end])
-                    if new is not None:
-                        queue.push(new, left)
-                        if new < rank and k + 1 < len(positions):  # a lower rank comes first
-                            for j in positions[k + 1 :]:
-                                queue.push(rank, j)
-                            break
-                if end < n and k + 1 < len(positions) and (low := ranks.get(token[i : ends[end]])) is not None and low < rank:
-                    for j in positions[k + 1 :]:
-                        queue.push(rank, j)
-                    break
+                    now[left] = new = rank_of(token[left:end], -1)
+                    if new >= 0:
+                        fresh.append(left)
+                        if new < rank:
+                            lower = True
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[token[i : ends[i]]])
+            ids.append(rank_of(token[i : ends[i]]))
             i = ends[i]
         return ids
 
@@ -155,7 +139,7 @@ class Bpe:
         return b"".join([known(u) or other(u) for u in UNIT.findall(text)])
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I")))
+        return b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
