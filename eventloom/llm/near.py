@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,10 +18,14 @@ from eventloom.llm.tables import written
 
 @dataclass(frozen=True)
 class Jaccard:
-    """Shingles of `words` words; sets link when 100 * intersection >= percent * union."""
+    """Shingles of `words` words; sets link when 100 * intersection >= percent * union.
+
+    `overlap`: prefixes are so long that linked sets share this many shingles in them (or half of what
+    may differ, if that is more; or all that they must share, if that is less)."""
 
     words: int = 5
     percent: int = 80
+    overlap: int = 48
 
     def least(self, n: np.ndarray) -> np.ndarray:
         """The least intersection of a set of n with one that it links with, and its least size."""
@@ -27,7 +33,7 @@ class Jaccard:
 
     def shared(self, n: np.ndarray) -> np.ndarray:
         """How many shingles the prefixes of a set of n must share at least with those of a set as large."""
-        return np.minimum((n - self.least(n)) // 2 + 1, self.least(n))
+        return np.minimum(np.maximum((n - self.least(n)) // 2 + 1, self.overlap), self.least(n))
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
         """Prefix lengths.  If sets x, y link, they have least(x) shingles in common at least, so the
@@ -51,6 +57,21 @@ def shingle_sets(texts: K.Texts, words: int) -> Iterator[np.ndarray]:
             yield K.combine(h[a:z], int(z - a)) if z > a else np.zeros(0, np.uint64)
 
 
+#: Bits of a set's parity map; rounds of stars.
+PARITY_WORDS, STARS = 16, 2
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Which of 64 * PARITY_WORDS buckets an odd number of shingles falls in.  Two maps differ in no more
+    bits than their sets have elements in one of them only."""
+    odd = np.bincount((K.mix(shingles) >> np.uint64(54)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _differ(x: str, y: str) -> Column:
+    return functools.reduce(operator.add, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITY_WORDS)])
+
+
 def _least(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
@@ -62,12 +83,12 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
        it in their prefixes; sets with fewer shared ones than any link needs can't link and end here.
        Equal sets go on as one.
     2. Grouped prefix join: the survivors' prefixes, ordered rarest first, shrink again; sets of equal
-       prefix and size form a group.  A star of candidates (each group to the least group that shares a
-       prefix shingle, each member to its group's first) links most of what belongs together.
-    3. Completion: wherever groups that share a prefix shingle still lie in several components, all
-       pairs across components that can link by size are expanded to their members and verified; the
-       largest component of a shingle isn't paired with itself, so a shingle of many copies costs
-       what lies outside of them.
+       prefix and size form a group.  Stars of candidates (each member to its group's first; each group to
+       the likest among one random group of each of its prefix shingles) link most of what belongs together.
+    3. Completion: wherever groups that share a prefix shingle still lie in several components, all pairs
+       across components are filtered, expanded to their members and verified.  The filter is exact:
+       sizes, and parity maps whose differing bits bound the symmetric difference from below.  The
+       largest component of a shingle isn't paired with itself.
 
     Verification counts the intersection of the whole shingle sets.  Hot shingles are counted by partial
     aggregation and joined by sort-merge joins that adaptive execution may split.  Null or empty texts
@@ -94,7 +115,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     kept = entries.select("doc", "h").join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("hs"))
     n = F.col("n")
     smallest = _least(n, percent)
-    needed = F.least(F.floor((smallest - _least(smallest, percent)) / 2) + 1, _least(smallest, percent))
+    needed = F.least(F.greatest(F.floor((smallest - _least(smallest, percent)) / 2) + 1, F.lit(rule.overlap)), _least(smallest, percent))
     kept = kept.join(sets.select("doc", "n", "set"), "doc").withColumn("needed", needed).where(F.size("hs") >= F.col("needed"))
     kept = written(kept.groupBy("set", "n").agg(F.min_by(F.struct("doc", "needed", "hs"), "doc").alias("r")).select("set", "n", "r.*"))
     copies = sets.where("n > 0 and doc is not null").groupBy("set", "n").agg(F.min("doc").alias("first"))
@@ -118,26 +139,38 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
         x, y = texts.select(F.col("doc").alias("a"), F.col(text).alias("ta")), texts.select(F.col("doc").alias("b"), F.col(text).alias("tb"))
         return written(pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(common, "a long, b long"))
 
-    fits = lambda p, q: (F.greatest(p, q) * percent <= F.least(p, q) * 100)
-    buckets = groups.select(F.explode("prefix").alias("h"), "leader", "n")
-    pivots = buckets.groupBy("h").agg(F.min_by(F.struct("leader", "n"), "leader").alias("p"), F.count("*").alias("c")).where("c > 1").select("h", F.col("p.leader").alias("pivot"), F.col("p.n").alias("pn"))
-    star = buckets.join(pivots, "h").where((F.col("leader") != F.col("pivot")) & fits(F.col("n"), F.col("pn"))).groupBy(F.col("leader").alias("b")).agg(F.min("pivot").alias("a"))
-    inside = members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
-    links = verify(star.select("a", "b").union(inside))
-
-    labelled = members.join(components(links).withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    labelled = written(labelled)
-    units = labelled.groupBy("leader", "component", "n").agg(F.min("doc").alias("unit"))
-    rows = written(units.join(groups.select("leader", "prefix"), "leader").select(F.explode("prefix").alias("h"), "leader", "unit", "component", "n"))
-    mixed = rows.groupBy("h", "component").agg(F.count("*").alias("c")).groupBy("h").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("h", "main")
-    split = written(rows.join(mixed, "h"))
-    some = split.where("component <> main").select("h", F.col("unit").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    every = split.select("h", F.col("unit").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), (F.col("component") == F.col("main")).alias("mb"))
-    across = some.join(every, "h").where((F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb")) & (F.col("mb") | (F.col("ua") < F.col("ub"))))
-    across = across.select(F.least("ua", "ub").alias("ua"), F.greatest("ua", "ub").alias("ub")).distinct()
-    of_unit = labelled.join(units, ["leader", "component", "n"]).select("unit", "doc")
-    expanded = across.join(of_unit.select(F.col("unit").alias("ua"), F.col("doc").alias("a")), "ua").join(of_unit.select(F.col("unit").alias("ub"), F.col("doc").alias("b")), "ub")
-    links = links.union(verify(expanded.select("a", "b")))
+    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [parity(x) for part in K.blocks(batch.column(1)) for x in shingle_sets(part, rule.words)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], ["doc", "bits"])
+
+    def may_link(p: str, q: str, m: str, n: str) -> Column:
+        """For sizes m, n and parity maps p, q."""
+        m, n = F.col(m), F.col(n)
+        return (F.greatest(m, n) * percent <= F.least(m, n) * 100) & (_differ(p, q) * (100 + percent) <= (m + n) * (100 - percent))
+
+    members = written(members.join(texts.mapInArrow(maps, "doc long, bits array<long>"), "doc"))
+    # Members of a group differ outside of its prefix, so units, not groups, have components and maps.
+    links = verify(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+    for turn in range(STARS + 1):
+        labelled = written(members.join(components(links).withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
+        rows = labelled.join(groups.select("leader", "prefix"), "leader").select(F.explode("prefix").alias("h"), "doc", "component", "n", "bits")
+        mixed = rows.groupBy("h", "component").agg(F.count("*").alias("c")).groupBy("h").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("h", "main")
+        rows = written(rows.join(mixed, "h"))
+        if turn == STARS:
+            break
+        choice = F.xxhash64("h", "doc", F.lit(turn))
+        if turn:
+            choice = F.struct(F.col("component") != F.col("main"), choice)
+        pivots = rows.groupBy("h").agg(F.min_by(F.struct("doc", "component", "n", "bits"), choice).alias("p")).select("h", F.col("p.doc").alias("a"), F.col("p.component").alias("ca"), F.col("p.n").alias("na"), F.col("p.bits").alias("ba"))
+        star = rows.join(pivots, "h").where((F.col("component") != F.col("ca")) & may_link("bits", "ba", "n", "na"))
+        star = star.groupBy(F.col("doc").alias("b")).agg(F.min_by("a", F.struct(_differ("bits", "ba"), "a")).alias("a"))
+        links = links.union(verify(star.select("a", "b")))
+
+    some = rows.where("component <> main").select("h", F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    every = rows.select("h", F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"), (F.col("component") == F.col("main")).alias("mb"))
+    across = some.join(every, "h").where((F.col("ca") != F.col("cb")) & (F.col("mb") | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
+    links = links.union(verify(across.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()))
 
     found = components(links).withColumnRenamed("id", "first")
     of_set = copies.join(found, "first", "left").select("set", "n", F.coalesce("component", "first").alias("component_id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventloom.llm import bpe, fingerprint, lines, near, packing, recompress, repetition, shards, store
+from eventloom.llm import bpe, fingerprint, lines, near, packing, quality, recompress, repetition, shards, store
 from eventloom.llm.tables import read, scratch_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, quality.fit(docs, read(spark, sf_dir, "labels"))).drop("text")
+
+
 def op4_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = text_bytes()
     rows = read(spark, sf_dir, "documents").select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), F.md5(data).alias("text_md5"))
@@ -66,7 +71,7 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op4_best_fit_shards, op5_grouped_prefix_join, op6_cutting_stock, op7_content_store, op8_recompression, op9_piecewise_hash, op10_line_spread)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op3_weak_labels, op4_best_fit_shards, op5_grouped_prefix_join, op6_cutting_stock, op7_content_store, op8_recompression, op9_piecewise_hash, op10_line_spread)}
 
 
 def oracle_sql() -> dict[str, str]:

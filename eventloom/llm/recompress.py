@@ -219,11 +219,17 @@ def drop_repeats(df: DataFrame, window: int = 50, key: str = "doc_id", text: str
                     x = slice(begin[i], begin[i + 1])
                     hit[x] = np.isin(name[x], lists[part.first + i].values.to_numpy().view(np.uint64))
                 start, own = start[hit], own[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[part.first + own]), pa.array((start - first[own]).astype(np.int32)), *_check(words, start, start + window)], ["_doc", "_at", "_a", "_b"])
-
-    seen = written(docs.join(marked, "_doc").select("_doc", "_text", "_names").mapInArrow(windows, "_doc long, _at int, _a long, _b int"))
+                a, b = (x.to_numpy() for x in _check(words, start, start + window))
+                order = np.lexsort((start, b, a, own))
+                start, own, a, b = start[order], own[order], a[order], b[order]
+                new = np.ones(len(own), bool)
+                new[1:] = (own[1:] != own[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                places = pa.ListArray.from_arrays(pa.array(np.append(np.flatnonzero(new), len(own)).astype(np.int32)), pa.array((start - first[own]).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[part.first + own[new]]), pa.array(a[new]), pa.array(b[new]), places], ["_doc", "_a", "_b", "_at"])
+
+    seen = written(docs.join(marked, "_doc").select("_doc", "_text", "_names").mapInArrow(windows, "_doc long, _a long, _b int, _at array<int>"))
     first = seen.groupBy("_a", "_b").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first <> _last").select("_a", "_b", "_first")
-    repeats = seen.join(first, ["_a", "_b"]).where("_first < _doc").select("_doc", F.struct("_at", (F.col("_at") + window).alias("_to")).alias("_span"))
+    repeats = seen.join(first, ["_a", "_b"]).where("_first < _doc").select("_doc", F.explode("_at").alias("_at")).select("_doc", F.struct("_at", (F.col("_at") + window).alias("_to")).alias("_span"))
     gone = again.union(repeats).groupBy("_doc").agg(F.collect_list("_span").alias("_gone"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
