@@ -79,22 +79,21 @@ def align(df: DataFrame, fields: Mapping[str, str], keep_extra: bool = False) ->
     return df.select(*have, *([c for c in df.columns if c not in fields] if keep_extra else []))
 
 
-# Sensors, and spellings that stand for them.
+# Sensors, and spellings that stand for them (upper case, letters and digits only).
 SENSORS = ("S2", "L89", "EMIT", "S5P")
-SENSOR_ALIASES = {"sentinel2": "S2", "sentinel-2": "S2", "landsat": "L89", "l8": "L89", "l9": "L89", "sentinel5p": "S5P", "sentinel-5p": "S5P"}
+SENSOR_ALIASES = {"S2": "S2", "SENTINEL2": "S2", "L8": "L89", "L9": "L89", "L89": "L89", "LANDSAT": "L89", "LANDSAT8": "L89", "LANDSAT9": "L89", "EMIT": "EMIT", "S5P": "S5P", "SENTINEL5P": "S5P"}
 
 
 def sensor_name(c: Column | str) -> Column:
-    """A sensor token's usual spelling."""
-    key = F.lower(trimmed(c))
-    table = {**{s.lower(): s for s in SENSORS}, **SENSOR_ALIASES}
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key], F.upper(trimmed(c)))
+    """A sensor token's usual spelling, null for an unknown one."""
+    key = F.regexp_replace(F.upper(_col(c)), "[^A-Z0-9]", "")
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in SENSOR_ALIASES.items() for x in kv]), key)
 
 
 def sensor_list(c: Column | str) -> Column:
-    """Distinct sensors of a token list (comma, semicolon, pipe or white space between), sorted."""
-    tokens = F.split(F.coalesce(_col(c), F.lit("")), r"[,;|\s]+")
-    return F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: F.trim(t) != ""), sensor_name)))
+    """Distinct known sensors of a token list, sorted."""
+    tokens = F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit("[A-Za-z0-9_-]+"), F.lit(0))
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(tokens, sensor_name))))
 
 
 def sensors_or_paths(c: Column | str, paths: Mapping[str, Sequence[str]]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from eventloom.functions.clean import _col, has_value, null_if_sentinel, safe_double
 
-EARTH_KM = 6371.0088
+EARTH_KM = 6371.0
 
 
 def coordinate_flaw(c: Column | str, limit: float, profile: str = "report") -> Column:
