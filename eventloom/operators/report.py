@@ -94,7 +94,7 @@ def as_json(metrics: DataFrame) -> DataFrame:
 def as_markdown(metrics: DataFrame, issues: DataFrame) -> DataFrame:
     """(place, line) of a report; order by place to print it."""
     head = metrics.sparkSession.createDataFrame([(0, "# Manifest report"), (1, "")], "place long, line string")
-    rows = metrics.select(F.lit(2).cast("long").alias("place"), F.concat(F.lit("- "), F.col("manifest"), F.lit(" "), F.col("metric"), F.lit(": "), F.format_number("value", "0.####")).alias("line"))
+    rows = metrics.select(F.lit(2).cast("long").alias("place"), F.concat(F.lit("- "), F.col("manifest"), F.lit(" "), F.col("metric"), F.lit(": "), F.col("value").cast("string")).alias("line"))
     found = issues.select(F.lit(3).cast("long").alias("place"), F.concat(F.lit("- **"), F.col("severity"), F.lit("** "), F.col("code"), F.lit(": "), F.coalesce("detail", F.lit(""))).alias("line"))
     none = issues.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(3).cast("long").alias("place"), F.lit("No manifest-level validation issues were found.").alias("line"))
     return head.unionByName(rows).unionByName(found).unionByName(none)
