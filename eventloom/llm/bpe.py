@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import hashlib
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,15 +11,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: White space as the pre-token pattern's \s has it (Unicode White_Space).
-_SPACE = r"\t-\r \x85\xa0  -     　"
-#: White space with the run of other characters after it. No pre-token of the usual pattern crosses the
-#: border between two such units, nor looks across it, so a unit's ids don't depend on its neighbours.
-UNIT = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+from eventloom.llm.units import UnitCoder
 
-#: Units and pre-tokens kept with their ids in each Python worker (the first ones met: the frequent
-#: ones are among them), and the longest one kept.
-CACHE_UNITS, CACHE_TOKENS, CACHE_CHARS = 250_000, 600_000, 48
+#: Pre-tokens kept with their ids in each Python worker (the first ones met), and the longest one kept.
+CACHE_TOKENS, CACHE_CHARS = 400_000, 48
 
 
 class Bpe:
@@ -34,8 +27,8 @@ class Bpe:
             self.pieces[i] = b
         self.pairs = [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
         self.pattern = regex.compile(pattern)
-        self.by_unit: dict[str, bytes] = {}
         self.by_token: dict[str, bytes] = {}
+        self.coder = UnitCoder(lambda units: [b"".join([self._token(m) for m in self.pattern.findall(u)]) for u in units])
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token.
@@ -127,16 +120,9 @@ class Bpe:
                 self.by_token[token] = ids
         return ids
 
-    def _unit(self, unit: str) -> bytes:
-        ids = b"".join([self._token(m) for m in self.pattern.findall(unit)])
-        if len(unit) <= CACHE_CHARS and len(self.by_unit) < CACHE_UNITS:
-            self.by_unit[unit] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        known, other = self.by_unit.get, self._unit
-        return b"".join([known(u) or other(u) for u in UNIT.findall(text)])
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers; null counts as empty."""
+        return [ids for _, ids in self.coder.column(texts)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I").tolist()))
@@ -170,7 +156,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", to:
     """
     def ids(batch: pa.RecordBatch) -> pa.Array:
         bpe = _bpe(vocabulary, pattern)
-        return pa.array([bpe.encode(t or "") for t in batch.column(batch.schema.names.index(text)).to_pylist()], pa.binary())
+        return pa.array(bpe.encode(batch.column(batch.schema.names.index(text))), pa.binary())
 
     return _mapped(df.drop(to), ids, to, "binary")
 
@@ -183,6 +169,3 @@ def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", to: s
 
     return _mapped(df.drop(to), data, to, "binary")
 
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

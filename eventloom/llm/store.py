@@ -1,7 +1,8 @@
 """Content-addressed store of token ids: chunks kept once, document recipes, Merkle manifests.
 
 Layout under a path, all Parquet:
-  chunks/    hash (SHA-256, binary), n (ids), data (ids, little-endian, 2 bytes each where the vocabulary allows)
+  chunks/    hash (first 16 bytes of the SHA-256 of the ids as little-endian unsigned 32-bit integers), n (ids), data (the ids'
+             bytes by planes, first bytes first, 2 of 4 where the vocabulary allows; Zstandard)
   recipes/   bucket, doc_id, start, n_tokens, chunks (hashes in order), root; files and rows in ascending doc_id
   manifest/  bucket, documents, tokens, root (Merkle root over the bucket's documents)
 """
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
@@ -22,9 +24,9 @@ from eventloom.llm import kernels as K
 from eventloom.llm.tables import partitions, written
 from eventloom.llm.tokens import encoded
 
-#: A chunk ends where the rolling hash of the last SPAN ids has MASK's bits set: after 512 ids on average,
+#: A chunk ends where the rolling hash of the last SPAN ids has MASK's bits set: after 1024 ids on average,
 #: LEAST at least, MOST at most.
-SPAN, MASK, LEAST, MOST = 16, 511, 128, 4096
+SPAN, MASK, LEAST, MOST = 16, 1023, 256, 8192
 
 
 def borders(ids: np.ndarray) -> list[int]:
@@ -32,7 +34,9 @@ def borders(ids: np.ndarray) -> list[int]:
     n = len(ids)
     ends, last = [], 0
     if n > LEAST:
-        roll = K.range_hashes(ids.astype(np.uint64) + np.uint64(1), np.arange(n - SPAN + 1), np.arange(SPAN, n + 1))
+        cum = np.zeros(n + 1, np.uint64)
+        np.cumsum((ids + np.uint64(1)) * K._power(0, n), out=cum[1:])
+        roll = ((cum[SPAN:] - cum[:-SPAN]) * K._power(0, n - SPAN + 1, True)) >> np.uint64(40)
         for at in (np.flatnonzero((roll & np.uint64(MASK)) == MASK) + SPAN).tolist():
             while at - last > MOST:
                 last += MOST
@@ -46,6 +50,30 @@ def borders(ids: np.ndarray) -> list[int]:
     return ends if last == n else [*ends, n]
 
 
+def pack_ids(ids: np.ndarray, width: int) -> bytes:
+    """Ids (unsigned 32-bit) as `width` planes of bytes, compressed."""
+    planes = np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4)[:, :width].T)
+    return _compressor().compress(planes.tobytes())
+
+
+def unpack_ids(data: bytes, width: int) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    planes = np.frombuffer(_decompressor().decompress(data), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 4), np.uint8)
+    out[:, :width] = planes.T
+    return out.tobytes()
+
+
+@functools.cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1, write_checksum=False)
+
+
+@functools.cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def merkle(hashes: list[bytes]) -> bytes:
     """Root of the binary hash tree; leaves and inner nodes hash apart, an odd node moves up."""
     level = [hashlib.sha256(b"\0" + h).digest() for h in hashes] or [hashlib.sha256(b"\0").digest()]
@@ -98,34 +126,32 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide:
     Null and empty texts have the end id alone; a null doc_id comes first; rows that share a doc_id are
     documents of their own, in the order of their roots; an empty table makes an empty store.
     """
-    kind = "<u4" if wide else "<u2"
+    width = 4 if wide else 2
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, len(batch), 256):
                 part = batch.slice(begin, 256)
-                hashes, data, counts, roots, sizes, seen = [], [], [], [], [], set()
+                hashes, data, roots, sizes, seen = [], [], [], [], set()
                 for _, raw in encoded(part.column(1), vocabulary, end):
                     ids = np.frombuffer(raw, "<u4")
                     own, new, last = [], [], 0
                     for e in borders(ids):
-                        chunk = ids[last:e].astype(kind).tobytes()
-                        digest = hashlib.sha256(chunk).digest()
+                        digest = hashlib.sha256(raw[4 * last : 4 * e]).digest()[:16]
                         own.append(digest)
                         if digest not in seen:
                             seen.add(digest)
-                            new.append(chunk)
+                            new.append({"hash": digest, "n": e - last, "data": pack_ids(ids[last:e], width)})
                         last = e
                     hashes.append(own)
                     data.append(new)
                     sizes.append(len(ids))
                     roots.append(merkle(own))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.binary())), pa.array(data, pa.list_(pa.binary())), pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "chunks", "data", "root"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.binary())), pa.array(data, pa.list_(pa.struct({"hash": pa.binary(), "n": pa.int32(), "data": pa.binary()}))), pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "chunks", "data", "root"])
 
-    schema = "doc_id long, n_tokens long, chunks array<binary>, data array<binary>, root binary"
+    schema = "doc_id long, n_tokens long, chunks array<binary>, data array<struct<hash:binary,n:int,data:binary>>, root binary"
     coded = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema))
-    chunk = coded.select(F.explode("data").alias("data")).select(F.unhex(F.sha2("data", 256)).alias("hash"), (F.octet_length("data") / (4 if wide else 2)).cast("int").alias("n"), "data")
-    chunk.groupBy("hash", "n").agg(F.first("data").alias("data")).write.parquet(f"{path}/chunks")
+    coded.select(F.inline("data")).groupBy("hash", "n").agg(F.first("data").alias("data")).write.option("compression", "uncompressed").parquet(f"{path}/chunks")
 
     n = partitions(docs.sparkSession)
     cuts = coded.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10 * n)).first()[0] or []
@@ -174,11 +200,11 @@ def read_digests(spark: SparkSession, path: str, wide: bool = False) -> DataFram
             hashes, data = (c.to_pylist() for c in batch.columns)
             crcs, sizes = [], []
             for h, x in zip(hashes, data, strict=True):
-                if hashlib.sha256(x).digest() != h:
+                ids = unpack_ids(x, 4 if wide else 2)
+                if hashlib.sha256(ids).digest()[:16] != h:
                     raise ValueError(f"damaged chunk {h.hex()}")
-                ids = np.frombuffer(x, "<u4" if wide else "<u2").astype("<u4")
-                crcs.append(zlib.crc32(ids.tobytes()))
-                sizes.append(len(ids))
+                crcs.append(zlib.crc32(ids))
+                sizes.append(len(ids) // 4)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(crcs, pa.int64()), pa.array(sizes, pa.int32())], ["hash", "crc", "size"])
 
     chunk = spark.read.parquet(f"{path}/chunks").select("hash", "data").mapInArrow(reduce, "hash binary, crc long, size int")
@@ -197,8 +223,15 @@ def read_digests(spark: SparkSession, path: str, wide: bool = False) -> DataFram
 
 
 def read_documents(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): the ids themselves, 2 or 4 bytes each as stored, put together again."""
+    """(doc_id, start, n_tokens, ids): the ids themselves, little-endian unsigned 32-bit, put together again.
+
+    Chunks go to every document that has them; memory follows the longest document."""
     chunk = spark.read.parquet(f"{path}/chunks").select("hash", "data")
     parts = _pointers(spark, path).join(chunk, "hash").groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("_k", "data"))).alias("parts"))
-    joined = F.aggregate(F.transform("parts", lambda p: p["data"]), F.lit(b""), lambda a, b: F.concat(a, b))
-    return parts.select("doc_id", "start", "n_tokens", joined.alias("ids"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [b"".join(unpack_ids(p["data"], 4 if wide else 2) for p in x) for x in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+
+    return parts.mapInArrow(join, "doc_id long, start long, n_tokens long, ids binary")

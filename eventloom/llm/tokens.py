@@ -1,4 +1,4 @@
-"""Token ids of the tokenizers library, with the ids of frequent text units kept in each worker."""
+"""Token ids of the tokenizers library, each distinct unit of text encoded once a block."""
 
 from __future__ import annotations
 
@@ -10,50 +10,44 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from eventloom.llm.bpe import UNIT
+from eventloom.llm.units import UnitCoder
 
-#: Units kept with their ids in each Python worker (the first ones met), and the longest one kept.
-CACHE_UNITS, CACHE_CHARS = 800_000, 48
-#: Characters taken at a time, so that memory follows this or the longest text.
-GROUP_CHARS = 1 << 20
-
-
-class Ids:
-    """Encoder for byte-level BPE vocabularies, whose pre-tokens never cross the borders of `UNIT`s."""
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers, and `end`."""
-        known = self.known
-        cut = [UNIT.findall(t) for t in texts]
-        new = list({u for units in cut for u in units if u not in known})
-        fresh = {u: np.array(e.ids, "<u4").tobytes() for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        if len(known) + len(fresh) <= CACHE_UNITS:
-            known.update((u, i) for u, i in fresh.items() if len(u) <= CACHE_CHARS)
-        get = lambda u: known.get(u) or fresh[u]
-        return [b"".join([*map(get, units), end]) for units in cut]
+_SPACES, _JOIN = set(" \t\n\v\f\r"), 2000
 
 
 @functools.cache
-def ids_of(path: str) -> Ids:
-    """One in each Python worker."""
-    return Ids(path)
+def coder(path: str) -> UnitCoder:
+    """One in each Python worker; for byte-level BPE vocabularies."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+    width = np.zeros(tokenizer.get_vocab_size(), np.int64)  # bytes of each token: a byte-level token has a letter for each
+    for token, i in tokenizer.get_vocab().items():
+        width[i] = len(token)
+
+    def encode(units: list[str]) -> list[bytes]:
+        """Units that begin with white space stay apart when joined, so one call encodes them all; their
+        lengths in bytes tell where each one's ids end.  Others, which begin texts, go one by one."""
+        out: list[bytes] = [b""] * len(units)
+        joined = [i for i, u in enumerate(units) if u[:1] in _SPACES]
+        alone = [i for i, u in enumerate(units) if u[:1] not in _SPACES]
+        for i, e in zip(alone, tokenizer.encode_batch_fast([units[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        for first in range(0, len(joined), _JOIN):
+            part = joined[first : first + _JOIN]
+            ids = np.array(tokenizer.encode_batch_fast(["".join([units[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(units[i].encode()) for i in part])
+            cut = np.searchsorted(np.cumsum(width[ids]), ends)
+            raw, last = ids.tobytes(), 0
+            for i, end in zip(part, (4 * (cut + 1)).tolist(), strict=True):
+                out[i] = raw[last:end]
+                last = end
+        return out
+
+    return UnitCoder(encode)
 
 
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, bytes]]:
-    """(row, ids) of a batch's texts; null counts as empty."""
-    coder, last = ids_of(path), np.array([end], "<u4").tobytes()
-    group, size, first = [], 0, 0
-    for i in range(len(column) + 1):
-        if i == len(column) or size > GROUP_CHARS:
-            for k, ids in enumerate(coder.encode(group, last)):
-                yield first + k, ids
-            group, size, first = [], 0, i
-        if i < len(column):
-            group.append(column[i].as_py() or "")
-            size += len(group[-1])
+    """(row, ids as little-endian unsigned 32-bit integers, `end` last) of a batch's texts; null counts as empty."""
+    return coder(path).column(column, np.array([end], "<u4").tobytes())
