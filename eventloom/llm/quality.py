@@ -86,8 +86,8 @@ def stat_features(votes: np.ndarray) -> np.ndarray:
 
 
 CONSTANT = (1 << BITS) + 3 * len(JUNK)
-#: Words in fewer sampled documents have no weight.
-LEAST_DOCUMENTS = 3
+#: Words in fewer sampled documents, or of weaker log-odds, have no weight.
+LEAST_DOCUMENTS, LEAST_ODDS = 4, 2.0
 
 
 @dataclass
@@ -137,7 +137,10 @@ def expectation_maximisation(votes: np.ndarray, weight: np.ndarray, trust: np.nd
 
 @dataclass
 class Linear:
-    """Weights of the features that occur in the sample often enough; others weigh nothing."""
+    """Weights of the features that occur in the sample often enough; others weigh nothing.
+
+    A feature's value is the size of its log-odds between the classes in the sample, so words that tell
+    the classes apart lead, and words that merely occur don't drown them."""
 
     features: np.ndarray = field(repr=False)
     weights: np.ndarray = field(repr=False)
@@ -145,29 +148,33 @@ class Linear:
     def score(self, rows: np.ndarray, features: np.ndarray, n: int) -> np.ndarray:
         at = np.searchsorted(self.features, features).clip(max=len(self.features) - 1)
         w = np.where(self.features[at] == features, self.weights[at], 0)
-        z = np.bincount(rows, weights=w, minlength=n) / np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(np.bincount(rows, weights=w, minlength=n), -30, 30)))
+
 
+def train_linear(rows: np.ndarray, features: np.ndarray, target: np.ndarray, rounds: int = 300, rate: float = 0.05, penalty: float = 1e-3) -> Linear:
+    """Logistic regression on soft targets over sparse features, valued by log-odds; AdaGrad on whole batches.
 
-def train_linear(rows: np.ndarray, features: np.ndarray, target: np.ndarray, rounds: int = 200, rate: float = 0.5, penalty: float = 1e-5) -> Linear:
-    """Logistic regression on soft targets over sparse binary features, each row of unit length; AdaGrad on whole batches."""
+    Hashed words are kept if they occur in LEAST_DOCUMENTS rows and lean to a class by LEAST_ODDS."""
     n = len(target)
-    scale = 1 / np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))
     names, at, often = np.unique(features, return_inverse=True, return_counts=True)
-    use = (often >= LEAST_DOCUMENTS) | (names >= 1 << BITS)
-    names, at = names[use], (np.cumsum(use) - 1)[at]
-    rows, at = rows[use_rows := use[np.searchsorted(np.unique(features), features)]], at[use_rows]
-    value, weights, squares = scale[rows], np.zeros(len(names)), np.full(len(names), 1e-8)
-    share = float(target.mean()) if n else 0.5
-    balance = np.where(target > 0.5, 0.5 / max(share, 1e-3), 0.5 / max(1 - share, 1e-3))
-    for _ in range(rounds if n else 0):
+    bad = np.bincount(at, weights=target[rows], minlength=len(names)) if n else np.zeros(0)
+    n_bad = float(target.sum())
+    odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((often - bad + 0.5) / (n - n_bad + 1))
+    use = ((often >= LEAST_DOCUMENTS) & (np.abs(odds) >= LEAST_ODDS)) | (names >= 1 << BITS)
+    value_of = np.where(names == CONSTANT, 1.0, np.abs(odds))[use]
+    kept = use[at]
+    rows, at, names = rows[kept], (np.cumsum(use) - 1)[at[kept]], names[use]
+    if not len(names):
+        return Linear(np.array([CONSTANT]), np.zeros(1, np.float32))
+    value, weights, squares = value_of[at], np.zeros(len(names)), np.full(len(names), 1e-8)
+    share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
+    balance = np.where(target > 0.5, 0.5 / share, 0.5 / (1 - share))
+    for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, weights=weights[at] * value, minlength=n), -30, 30)))
-        g = np.bincount(at, weights=(((p - target) * balance)[rows] * value), minlength=len(names)) / n + penalty * weights
+        g = np.bincount(at, weights=((p - target) * balance)[rows] * value, minlength=len(names)) / n + penalty * weights
         squares += g * g
         weights -= rate * g / np.sqrt(squares)
-    if not len(names):
-        names, weights = np.array([CONSTANT]), np.zeros(1)
-    return Linear(names, weights.astype(np.float32))
+    return Linear(names, (weights * value_of).astype(np.float32))
 
 
 @dataclass
