@@ -175,5 +175,5 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     found = components(links).withColumnRenamed("id", "first")
     of_set = copies.join(found, "first", "left").select("set", "n", F.coalesce("component", "first").alias("component_id"))
     own = sets.select("doc", "set", "n")
-    out = own.join(of_set, ["set", "n"], "left").select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+    out = own.join(of_set, ["set", "n"], "left").select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc")).alias("component_id"))
     return out
