@@ -244,13 +244,13 @@ def month_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.month_windows(s, "a", "b").select("c_custkey", day_text("window_start").alias("window_start"), day_text("window_end").alias("window_end"))
 
 
-@query("""WITH u AS (SELECT l_orderkey, CASE WHEN l_quantity > 40 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS path, l_returnflag AS status, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS r FROM lineitem)
+@query("""WITH u AS (SELECT l_orderkey, CASE WHEN l_quantity > 40 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS path, l_returnflag AS status, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, l_returnflag DESC) AS r FROM lineitem)
 SELECT o_orderkey, CASE WHEN u.l_orderkey IS NOT NULL AND NOT (o_orderstatus = 'F' AND u.path IS NULL) THEN coalesce(u.path, CASE WHEN o_orderstatus = 'F' THEN 'old' END) ELSE CASE WHEN o_orderstatus = 'F' THEN 'old' END END AS path,
 CASE WHEN u.l_orderkey IS NOT NULL AND NOT (o_orderstatus = 'F' AND u.path IS NULL) THEN u.status ELSE o_orderpriority END AS status FROM orders LEFT JOIN u ON o_orderkey = l_orderkey AND r = 1""")
 def guarded_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last update of each key; a good path isn't overwritten by an update without one."""
     li = table(spark, sf_dir, "lineitem")
-    updates = state.mapped_updates(li, {"o_orderkey": F.col("l_orderkey"), "seq": F.struct("l_linenumber", "l_partkey", "l_suppkey"), "path": F.when(F.col("l_quantity") <= 40, F.col("l_partkey").cast("string")), "status": "l_returnflag"}, F.lit(True))
+    updates = state.mapped_updates(li, {"o_orderkey": F.col("l_orderkey"), "seq": F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"), "path": F.when(F.col("l_quantity") <= 40, F.col("l_partkey").cast("string")), "status": "l_returnflag"}, F.lit(True))
     manifest = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "old").alias("path"), F.col("o_orderpriority").alias("status"))
     return state.guarded_upsert(manifest, updates, ["o_orderkey"], "seq", "path", ["path", "status"]).drop("changed")
 
