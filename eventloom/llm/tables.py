@@ -14,19 +14,34 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new path in the folder that spark.checkpoint.dir names; where it is unset, in a local one (tests)."""
+_scratch: list[str] = []
+
+
+def scratch_dir(spark: SparkSession, keep: bool = False) -> str:
+    """A new path in the folder that spark.checkpoint.dir names; where it is unset, in a local one (tests).
+
+    `sweep` deletes it later, unless it is to be kept."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    if not keep:
+        _scratch.append(path)
+    return path
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes the scratch tables so far: for callers that have written all results that depend on them."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, keep: bool = False) -> DataFrame:
     """The rows written as Parquet to the shared folder and read again: later steps neither
     recompute them nor depend on an executor that may be lost."""
-    path = scratch_dir(df.sparkSession)
+    path = scratch_dir(df.sparkSession, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,7 +15,7 @@ def test_stages_keep_their_promises(spark):
     assert list(stages) == ["quality classifier", "line dedup", "n-gram Jaccard join", "substring dedup", "packing"]
     before = docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = written(stage(spark, docs, SF))
+        docs = written(stage(spark, docs, SF), keep=True)
         assert docs.columns == columns and docs.schema == read(spark, SF, "documents").schema, name
         assert 0 < docs.count() <= before
         before = docs.count()
@@ -30,5 +30,5 @@ def test_stages_keep_their_promises(spark):
 def test_empty_input(spark):
     docs = read(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
-        docs = written(stage(spark, docs, SF))
+        docs = written(stage(spark, docs, SF), keep=True)
     assert docs.count() == 0
