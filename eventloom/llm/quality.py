@@ -204,7 +204,7 @@ def lexicon(rows: np.ndarray, words: np.ndarray, bad: np.ndarray, least: int = 4
     return names[(in_bad >= least) & (in_bad >= 0.9 * in_all)]
 
 
-def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 12_000, annotator: float = 0.97, key: str = "doc_id", text: str = "text") -> Classifier:
+def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 6_000, annotator: float = 0.97, key: str = "doc_id", text: str = "text") -> Classifier:
     """Fits on the texts of at most `sample_rows` labelled rows (those of least hash of the key); the
     labellers' accuracies are estimated from the votes on all rows of `df`.
 
@@ -229,8 +229,8 @@ def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 12_000, annotator:
     source = df.select(F.col(key).cast("long").alias(key), text)
     sample = source.mapInArrow(features, f"`{key}` long, features array<int>").toPandas().merge(chosen, on=key).sort_values(key).reset_index(drop=True)
     counts = sample["features"].map(len).to_numpy(np.int64) if len(sample) else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(len(sample)), counts)
-    found = np.concatenate(sample["features"].tolist()).astype(np.int64) if len(sample) else np.zeros(0, np.int64)
+    rows = np.repeat(np.arange(len(sample), dtype=np.int32), counts)
+    found = np.concatenate(sample.pop("features").tolist()) if len(sample) else np.zeros(0, np.int32)
     is_word = found < 1 << BITS
     toxic, quality = (sample[c].to_numpy(float) if len(sample) else np.zeros(0) for c in ("toxic", "quality"))
     half = sample.index.to_numpy() % 2 == 0
