@@ -80,17 +80,25 @@ def in_utc_day(events: DataFrame, products: DataFrame, names: Names) -> DataFram
 def latest_before(events: DataFrame, products: DataFrame, names: Names) -> DataFrame:
     """As-of: each event's latest product strictly before it, or none (left).
 
-    Both sides, in one table, are ordered per key; the last product seen so far is carried along, so
-    the work is one sort whatever the gaps.  Products of equal time: the least id wins.
+    Both sides, in one table, are ordered within each key and day, and the last product seen so far is
+    carried along; what earlier days left comes from one row for each key and day.  So a key of very many
+    rows spreads over its days, and gaps cost nothing.  Products of equal time: the least id wins.
     """
     key = list(names.keys)
     common = [micros(names.time).alias("_t"), F.lit(1).alias("_kind"), F.struct(*events.columns).alias("_e"), F.lit(None).cast(products.schema).alias("_p")]
     other = [micros(names.product_time).alias("_t"), F.lit(2).alias("_kind"), F.lit(None).cast(events.schema).alias("_e"), F.struct(*products.columns).alias("_p")]
-    both = events.select(*key, *common).unionByName(products.select(*key, *other))
+    both = events.select(*key, *common).unionByName(products.select(*key, *other)).withColumn("_day", F.floor(F.col("_t") / DAY))
     # At equal times events come before products, which makes "before" strict; products descend by id.
-    along = Window.partitionBy(*key).orderBy("_t", "_kind", F.col(f"_p.{names.product}").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.partitionBy(*key, "_day").orderBy("_t", "_kind", F.col(f"_p.{names.product}").desc()).rowsBetween(Window.unboundedPreceding, -1)
     found = both.withColumn("_last", F.last("_p", ignorenulls=True).over(along)).where("_kind = 1")
-    return found.select("_e.*", *[F.col("_last")[c].alias(c) for c in products.columns if c not in key])
+    is_product = F.col("_kind") == 2
+    days = both.groupBy(*key, "_day").agg(F.min_by(F.when(is_product, F.col("_p")), F.when(is_product, F.struct(-F.col("_t"), F.col(f"_p.{names.product}")))).alias("_end"))
+    earlier = Window.partitionBy(*key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
+    right = days.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_day").alias("_d"), "_before")
+    on = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)], F.col("_day").eqNullSafe(F.col("_d")))
+    out = found.join(right, on, "left").withColumn("_last", F.coalesce("_last", "_before"))
+    return out.select("_e.*", *[F.col("_last")[c].alias(c) for c in products.columns if c not in key])
 
 
 def nth_previous_overpass(events: DataFrame, products: DataFrame, names: Names, overpass: str, n: int, back_days: float, t0_time: str, t0_product: str, t0_overpass: str, pick: str = "latest", cloud: str | None = None) -> DataFrame:

@@ -11,7 +11,10 @@ from eventloom.functions import geo
 
 
 def percentiles(df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
-    """Percentiles as columns p50, p99 ...: exact with linear interpolation, or approximate."""
+    """Percentiles as columns p50, p99 ...: exact with linear interpolation, or approximate.
+
+    Exact ones keep a group's distinct values in one task; for continuous values of very large groups take
+    the approximate ones, whose memory is fixed."""
     p = F.percentile_approx(value, list(shares), 10_000) if approximate else F.percentile(value, [float(s) for s in shares])
     rows = df.groupBy(*by).agg(p.alias("_p"))
     return rows.select(*by, *[F.col("_p")[i].alias(f"p{round(100 * s)}") for i, s in enumerate(shares)])
@@ -63,9 +66,9 @@ def noisy_or(df: DataFrame, key: Sequence[str], q: str) -> DataFrame:
     return df.groupBy(*key).agg(F.when(sure == 1, 1.0).otherwise(1 - F.exp(F.sum(F.when(F.col(q) < 1, F.log1p(-F.col(q)))))).alias("combined"))
 
 
-def robust_scale(df: DataFrame, value: str, name: str) -> DataFrame:
-    """(x - median) / (p95 - median), cut to [0, 1]."""
-    p = df.agg(F.percentile(value, [0.5, 0.95]).alias("_p"))
+def robust_scale(df: DataFrame, value: str, name: str, approximate: bool = False) -> DataFrame:
+    """(x - median) / (p95 - median), cut to [0, 1]; see `percentiles` for `approximate`."""
+    p = df.agg((F.percentile_approx(value, [0.5, 0.95], 10_000) if approximate else F.percentile(value, [0.5, 0.95])).alias("_p"))
     scaled = F.try_divide(F.col(value) - F.col("_p")[0], F.col("_p")[1] - F.col("_p")[0])
     return df.crossJoin(F.broadcast(p)).withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(scaled, F.lit(0.0))))).drop("_p")  # p: one row
 
