@@ -1,10 +1,11 @@
 """Content-addressed store of token ids: chunks kept once, document recipes, Merkle manifests.
 
 Layout under a path, all Parquet:
-  chunks/    hash (first 16 bytes of the SHA-256 of the ids as little-endian unsigned 32-bit integers), n (ids), data (the ids'
-             bytes by planes, first bytes first, 2 of 4 where the vocabulary allows; Zstandard)
-  recipes/   bucket, doc_id, start, n_tokens, chunks (hashes in order), root; files and rows in ascending doc_id
-  manifest/  bucket, documents, tokens, root (Merkle root over the bucket's documents)
+  parts/kind=chunk/   hash (first 16 bytes of the SHA-256 of the ids as little-endian unsigned 32-bit integers), n (ids), data (the ids'
+                      bytes by planes, first bytes first, 2 of 4 where the vocabulary allows; Zstandard)
+  parts/kind=recipe/  doc_id, n_tokens, chunks, root, as they were encoded
+  recipes/            bucket, doc_id, start, n_tokens, chunks (hashes in order), root; files and rows in ascending doc_id
+  manifest/           bucket, documents, tokens, root (Merkle root over the bucket's documents)
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from eventloom.llm import kernels as K
-from eventloom.llm.tables import partitions, written
+from eventloom.llm.tables import partitions
 from eventloom.llm.tokens import encoded
 
+#: Chunks that a task remembers to have sent.
+SEEN = 200_000
 #: A chunk ends where the rolling hash of the last SPAN ids has MASK's bits set: after 1024 ids on average,
 #: LEAST at least, MOST at most.
 SPAN, MASK, LEAST, MOST = 16, 1023, 256, 8192
@@ -120,40 +123,59 @@ def crc_of_parts(parts: list[tuple[int, int]]) -> int:
 def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide: bool = False) -> None:
     """Encodes `docs` (doc_id, text), with `end` after each, and writes the store.
 
-    wide: 4 bytes an id in chunks (vocabularies over 65,536 ids).  One pass encodes and cuts; unique
-    chunks are kept by an aggregation with a map side, so copies meet in counts, not as rows.  `start`
-    is a running sum over ascending doc_id: within ranges in parallel, over the ranges' sums at the end.
+    wide: 4 bytes an id in chunks (vocabularies over 65,536 ids).  One pass encodes and cuts.  Chunks go
+    once over the network, by hash, and each partition, sorted, writes every hash once; a task sends a
+    chunk it has just met (of its last SEEN ones) no second time, so copies don't pile up.  Recipes
+    travel with them.  `start` is a running sum over ascending doc_id: within ranges in parallel, over
+    the ranges' sums at the end.
     Null and empty texts have the end id alone; a null doc_id comes first; rows that share a doc_id are
     documents of their own, in the order of their roots; an empty table makes an empty store.
     """
     width = 4 if wide else 2
+    names = ["kind", "hash", "n", "data", "doc_id", "n_tokens", "chunks", "root"]
+    kinds = [pa.string(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.binary()]
+    schema = "kind string, hash binary, n int, data binary, doc_id long, n_tokens long, chunks array<binary>, root binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for begin in range(0, len(batch), 256):
                 part = batch.slice(begin, 256)
-                hashes, data, roots, sizes, seen = [], [], [], [], set()
-                for _, raw in encoded(part.column(1), vocabulary, end):
+                keys, rows = part.column(0).to_pylist(), []
+                for i, raw in encoded(part.column(1), vocabulary, end):
                     ids = np.frombuffer(raw, "<u4")
-                    own, new, last = [], [], 0
+                    own, last = [], 0
                     for e in borders(ids):
                         digest = hashlib.sha256(raw[4 * last : 4 * e]).digest()[:16]
                         own.append(digest)
                         if digest not in seen:
+                            if len(seen) >= SEEN:
+                                seen.clear()
                             seen.add(digest)
-                            new.append({"hash": digest, "n": e - last, "data": pack_ids(ids[last:e], width)})
+                            rows.append(("chunk", digest, e - last, pack_ids(ids[last:e], width), None, None, None, None))
                         last = e
-                    hashes.append(own)
-                    data.append(new)
-                    sizes.append(len(ids))
-                    roots.append(merkle(own))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.list_(pa.binary())), pa.array(data, pa.list_(pa.struct({"hash": pa.binary(), "n": pa.int32(), "data": pa.binary()}))), pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "chunks", "data", "root"])
+                    root = merkle(own)
+                    rows.append(("recipe", root, None, None, keys[i], len(ids), own, root))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    schema = "doc_id long, n_tokens long, chunks array<binary>, data array<struct<hash:binary,n:int,data:binary>>, root binary"
-    coded = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema))
-    coded.select(F.inline("data")).groupBy("hash", "n").agg(F.first("data").alias("data")).write.option("compression", "uncompressed").parquet(f"{path}/chunks")
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            hashes, is_chunk = batch.column(1).to_pylist(), [k == "chunk" for k in batch.column(0).to_pylist()]
+            keep = []
+            for h, chunk in zip(hashes, is_chunk, strict=True):
+                keep.append(not chunk or h != last)
+                if chunk:
+                    last = h
+            yield batch.filter(pa.array(keep))
 
     n = partitions(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
+    rows = rows.repartition(n, "hash").sortWithinPartitions("kind", "hash").mapInArrow(once, schema)
+    rows.write.partitionBy("kind").option("compression", "uncompressed").parquet(f"{path}/parts")
+    spark = docs.sparkSession
+    coded = spark.read.schema(schema).parquet(f"{path}/parts").where("kind = 'recipe'").select("doc_id", "n_tokens", "chunks", "root")
+
     cuts = coded.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10 * n)).first()[0] or []
     cuts = np.unique(np.array(cuts, np.int64))
 
@@ -162,7 +184,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide:
             keys = batch.column(0).fill_null(-(2**63)).to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(cuts, keys, "right").astype(np.int32)), *batch.columns], ["bucket", *batch.schema.names])
 
-    recipes = coded.select("doc_id", "n_tokens", "chunks", "root").mapInArrow(bucket, "bucket int, doc_id long, n_tokens long, chunks array<binary>, root binary")
+    recipes = coded.mapInArrow(bucket, "bucket int, doc_id long, n_tokens long, chunks array<binary>, root binary")
     sums = recipes.groupBy("bucket").agg(F.sum("n_tokens").alias("_n"))
     sums = sums.select(F.col("bucket").alias("_bucket"), F.coalesce(F.sum("_n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("bucket").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
@@ -180,10 +202,14 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide:
                 x[2].append(root)
         yield pa.RecordBatch.from_arrays([pa.array([*state], pa.int32()), pa.array([x[0] for x in state.values()], pa.int64()), pa.array([x[1] for x in state.values()], pa.int64()), pa.array([merkle(x[2]) for x in state.values()], pa.binary())], ["bucket", "documents", "tokens", "root"])
 
-    stored = docs.sparkSession.read.parquet(f"{path}/recipes").select("bucket", "n_tokens", "root", "start")
+    stored = spark.read.parquet(f"{path}/recipes").select("bucket", "n_tokens", "root", "start")
     stored.repartition(n, "bucket").sortWithinPartitions("bucket", "start").drop("start").mapInArrow(roots, "bucket int, documents long, tokens long, root binary").write.parquet(f"{path}/manifest")
 
 
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("kind string, hash binary, n int, data binary").parquet(f"{path}/parts").where("kind = 'chunk'").select("hash", "n", "data")
+
+
 def _pointers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/recipes").select("doc_id", "start", "n_tokens", "root", F.posexplode("chunks").alias("_k", "hash"))
 
@@ -207,7 +233,7 @@ def read_digests(spark: SparkSession, path: str, wide: bool = False) -> DataFram
                 sizes.append(len(ids) // 4)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(crcs, pa.int64()), pa.array(sizes, pa.int32())], ["hash", "crc", "size"])
 
-    chunk = spark.read.parquet(f"{path}/chunks").select("hash", "data").mapInArrow(reduce, "hash binary, crc long, size int")
+    chunk = _chunks(spark, path).select("hash", "data").mapInArrow(reduce, "hash binary, crc long, size int")
     parts = _pointers(spark, path).join(chunk, "hash", "left").groupBy("doc_id", "start", "n_tokens", "root").agg(F.array_sort(F.collect_list(F.struct("_k", "hash", "crc", "size"))).alias("parts"))
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +252,7 @@ def read_documents(spark: SparkSession, path: str, wide: bool = False) -> DataFr
     """(doc_id, start, n_tokens, ids): the ids themselves, little-endian unsigned 32-bit, put together again.
 
     Chunks go to every document that has them; memory follows the longest document."""
-    chunk = spark.read.parquet(f"{path}/chunks").select("hash", "data")
+    chunk = _chunks(spark, path).select("hash", "data")
     parts = _pointers(spark, path).join(chunk, "hash").groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("_k", "data"))).alias("parts"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

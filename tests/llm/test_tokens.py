@@ -83,7 +83,7 @@ def test_store_round_trip(spark, docs, corpus):
         r = digests[i, start]
         assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes())) and texts[i, start] == ids.tobytes()
         start += len(ids)
-    chunks = spark.read.parquet(f"{path}/chunks")
+    chunks = spark.read.parquet(f"{path}/parts/kind=chunk")
     assert chunks.count() == chunks.select("hash").distinct().count()
     assert spark.read.parquet(f"{path}/manifest").selectExpr("sum(tokens) as n", "sum(documents) as d").first() == (start, len(wanted) + 1)
 
@@ -91,9 +91,9 @@ def test_store_round_trip(spark, docs, corpus):
 def test_store_damage_is_found(spark, docs):
     path = scratch_dir(spark)
     store.write_store(docs, path, JSON, end=2)
-    chunks = spark.read.parquet(f"{path}/chunks")
-    worst = chunks.limit(1).select("hash").first().hash
-    chunks.where(chunks.hash != worst).write.parquet(f"{path}-2/chunks")
+    parts = spark.read.parquet(f"{path}/parts")
+    worst = parts.where("kind = 'chunk'").select("hash").first().hash
+    parts.where((parts.kind == "recipe") | (parts.hash != worst)).write.partitionBy("kind").parquet(f"{path}-2/parts")
     spark.read.parquet(f"{path}/recipes").write.parquet(f"{path}-2/recipes")
     with pytest.raises(Exception, match="can't be rebuilt"):
         store.read_digests(spark, f"{path}-2").collect()
