@@ -11,14 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.llm import lines, near, packing, quality, recompress
-from eventloom.llm.tables import read, sweep, written
+from eventloom.llm.tables import read, short_batches, sweep, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def begin(spark: SparkSession) -> None:
+    short_batches(spark)
+    sweep(spark)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that either scorer calls bad go."""
-    sweep(spark)
+    begin(spark)
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.classify(docs, model).where("kept").select(docs.columns)
 
@@ -26,7 +31,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go, but for their first document; so does a document that loses over half of its
     text with them, as it copies others."""
-    sweep(spark)
+    begin(spark)
     out = lines.spread_lines(docs.withColumn("_before", F.length("text")))
     out = out.where((F.col("n_removed") == 0) | (F.length("text") * 2 >= F.col("_before")))
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
@@ -34,20 +39,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one of smallest doc_id stays."""
-    sweep(spark)
+    begin(spark)
     found = near.jaccard_components(docs, near.Jaccard(words=5, percent=80))
     return docs.join(found.where("component_id < doc_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more stay in one document; a document with nothing else goes."""
-    sweep(spark)
+    begin(spark)
     out = recompress.drop_repeats(docs, window=50).where("n_removed = 0 or n_removed < n_words")
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sweep(spark)
+    begin(spark)
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1, capacity=2048)
     pieces = written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
     return packing.pack(pieces, capacity=2048)

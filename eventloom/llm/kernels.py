@@ -20,7 +20,7 @@ SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _GOLDEN = 0x9E3779B97F4A7C15
 _BASES = (_GOLDEN, 0xD1342543DE82EF95)
 
@@ -121,6 +121,7 @@ def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iter
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
         yield Texts(i, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         i = j
+    pa.default_memory_pool().release_unused()
 
 
 def combine(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -46,6 +46,12 @@ def written(df: DataFrame, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Sets how many rows go to a Python worker at once in this session: texts are long, and a worker holds
+    a batch two or three times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

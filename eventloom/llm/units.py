@@ -16,7 +16,7 @@ from eventloom.llm import kernels as K
 
 #: Units kept with their ids in each Python worker (the first ones met: the frequent ones are among
 #: them), and the longest one kept, in bytes.
-CACHE_UNITS, CACHE_BYTES = 250_000, 64
+CACHE_UNITS, CACHE_BYTES = 200_000, 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
