@@ -45,7 +45,7 @@ def coder(path: str) -> UnitCoder:
                 last = end
         return out
 
-    return UnitCoder(encode)
+    return UnitCoder(encode, cache_units=600_000)
 
 
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, bytes]]:

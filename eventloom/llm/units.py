@@ -14,9 +14,9 @@ import pyarrow as pa
 
 from eventloom.llm import kernels as K
 
-#: Units kept with their ids in each Python worker (the first ones met: the frequent ones are among
-#: them), and the longest one kept, in bytes.
-CACHE_UNITS, CACHE_BYTES = 200_000, 64
+#: Units kept with their ids in each Python worker, unless told otherwise (the first ones met: the frequent
+#: ones are among them), the longest one kept, and how much text is taken at a time, in bytes.
+CACHE_UNITS, CACHE_BYTES, BLOCK = 200_000, 64, 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -50,8 +50,8 @@ def unit_spans(part: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class UnitCoder:
     """Encodes columns of texts by an encoder of distinct units (their ids as unsigned 32-bit integers)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], cache_units: int = CACHE_UNITS):
+        self.encode, self.cache_units = encode, cache_units
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, keys: list[bytes]) -> list[bytes]:
@@ -61,13 +61,13 @@ class UnitCoder:
         if holes:
             for i, ids in zip(holes, self.encode([keys[i].decode() for i in holes]), strict=True):
                 found[i] = ids
-                if len(keys[i]) <= CACHE_BYTES and len(known) < CACHE_UNITS:
+                if len(keys[i]) <= CACHE_BYTES and len(known) < self.cache_units:
                     known[keys[i]] = ids
         return found
 
     def column(self, column: pa.Array | pa.ChunkedArray, end: bytes = b"") -> Iterator[tuple[int, bytes]]:
         """(row, ids and `end`) of each text, in order; null counts as empty."""
-        for part in K.blocks(column):
+        for part in K.blocks(column, BLOCK):
             starts, ends, first = unit_spans(part)
             _, at, inverse = np.unique(K.span_hashes(part.buf, starts, ends), return_index=True, return_inverse=True)
             raw = part.buf.tobytes()
