@@ -29,11 +29,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go, but for their first document; so does a document that loses over half of its
-    text with them, as it copies others."""
+    """Boilerplate lines go, but for their first document; a document that has no word left without them goes."""
     begin(spark)
-    out = lines.spread_lines(docs.withColumn("_before", F.length("text")))
-    out = out.where((F.col("n_removed") == 0) | (F.length("text") * 2 >= F.col("_before")))
+    out = lines.spread_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -32,3 +32,13 @@ def test_empty_input(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, SF), keep=True)
     assert docs.count() == 0
+
+
+def test_line_dedup_keeps_own_text(spark):
+    """Where shared lines outweigh a document's own text, that text stays; a document of shared lines alone goes."""
+    line = "a long line of boilerplate that every page of each of the sites carries"
+    texts = {i: f"{line}\nown{i}" for i in range(12)} | {100: line, 101: None, 102: "", 103: " \n", 104: f" {line} \n\n \t\n{line}"}
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 6}", len(t or "")) for i, t in texts.items()], read(spark, SF, "documents").schema)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    want = {i: f"own{i}" if 0 < i < 100 else t for i, t in texts.items() if i not in (100, 104)}
+    assert got == {i: (t, len(t or "")) for i, t in want.items()}
