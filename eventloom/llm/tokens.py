@@ -27,18 +27,23 @@ def coder(path: str) -> UnitCoder:
         width[i] = len(token)
 
     def encode(units: list[str]) -> list[bytes]:
-        """Units that begin with white space stay apart when joined, so one call encodes them all; their
-        lengths in bytes tell where each one's ids end.  Others, which begin texts, go one by one."""
+        """Units that begin with white space and end in something else stay apart when joined, so one call
+        encodes them all; their lengths in bytes tell where each one's ids end.  Others, which begin or end
+        texts, go one by one: white space at a unit's end would run on into the next unit."""
         out: list[bytes] = [b""] * len(units)
-        joined = [i for i, u in enumerate(units) if u[:1] in _SPACES]
-        alone = [i for i, u in enumerate(units) if u[:1] not in _SPACES]
+        apart = [u[:1] in _SPACES and not u[-1:].isspace() for u in units]
+        joined = [i for i, x in enumerate(apart) if x]
+        alone = [i for i, x in enumerate(apart) if not x]
         for i, e in zip(alone, tokenizer.encode_batch_fast([units[i] for i in alone], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         for first in range(0, len(joined), _JOIN):
             part = joined[first : first + _JOIN]
             ids = np.array(tokenizer.encode_batch_fast(["".join([units[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum([len(units[i].encode()) for i in part])
-            cut = np.searchsorted(np.cumsum(width[ids]), ends)
+            reach = np.cumsum(width[ids])
+            cut = np.searchsorted(reach, ends)
+            if cut[-1] >= len(ids) or (reach[cut] != ends).any():
+                raise ValueError("a token crosses from one unit to the next")
             raw, last = ids.tobytes(), 0
             for i, end in zip(part, (4 * (cut + 1)).tolist(), strict=True):
                 out[i] = raw[last:end]

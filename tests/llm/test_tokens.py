@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from eventloom.llm import bpe, packing, store
+from eventloom.llm import bpe, packing, store, tokens
 from eventloom.llm.tables import scratch_dir, written
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -45,6 +45,15 @@ def ids_of(corpus, end):
     return {i: np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4") for i, x in corpus}
 
 
+def test_white_space_texts_equal_the_library():
+    """Units that end in white space, as texts do, stand among units that begin with it."""
+    plain, rnd = Tokenizer.from_file(JSON), random.Random(6)
+    for alphabet in ("\n a", " \t\n", "\n\r b\xa0", " \x85\u3000\n\u2003c", "\x1c \nd"):
+        texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(1, 12))) for _ in range(2000)] + ["foo\n", "x\n\nfoo", "foo", "x\n"]
+        got = [np.frombuffer(ids, "<u4").tolist() for _, ids in tokens.encoded(pa.array(texts), JSON, 1)]
+        assert got == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts], repr(alphabet)
+
+
 def test_packing_is_complete_and_tight(spark, docs, corpus):
     pieces = written(packing.token_pieces(docs, JSON, end=1, capacity=256))
     rows = packing.pack(pieces, capacity=256).toPandas()
