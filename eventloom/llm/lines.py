@@ -27,7 +27,7 @@ def line_table(texts: K.Texts, min_words: int) -> tuple[np.ndarray, np.ndarray,
     return a, b, row, K.span_hashes(texts.buf, starts[lo], ends[hi - 1])
 
 
-def spread_lines(df: DataFrame, site: str = "source", key: str = "doc_id", text: str = "text", min_sites: int = 5, min_words: int = 5) -> DataFrame:
+def spread_lines(df: DataFrame, site: str = "source", key: str = "doc_id", text: str = "text", min_sites: int = 5, min_words: int = 1) -> DataFrame:
     """Removes boilerplate: lines found on `min_sites` distinct sites or more, except in the document of the
     smallest key that holds them.  Adds n_lines (those of `min_words` words or more) and n_removed.
 

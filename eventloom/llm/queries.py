@@ -68,8 +68,8 @@ def op9_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines on 5 of the 20 sites or more go, but for their first document."""
-    out = lines.spread_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    """Lines of 5 words or more, as OP10_SQL has it, on 5 of the 20 sites or more go, but for their first document."""
+    out = lines.spread_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), min_words=5)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(text_bytes(), 256).alias("kept_sha256"))
 
 

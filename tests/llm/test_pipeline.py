@@ -42,3 +42,11 @@ def test_line_dedup_keeps_own_text(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
     want = {i: f"own{i}" if 0 < i < 100 else t for i, t in texts.items() if i not in (100, 104)}
     assert got == {i: (t, len(t or "")) for i, t in want.items()}
+
+
+def test_line_dedup_counts_short_lines(spark):
+    """Lines of one to four words go like longer ones; those on fewer sites than the threshold stay."""
+    texts = {i: f"All rights reserved.\nown text of {i}\n -\nHome" if i < 4 else f"All rights reserved.\nown text of {i}\n - " for i in range(12)}
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 6}", len(t)) for i, t in texts.items()], read(spark, SF, "documents").schema)
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert got == {0: texts[0]} | {i: f"own text of {i}\nHome" if i < 4 else f"own text of {i}\n" for i in range(1, 12)}
