@@ -17,11 +17,10 @@ _SPACES, _JOIN = set(" \t\n\v\f\r"), 2000
 
 @functools.cache
 def coder(path: str) -> UnitCoder:
-    """One in each Python worker; for byte-level BPE vocabularies."""
+    """One in each Python worker; for byte-level BPE vocabularies whose special tokens hold no white space.
+    Their strings in a text give their ids, as the library does by itself."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
     width = np.zeros(tokenizer.get_vocab_size(), np.int64)  # bytes of each token: a byte-level token has a letter for each
     for token, i in tokenizer.get_vocab().items():
         width[i] = len(token)

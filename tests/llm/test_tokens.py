@@ -54,6 +54,13 @@ def test_white_space_texts_equal_the_library():
         assert got == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts], repr(alphabet)
 
 
+def test_special_strings_equal_the_library():
+    plain, rnd = Tokenizer.from_file(JSON), random.Random(9)
+    texts = ["".join(rnd.choice(["<|endoftext|>", "<|endof", "|>", " ", "\n", "é", "ab"]) for _ in range(rnd.randrange(1, 12))) for _ in range(2000)] + ["<|endoftext|>"]
+    got = [np.frombuffer(ids, "<u4").tolist() for _, ids in tokens.encoded(pa.array(texts), JSON, 1)]
+    assert got == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts] and got[-1] == [50256, 1]
+
+
 def test_packing_is_complete_and_tight(spark, docs, corpus):
     pieces = written(packing.token_pieces(docs, JSON, end=1, capacity=256))
     rows = packing.pack(pieces, capacity=256).toPandas()
