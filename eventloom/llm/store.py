@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
@@ -192,18 +193,42 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide:
     placed = placed.select("bucket", "doc_id", (F.col("_before") + F.col("_in")).alias("start"), "n_tokens", "chunks", "root")
     placed.repartitionByRange(n, "bucket").sortWithinPartitions("bucket", "start").write.parquet(f"{path}/recipes")
 
+    _buckets(spark, path).drop("start").write.parquet(f"{path}/manifest")
+
+
+def _buckets(spark: SparkSession, path: str) -> DataFrame:
+    """(bucket, documents, tokens, root, start) as recipes/ give them; start, the first document's, is null
+    where the others' don't follow from it."""
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict[int, list] = {}
         for batch in batches:
-            for b, tokens, root in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x = state.setdefault(b, [0, 0, []])
+            for b, tokens, root, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x = state.setdefault(b, [0, 0, [], start])
+                if x[3] is not None and start != x[3] + x[1]:
+                    x[3] = None
                 x[0] += 1
                 x[1] += tokens
                 x[2].append(root)
-        yield pa.RecordBatch.from_arrays([pa.array([*state], pa.int32()), pa.array([x[0] for x in state.values()], pa.int64()), pa.array([x[1] for x in state.values()], pa.int64()), pa.array([merkle(x[2]) for x in state.values()], pa.binary())], ["bucket", "documents", "tokens", "root"])
+        columns = [[*state], *([x[i] for x in state.values()] for i in (0, 1)), [merkle(x[2]) for x in state.values()], [x[3] for x in state.values()]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], ["bucket", "documents", "tokens", "root", "start"])
+
+    stored = spark.read.parquet(f"{path}/recipes").select("bucket", "n_tokens", "root", "start", "doc_id")
+    stored = stored.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "doc_id", "root", "start").drop("doc_id")
+    return stored.mapInArrow(roots, "bucket int, documents long, tokens long, root binary, start long")
 
-    stored = spark.read.parquet(f"{path}/recipes").select("bucket", "n_tokens", "root", "start")
-    stored.repartition(n, "bucket").sortWithinPartitions("bucket", "start").drop("start").mapInArrow(roots, "bucket int, documents long, tokens long, root binary").write.parquet(f"{path}/manifest")
+
+def verify(spark: SparkSession, path: str) -> None:
+    """Raises where recipes/ don't give the counts, tokens and roots of manifest/, or other starts."""
+    try:
+        kept = spark.read.parquet(f"{path}/manifest")
+    except AnalysisException as e:
+        raise ValueError(f"{path} can't be rebuilt: it has no manifest") from e
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    kept = kept.select(F.col("bucket").alias("_bucket"), F.struct("documents", "tokens", "root", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start")).alias("_kept"))
+    found = _buckets(spark, path).select("bucket", F.struct("documents", "tokens", "root", "start").alias("_found"))
+    wrong = found.join(kept, F.col("bucket") == F.col("_bucket"), "full").where(~F.col("_found").eqNullSafe(F.col("_kept"))).select(F.coalesce("bucket", "_bucket")).first()
+    if wrong:
+        raise ValueError(f"bucket {wrong[0]} can't be rebuilt: its recipes differ from the manifest")
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -219,8 +244,10 @@ def read_digests(spark: SparkSession, path: str, wide: bool = False) -> DataFram
 
     Each stored chunk is read, checked against its hash and reduced to count and CRC; documents' CRCs
     follow from their chunks' by arithmetic, so no ids are shuffled.  A missing or damaged chunk, a
-    recipe that doesn't give its root or its count raises.
+    recipe that doesn't give its root or its count raises; recipes that differ from the manifest do at once.
     """
+    verify(spark, path)
+
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, data = (c.to_pylist() for c in batch.columns)
@@ -251,7 +278,9 @@ def read_digests(spark: SparkSession, path: str, wide: bool = False) -> DataFram
 def read_documents(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids): the ids themselves, little-endian unsigned 32-bit, put together again.
 
-    Chunks go to every document that has them; memory follows the longest document."""
+    Chunks go to every document that has them; memory follows the longest document.  Recipes that differ
+    from the manifest raise at once."""
+    verify(spark, path)
     chunk = _chunks(spark, path).select("hash", "data")
     parts = _pointers(spark, path).join(chunk, "hash").groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("_k", "data"))).alias("parts"))
 

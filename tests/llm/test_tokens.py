@@ -9,6 +9,7 @@ import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventloom.llm import bpe, packing, store, tokens
@@ -115,6 +116,24 @@ def test_store_damage_is_found(spark, docs):
         store.read_digests(spark, f"{path}-2").collect()
 
 
+def test_manifest_finds_lost_and_swapped_recipes(spark, docs):
+    path = scratch_dir(spark)
+    store.write_store(docs, path, JSON, end=2)
+    parts, recipes, manifest = (spark.read.parquet(f"{path}/{x}") for x in ("parts", "recipes", "manifest"))
+    lost = recipes.where("doc_id <> 3")
+    swapped = recipes.withColumn("doc_id", F.expr("CASE doc_id WHEN 0 THEN 3 WHEN 3 THEN 0 ELSE doc_id END"))
+    worst = parts.where("kind = 'chunk'").select("hash").first().hash
+    for k, (own, left, error) in enumerate([(lost, parts, "differ from the manifest"), (swapped, parts, "differ from the manifest"), (recipes, parts.where((parts.kind == "recipe") | (parts.hash != worst)), "document .* can't be rebuilt")]):
+        left.write.partitionBy("kind").parquet(f"{path}-{k}/parts")
+        own.write.parquet(f"{path}-{k}/recipes")
+        manifest.write.parquet(f"{path}-{k}/manifest")
+        with pytest.raises(Exception, match=error):
+            store.read_digests(spark, f"{path}-{k}").collect()
+        if k < 2:
+            with pytest.raises(ValueError, match=error):
+                store.read_documents(spark, f"{path}-{k}")
+
+
 def test_empty_store(spark, docs):
     path = scratch_dir(spark)
     store.write_store(docs.limit(0), path, JSON)
