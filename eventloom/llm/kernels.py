@@ -7,6 +7,7 @@ so words can be cut on bytes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,7 +54,8 @@ def _power(which: int, n: int, inverse: bool = False) -> np.ndarray:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal spans hash alike wherever they lie.
+    """A 64-bit hash of each byte span; equal spans hash alike wherever they lie, and so may others: `classes`
+    tells them apart.
 
     A prefix sum of value(byte) * BASE**i gives any span's polynomial in two
     look-ups.  Work goes in blocks, so memory stays bounded for very long texts
@@ -72,6 +74,73 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: in
     return out
 
 
+def unequal(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Numbers of the spans whose bytes differ from those of the span numbered `of`."""
+    size, other = ends - starts, starts[of]
+    wrong = size != size[of]
+    check = np.flatnonzero((other != starts) & ~wrong & (size > 0))
+    stop = np.cumsum(size[check])
+    found, i = [np.flatnonzero(wrong)], 0
+    while i < len(check):
+        j = max(i + 1, int(np.searchsorted(stop, (stop[i - 1] if i else 0) + BLOCK_BYTES, "right")))
+        part = check[i:j]
+        n = size[part]
+        if len(part) == 1:
+            a, b = int(starts[part[0]]), int(other[part[0]])
+            if (buf[a : a + n[0]] != buf[b : b + n[0]]).any():
+                found.append(part)
+        else:
+            end = np.cumsum(n)
+            at = np.repeat(starts[part] - (end - n), n) + np.arange(end[-1])
+            differ = buf[at] != buf[at + np.repeat(other[part] - starts[part], n)]
+            if differ.any():
+                found.append(part[np.unique(np.searchsorted(end, np.flatnonzero(differ), "right"))])
+        i = j
+    return np.concatenate(found)
+
+
+def classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(at, which): the number of one span of each content, and each span's place among these.  Spans are in
+    one class if and only if their bytes are equal: hashes propose, the bytes decide."""
+    _, at, which = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    odd = unequal(buf, starts, ends, at[which])
+    if len(odd):
+        known: dict[bytes, int] = {}
+        more = []
+        for i in odd.tolist():
+            content = buf[starts[i] : ends[i]].tobytes()
+            if content not in known:
+                known[content] = len(at) + len(more)
+                more.append(i)
+            which[i] = known[content]
+        at = np.append(at, more)
+    return at, which
+
+
+def digests(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 128-bit digest (BLAKE2b) of each span's bytes, as two columns of unsigned 64-bit integers."""
+    raw, blake = buf.tobytes(), hashlib.blake2b
+    found = b"".join([blake(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return np.frombuffer(found, "<u8").reshape(-1, 2)
+
+
+def names(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each span, the first half of its digest; each class of `classes` is digested once."""
+    return digests(buf, starts[at], ends[at])[:, 0][which]
+
+
+def joined(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans' bytes, each with one space after it, and where each begins there (one more than spans)."""
+    size = ends - starts
+    begin = np.concatenate([[0], np.cumsum(size + 1)])
+    out = np.full(int(begin[-1]), 32, np.uint8)
+    if len(size):
+        n = int(size.sum())
+        inside = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(begin[:-1], size) + inside] = buf[np.repeat(starts, size) + inside]
+    return out, begin
+
+
 @dataclass
 class Texts:
     """Consecutive rows of a text column: their bytes, and where each row begins."""
@@ -106,8 +175,9 @@ def _spans(buf: np.ndarray, cut: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[Texts]:
-    """The column's rows, in order, in pieces of about `limit` bytes (one row at least). Null counts as empty."""
+def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES, group: int = 1) -> Iterator[Texts]:
+    """The column's rows, in order, in pieces of about `limit` bytes, each of a multiple of `group` rows (one
+    group at least).  Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -118,7 +188,8 @@ def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iter
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     i, n = 0, len(column)
     while i < n:
-        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
+        j = int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1
+        j = min(n, max(i + group, j - (j - i) % group))
         yield Texts(i, buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         i = j
     pa.default_memory_pool().release_unused()
@@ -133,10 +204,3 @@ def combine(hashes: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out += hashes[k : k + m] * U64(pow(_BASES[1], k + 1, 1 << 64))
     return mix(out + U64(n))
-
-
-def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A hash of the hashes in each range, at a cost that doesn't grow with the ranges (prefix sums)."""
-    cum = np.zeros(len(hashes) + 1, U64)
-    np.cumsum(hashes * _power(which, len(hashes)), out=cum[1:])
-    return mix((cum[ends] - cum[starts]) * _power(which, len(hashes) + 1, True)[starts] + (ends - starts).astype(U64))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.llm import kernels as K
 from eventloom.llm.components import components
-from eventloom.llm.tables import written
+from eventloom.llm.tables import Scratch, join_frequent
 
 
 @dataclass(frozen=True)
@@ -44,21 +44,76 @@ class Jaccard:
         return 100 * common >= self.percent * (a + b - common)
 
 
-def shingle_sets(texts: K.Texts, words: int) -> Iterator[np.ndarray]:
-    """Each row's sorted distinct shingle hashes; a text of fewer words is one shingle, one without words none."""
-    starts, ends, first = texts.words()
-    h = K.span_hashes(K.LOWER[texts.buf], starts, ends)
-    shingles = K.combine(h, words)
-    for a, z in zip(first[:-1], first[1:], strict=True):
-        if z - a >= words:
-            s = np.sort(shingles[a : z - words + 1])
-            yield s[np.concatenate([[True], s[1:] != s[:-1]])]
-        else:
-            yield K.combine(h[a:z], int(z - a)) if z > a else np.zeros(0, np.uint64)
+class Shingles:
+    """The shingles of some rows' words, lower-cased (A-Z).  A text of fewer words is one shingle, one without words none."""
+
+    def __init__(self, texts: K.Texts, words: int):
+        low = K.LOWER[texts.buf]
+        starts, ends, self.first = texts.words()
+        at, self.word = K.classes(low, starts, ends)
+        self.name, self.words = K.names(low, starts, ends, at, self.word), words
+        self.hash = K.combine(self.name, words)
+        self.text = (low, starts, ends)
+
+    def contents(self, i: int) -> dict[tuple[int, ...], int]:
+        """The row's different shingles, as numbers of words, and where each first stands."""
+        a, z = int(self.first[i]), int(self.first[i + 1])
+        w, k = self.word[a:z].tolist(), min(self.words, z - a)
+        found: dict[tuple[int, ...], int] = {}
+        for p in range(z - a - k + 1 if k else 0):
+            found.setdefault(tuple(w[p : p + k]), a + p)
+        return found
+
+    def _positions(self, i: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        """The row's different hashes, where the first shingle of each stands, and whether equal hashes stand for equal words."""
+        a, z = int(self.first[i]), int(self.first[i + 1])
+        h = self.hash[a : z - self.words + 1]
+        order = np.argsort(h, kind="stable")
+        new = np.ones(len(h), bool)
+        new[1:] = h[order[1:]] != h[order[:-1]]
+        x, y = a + order[1:][~new[1:]], a + order[:-1][~new[1:]]
+        return h[order[new]], a + order[new], self._equal(x, y)
+
+    def _equal(self, x: np.ndarray, y: np.ndarray) -> bool:
+        return all((self.word[x + k] == self.word[y + k]).all() for k in range(self.words))
+
+    def of(self, i: int) -> np.ndarray:
+        """A sorted entry for each different shingle of a row.  Equal shingles have equal entries in all rows.
+        Others may too; where a row itself has such, the second has a number more in its entry and so on, so
+        entries are as many as shingles, and two rows share as many entries as shingles at least."""
+        a, z = int(self.first[i]), int(self.first[i + 1])
+        if z - a < self.words:
+            return K.combine(self.name[a:z], z - a) if z > a else np.zeros(0, np.uint64)
+        h = np.sort(self.hash[a : z - self.words + 1])
+        again = h[1:] == h[:-1]
+        if not again.any():
+            return h
+        found, _, exact = self._positions(i)
+        if exact:
+            return found
+        seen: dict[int, int] = {}
+        out = []
+        for at in self.contents(i).values():
+            h = self.hash[at]
+            k = seen[int(h)] = seen.get(int(h), -1) + 1
+            out.append(K.mix(np.array([h + np.uint64(k)]))[0] if k else h)
+        return np.sort(np.array(out, np.uint64))
+
+    def common(self, i: int, j: int) -> tuple[int, int, int]:
+        """How many shingles both rows have, and each of them: by their words."""
+        if min(self.first[i + 1] - self.first[i], self.first[j + 1] - self.first[j]) >= self.words:
+            (x, at, one), (y, to, two) = self._positions(i), self._positions(j)
+            _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+            if one and two and self._equal(at[p], to[q]):
+                return len(p), len(x), len(y)
+        x, y = self.contents(i).keys(), self.contents(j).keys()
+        return len(x & y), len(x), len(y)
 
 
 #: Bits of a set's parity map; rounds of stars.
 PARITY_WORDS, STARS = 16, 2
+#: Groups of a shingle that are paired in one task.
+BLOCK = 2000
 
 
 def parity(shingles: np.ndarray) -> np.ndarray:
@@ -76,104 +131,126 @@ def _least(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(key, n_shingles, component_id) for each row: the smallest key that links of `rule` reach.
 
-    1. Screen: each set's prefix in hash order.  A shingle counts as shared if two different sets have
+    1. Screen: each set's prefix in hash order.  A shingle counts as shared if two different texts have
        it in their prefixes; sets with fewer shared ones than any link needs can't link and end here.
-       Equal sets go on as one.
+       Texts of equal words (lower-cased) go on as one.
     2. Grouped prefix join: the survivors' prefixes, ordered rarest first, shrink again; sets of equal
-       prefix and size form a group.  Stars of candidates (each member to its group's first; each group to
-       the likest among one random group of each of its prefix shingles) link most of what belongs together.
-    3. Completion: wherever groups that share a prefix shingle still lie in several components, all pairs
-       across components are filtered, expanded to their members and verified.  The filter is exact:
-       sizes, and parity maps whose differing bits bound the symmetric difference from below.  The
-       largest component of a shingle isn't paired with itself.
-
-    Verification counts the intersection of the whole shingle sets.  Hot shingles are counted by partial
-    aggregation and joined by sort-merge joins that adaptive execution may split.  Null or empty texts
-    have no shingles and link with nothing; a null key has component null and takes no part; rows that
-    share a key are one document for linking, if their texts differ each may bring links.
+       prefix and size form a group.  Stars of candidates (each member to its group's first; each set to
+       the likest among one random set of each of its prefix shingles) link most of what belongs together.
+    3. Completion: pairs of groups that share a prefix shingle, agree in size and don't lie in one component
+       together are taken once each, then expanded to their members in different components and verified.
+       Parity maps, whose differing bits bound the symmetric difference from below, filter the members.
+       The groups of a shingle's largest component aren't paired with each other; a shingle of many groups
+       is paired in blocks of BLOCK groups, so no task has all its pairs.
+
+    Hashes only propose.  Sizes and intersections are counted by words, texts of equal words are known by
+    128-bit digests.  Shingles of very many texts are counted by partial aggregation and broadcast.  Null
+    or empty texts have no shingles and link with nothing; a null key has component null and takes no
+    part; rows that share a key are one document for linking, if their texts differ each may bring links;
+    an empty table gives no rows, other columns play no part.
     """
-    percent = rule.percent
+    scratch = scratch or Scratch(df.sparkSession)
+    written, percent = scratch.written, rule.percent
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids, prefixes = [], [], []
             for part in K.blocks(batch.column(1)):
-                for s in shingle_sets(part, rule.words):
-                    n = len(s)
-                    sizes.append(n)
-                    ids.append(K.mix(np.bitwise_xor.reduce(K.mix(s), keepdims=True) + s.sum(keepdims=True) + K.U64(n)).view(np.int64)[0] if n else 0)
-                    prefixes.append(s[: int(rule.prefix(np.int64(n)))].view(np.int64) if n else s.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(ids, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["doc", "n", "set", "prefix"])
+                rows = Shingles(part, rule.words)
+                words, begin = K.joined(*rows.text)
+                ids.append(K.digests(words, begin[rows.first[:-1]], begin[rows.first[1:]]).view(np.int64))
+                for i in range(len(part)):
+                    s = rows.of(i)
+                    sizes.append(len(s))
+                    prefixes.append(s[: int(rule.prefix(np.int64(len(s))))].view(np.int64) if len(s) else s.view(np.int64))
+            ids = np.concatenate(ids) if ids else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(prefixes, pa.list_(pa.int64()))], ["doc", "n", "set", "check", "prefix"])
 
     docs = df.select(F.col(key).cast("long").alias("doc"), text)
-    sets = written(docs.mapInArrow(screen, "doc long, n int, set long, prefix array<long>"))
+    sets = written(docs.mapInArrow(screen, "doc long, n int, set long, check long, prefix array<long>"))
+    copies = written(sets.where("n > 0 and doc is not null").groupBy("set").agg(F.min("doc").alias("first"), F.min("check").alias("x"), F.max("check").alias("y")))
+    if not copies.where("x <> y").isEmpty():
+        raise ValueError("two texts agree in the first half of a 128-bit digest")
     entries = sets.where("doc is not null").select("doc", "set", F.explode("prefix").alias("h"))
-    shared = entries.groupBy("h").agg(F.min("set").alias("x"), F.max("set").alias("y")).where("x <> y").select("h")
-    kept = entries.select("doc", "h").join(shared, "h").groupBy("doc").agg(F.collect_set("h").alias("hs"))
-    n = F.col("n")
-    smallest = _least(n, percent)
+    shared = written(entries.groupBy("h").agg(F.min("set").alias("x"), F.max("set").alias("y"), F.count("*").alias("often")).where("x <> y").select("h", "often", F.col("often").alias("_n")))
+    kept = join_frequent(entries.select("doc", "h"), shared, ["h"], "_n").groupBy("doc").agg(F.collect_set(F.struct("often", "h")).alias("hs"))
+    smallest = _least(F.col("n"), percent)
     needed = F.least(F.greatest(F.floor((smallest - _least(smallest, percent)) / 2) + 1, F.lit(rule.overlap)), _least(smallest, percent))
     kept = kept.join(sets.select("doc", "n", "set"), "doc").withColumn("needed", needed).where(F.size("hs") >= F.col("needed"))
-    kept = written(kept.groupBy("set", "n").agg(F.min_by(F.struct("doc", "needed", "hs"), "doc").alias("r")).select("set", "n", "r.*"))
-    copies = sets.where("n > 0 and doc is not null").groupBy("set", "n").agg(F.min("doc").alias("first"))
-
-    counts = kept.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = kept.select("doc", "n", "needed", F.explode("hs").alias("h")).join(counts, "h").groupBy("doc", "n", "needed").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs"))
-    ranked = ranked.where(F.size("hs") >= F.col("needed")).withColumn("prefix", F.transform(F.expr("slice(hs, 1, cast(size(hs) - needed + 1 as int))"), lambda x: x["h"]))
-    ranked = written(ranked.withColumn("group", F.xxhash64("prefix", "n")).select("doc", "n", "group", "prefix"))
-    groups = written(ranked.groupBy("group", "n", "prefix").agg(F.min("doc").alias("leader")))
-    members = written(ranked.join(groups.select("group", "n", "prefix", "leader"), ["group", "n", "prefix"]).select("doc", "n", "leader"))
-    texts = written(docs.join(members.select("doc"), "doc"))
+    prefix = F.transform(F.slice(F.array_sort("hs"), 1, (F.size("hs") - F.col("needed") + 1).cast("int")), lambda x: x["h"])
+    ranked = written(kept.withColumn("prefix", prefix).groupBy("set", "n").agg(F.min_by(F.struct("doc", "prefix"), "doc").alias("r")).select("n", "r.*"))
+    scratch.drop(shared)
+    groups = written(ranked.groupBy("n", "prefix").agg(F.min("doc").alias("leader"), F.collect_list("doc").alias("docs")))
+    members = groups.select("n", "leader", F.explode("docs").alias("doc"))
+    groups = groups.select("n", "leader", "prefix")
+    texts = written(docs.join(ranked.select("doc"), "doc"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                left, right = (list(s for part in K.blocks(batch.column(i)) for s in shingle_sets(part, rule.words)) for i in (2, 3))
-                both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)], np.int64)
-                ok = rule.link(both, np.array([len(x) for x in left], np.int64), np.array([len(x) for x in right], np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
+                n, ok = len(batch), []
+                both = pa.concat_arrays([batch.column(2), batch.column(3)]).take(pa.array(np.arange(2 * n).reshape(2, n).T.ravel()))
+                for part in K.blocks(both, group=2):
+                    rows = Shingles(part, rule.words)
+                    found = np.array([rows.common(i, i + 1) for i in range(0, len(part), 2)], np.int64)
+                    ok.append(rule.link(*found.T))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(np.concatenate(ok) if ok else np.zeros(0, bool)))
 
         x, y = texts.select(F.col("doc").alias("a"), F.col(text).alias("ta")), texts.select(F.col("doc").alias("b"), F.col(text).alias("tb"))
         return written(pairs.join(x, "a").join(y, "b").select("a", "b", "ta", "tb").mapInArrow(common, "a long, b long"))
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [parity(x) for part in K.blocks(batch.column(1)) for x in shingle_sets(part, rule.words)]
+            bits = []
+            for part in K.blocks(batch.column(1)):
+                rows = Shingles(part, rule.words)
+                bits += [parity(rows.of(i)) for i in range(len(part))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], ["doc", "bits"])
 
     def may_link(p: str, q: str, m: str, n: str) -> Column:
         """For sizes m, n and parity maps p, q."""
-        m, n = F.col(m), F.col(n)
-        return (F.greatest(m, n) * percent <= F.least(m, n) * 100) & (_differ(p, q) * (100 + percent) <= (m + n) * (100 - percent))
+        return _sizes(m, n) & (_differ(p, q) * (100 + percent) <= (F.col(m) + F.col(n)) * (100 - percent))
+
+    def _sizes(m: str, n: str) -> Column:
+        return F.greatest(m, n) * percent <= F.least(m, n) * 100
 
     members = written(members.join(texts.mapInArrow(maps, "doc long, bits array<long>"), "doc"))
-    # Members of a group differ outside of its prefix, so units, not groups, have components and maps.
     links = verify(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
     for turn in range(STARS + 1):
-        labelled = written(members.join(components(links).withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
-        rows = labelled.join(groups.select("leader", "prefix"), "leader").select(F.explode("prefix").alias("h"), "doc", "component", "n", "bits")
-        mixed = rows.groupBy("h", "component").agg(F.count("*").alias("c")).groupBy("h").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("h", "main")
-        rows = written(rows.join(mixed, "h"))
+        labelled = written(members.join(components(links, scratch).withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
+        parts = labelled.groupBy("leader").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        rows_of_groups = written(groups.join(parts, "leader").select(F.explode("prefix").alias("h"), "leader", "n", "lo", "hi"))
+        mixed = rows_of_groups.groupBy("h", "lo").agg(F.count("*").alias("c"), F.max("hi").alias("hi")).groupBy("h").agg(F.max_by("lo", F.struct("c", "lo")).alias("main"), F.min("lo").alias("x"), F.max("hi").alias("y"), F.sum("c").alias("often"))
+        mixed = written(mixed.where("x <> y").select("h", "main", "often", F.col("often").alias("_n")))
+        rows = join_frequent(rows_of_groups, mixed, ["h"], "_n")
         if turn == STARS:
             break
+        units = rows.select("h", "main", "leader").join(labelled, "leader")
         choice = F.xxhash64("h", "doc", F.lit(turn))
         if turn:
             choice = F.struct(F.col("component") != F.col("main"), choice)
-        pivots = rows.groupBy("h").agg(F.min_by(F.struct("doc", "component", "n", "bits"), choice).alias("p")).select("h", F.col("p.doc").alias("a"), F.col("p.component").alias("ca"), F.col("p.n").alias("na"), F.col("p.bits").alias("ba"))
-        star = rows.join(pivots, "h").where((F.col("component") != F.col("ca")) & may_link("bits", "ba", "n", "na"))
+        pivots = units.groupBy("h").agg(F.min_by(F.struct("doc", "component", "n", "bits"), choice).alias("p")).select("h", F.col("p.doc").alias("a"), F.col("p.component").alias("ca"), F.col("p.n").alias("na"), F.col("p.bits").alias("ba"))
+        star = units.join(pivots, "h").where((F.col("component") != F.col("ca")) & may_link("bits", "ba", "n", "na"))
         star = star.groupBy(F.col("doc").alias("b")).agg(F.min_by("a", F.struct(_differ("bits", "ba"), "a")).alias("a"))
-        links = links.union(verify(star.select("a", "b")))
-
-    some = rows.where("component <> main").select("h", F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    every = rows.select("h", F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"), (F.col("component") == F.col("main")).alias("mb"))
-    across = some.join(every, "h").where((F.col("ca") != F.col("cb")) & (F.col("mb") | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
-    links = links.union(verify(across.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct()))
-
-    found = components(links).withColumnRenamed("id", "first")
-    of_set = copies.join(found, "first", "left").select("set", "n", F.coalesce("component", "first").alias("component_id"))
-    own = sets.select("doc", "set", "n")
-    out = own.join(of_set, ["set", "n"], "left").select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc")).alias("component_id"))
-    return out
+        links = written(links.union(verify(star.select("a", "b"))))
+
+    # Each block of a shingle's groups meets each other block in a task of its own.
+    block = lambda x: F.pmod(F.xxhash64(x), F.ceil(F.col("often") / BLOCK))
+    every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("often") / BLOCK).cast("int") - 1)).alias("r")
+    one = rows.where("lo <> main or hi <> main").select("h", block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
+    two = rows.select("h", block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
+    apart = (F.least("loa", "lob") < F.greatest("hia", "hib")) & (F.col("mb") | (F.col("ga") <= F.col("gb")))
+    pairs = written(one.join(two, ["h", "p", "r"]).where(apart & _sizes("na", "nb")).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
+    left = labelled.select(F.col("leader").alias("ga"), F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    right = labelled.select(F.col("leader").alias("gb"), F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    across = pairs.join(left, "ga").join(right, "gb").where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
+    links = written(links.union(verify(across.select(F.col("ua").alias("a"), F.col("ub").alias("b")))))
+
+    found = components(links, scratch).withColumnRenamed("id", "first")
+    of_set = written(copies.join(found, "first", "left").select("set", F.coalesce("component", "first").alias("component_id")))
+    scratch.drop(copies, ranked, texts, members, rows_of_groups, labelled, mixed, pairs, links)
+    out = sets.select("doc", "n", "set").join(of_set, "set", "left")
+    return out.select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))).alias("component_id"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from eventloom.llm.tables import gapless_rank, written
+from eventloom.llm.tables import Scratch, fields, gapless_rank
 from eventloom.llm.tokens import encoded
 
 #: Lengths are rounded up to 1/CLASSES of a sequence for the linear program.
@@ -91,14 +91,23 @@ def patterns(demand: np.ndarray, units: int, gap: float = 1e-3, rounds: int = 50
     return found
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc_id", "start"), length: str = "length") -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc_id", "start"), length: str = "length", scratch: Scratch | None = None) -> DataFrame:
     """Adds `sequence_id` and `offset` (gapless from 0 in its sequence) to pieces of 1 to `capacity` tokens.
 
     Full pieces are sequences by themselves.  The others' lengths, in CLASSES classes, make a histogram
     of fixed size, all that the driver sees.  Its patterns are laid out as a table of rank ranges; each
     piece gets its rank within its class (by `order`, no class in one task) and from that its place.
-    `order` should identify a piece; the table is read several times, so write it first.
+    `order` should identify a piece; the table is read several times, so write it first.  Repeated rows are
+    pieces of their own.  A piece of null length, of no token or of more than `capacity` goes nowhere:
+    sequence_id and offset are null.  Existing columns of these names are replaced; an empty table gives no rows.
     """
+    scratch = scratch or Scratch(pieces.sparkSession)
+    pieces = pieces.drop("sequence_id", "offset")
+    names = pieces.columns
+    pieces = pieces.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(length).cast("long").alias("_length"), *[F.col(c).alias(f"_order{k}") for k, c in enumerate(order)])
+    order, length = [f"_order{k}" for k in range(len(order))], "_length"
+    fit = F.col(length).between(1, capacity)
+    unfit, pieces = pieces.where(~F.coalesce(fit, F.lit(False))), pieces.where(fit)
     unit = max(1, -(-capacity // CLASSES))
     units = capacity // unit
     size = F.ceil(F.col(length) / unit).cast("int")
@@ -132,14 +141,15 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
             keep = [i for i, x in enumerate(names) if x not in ("_rank",)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(sequence), pa.array(nth)], [*(names[i] for i in keep), "sequence_id", "_nth"])
 
-    ranked = gapless_rank(written(rows.where(~own)), ["_class"], list(order), "_rank")
-    fields = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in ranked.schema if x.name != "_rank")
-    shared = ranked.mapInArrow(place, f"{fields}, sequence_id long, _nth long")
+    ranked = gapless_rank(scratch.written(rows.where(~own)), ["_class"], order, "_rank")
+    shared = ranked.mapInArrow(place, f"{fields(ranked.drop('_rank'))}, sequence_id long, _nth long")
     before = Window.partitionBy("sequence_id").orderBy(F.desc("_class"), "_nth").rowsBetween(Window.unboundedPreceding, -1)
     shared = shared.withColumn("offset", F.coalesce(F.sum(length).over(before), F.lit(0)).cast("long")).drop("_class", "_nth")
-    alone = gapless_rank(written(rows.where(own).drop("_class")), [], list(order), "_rank")
+    alone = gapless_rank(scratch.written(rows.where(own).drop("_class")), [], order, "_rank")
     alone = alone.withColumn("sequence_id", F.col("_rank") + sequences).withColumn("offset", F.lit(0).cast("long")).drop("_rank")
-    return shared.select(*pieces.columns, "sequence_id", "offset").unionByName(alone.select(*pieces.columns, "sequence_id", "offset"))
+    nowhere = unfit.select("*", F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+    placed = [x.select("_row.*", "sequence_id", "offset") for x in (shared, alone, nowhere)]
+    return placed[0].unionByName(placed[1]).unionByName(placed[2])
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, end: int = 1, capacity: int = 2048) -> DataFrame:

@@ -19,10 +19,29 @@ from eventloom.llm.repetition import SYMBOLS
 
 BITS = 24
 GOOD, BAD, ABSTAIN = 0, 1, 2
-#: Labellers that look at the text alone, in the order of their columns; `annotator` comes on top from the
-#: labels, and for `toxic` two lexicons learnt from the two halves of the labelled sample.
+#: Labellers that look at the text alone, in the order of their columns; an annotator, who gave the labels, comes on top.
 JUNK = ("length", "symbols", "repeats", "variety", "word_length", "lines", "pipes")
-TOXIC = ("lexicon_a", "lexicon_b")
+TOXIC = ("insults", "contempt", "swearing")
+
+# Words that mark each toxic labeller's lexicon, and what may stand after them.
+LEXICONS = (
+    "idiot idiots moron morons loser losers clown clowns scum trash imbecile fool fools jerk creep dumbass bastard vermin parasite pig swine cretin lunatic "
+    "crétin imbécile abruti ordure connard salaud dummkopf trottel abschaum arschloch schwein versager imbécil estúpidos basura payaso cabrón perdedor",
+    "stupid pathetic disgusting worthless dumb useless ugly filthy repulsive vile despicable idiotic moronic brainless ridiculous revolting hateful "
+    "stupide pathétique dégoûtant minable répugnant dumm erbärmlich ekelhaft wertlos widerlich estúpido estúpida patético patética asqueroso asquerosa inútil",
+    "damn crap shit fuck fucking bitch asshole bullshit piss screw hell merde putain foutre scheiße scheisse verdammt mierda joder puta",
+)
+SUFFIXES = ("", ".", ",", "!", "?", ";", ":", "!!", "...", "'s")
+
+
+def _hashes(words: str) -> np.ndarray:
+    """Hashes of the words with each suffix, sorted."""
+    raw = [(w + x).encode() for w in words.split() for x in SUFFIXES]
+    ends = np.cumsum([len(x) for x in raw])
+    return np.unique(K.span_hashes(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], ends[:-1]]), ends))
+
+
+_MARKS = [_hashes(x) for x in LEXICONS]
 
 
 def statistics(part: K.Texts) -> tuple[dict[str, np.ndarray], tuple[np.ndarray, np.ndarray]]:
@@ -49,8 +68,9 @@ def statistics(part: K.Texts) -> tuple[dict[str, np.ndarray], tuple[np.ndarray,
     line_row = np.repeat(np.arange(rows), np.diff(line_first))
     rl, _ = distinct(line_row, K.span_hashes(buf, a, b))
     count = lambda r: np.bincount(r, minlength=rows)[:rows]
+    marks = np.stack([count(row[np.isin(h, x)]) for x in _MARKS], axis=1)
     out = {
-        "words": n, "chars": per_row(~K.SEPARATOR[buf] & ((buf & 0xC0) != 0x80)), "symbols": per_row(SYMBOLS[buf]), "pipes": per_row(buf == ord("|")),
+        "marks": marks, "words": n, "chars": per_row(~K.SEPARATOR[buf] & ((buf & 0xC0) != 0x80)), "symbols": per_row(SYMBOLS[buf]), "pipes": per_row(buf == ord("|")),
         "triples": np.maximum(n - 2, 0), "distinct_triples": count(r3), "distinct_words": count(rw), "lines": np.diff(line_first), "distinct_lines": count(rl),
     }
     return out, (rw, (words >> np.uint64(64 - BITS)).astype(np.int64))
@@ -80,12 +100,22 @@ def junk_votes(s: dict[str, np.ndarray]) -> np.ndarray:
     ], axis=1).astype(np.int8)
 
 
-def stat_features(votes: np.ndarray) -> np.ndarray:
-    """Feature numbers (above the hashed words) of the junk votes."""
+def toxic_votes(s: dict[str, np.ndarray]) -> np.ndarray:
+    """A column of votes for each of TOXIC."""
+    long = (s["words"] >= 5)[:, None]
+    return np.where(s["marks"] > 0, BAD, np.where(long, GOOD, ABSTAIN)).astype(np.int8)
+
+
+def all_votes(s: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([junk_votes(s), toxic_votes(s)], axis=1)
+
+
+def vote_features(votes: np.ndarray) -> np.ndarray:
+    """Feature numbers (above the hashed words) of the votes."""
     return (1 << BITS) + np.arange(votes.shape[1]) * 3 + votes
 
 
-CONSTANT = (1 << BITS) + 3 * len(JUNK)
+CONSTANT = (1 << BITS) + 3 * (len(JUNK) + len(TOXIC))
 #: Words in fewer sampled documents, or of weaker log-odds, have no weight.
 LEAST_DOCUMENTS, LEAST_ODDS = 4, 2.0
 
@@ -105,32 +135,23 @@ class WeakModel:
         return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -50, 50)))
 
 
-def expectation_maximisation(votes: np.ndarray, weight: np.ndarray, trust: np.ndarray, rounds: int = 50, smooth: float = 1.0) -> WeakModel:
+def expectation_maximisation(votes: np.ndarray, weight: np.ndarray, rounds: int = 100, smooth: float = 1.0) -> WeakModel:
     """Fits a WeakModel to vote patterns and how often each occurs.
 
-    `trust` has a given accuracy for each labeller, or 0 where the data are to tell it.  Given ones stay
-    (but for how often they abstain) and tie the two classes to their meaning; the others start as
-    cautious labellers: bad votes rare, and seldom wrong.
+    Every labeller's accuracy is estimated.  What ties the two classes to their meaning is where all start:
+    as cautious labellers, whose bad votes are rare and seldom wrong.
     """
     k = votes.shape[1]
     tables = np.empty((k, 2, 3))
     tables[:] = np.array([[0.65, 0.03, 0.32], [0.35, 0.40, 0.25]])
-    silent = [float(weight[votes[:, j] == ABSTAIN].sum() / max(weight.sum(), 1)) for j in range(k)]
-
-    def given(j: int) -> np.ndarray:
-        a, s = trust[j], min(max(silent[j], 1e-3), 0.999)
-        return np.array([[a * (1 - s), (1 - a) * (1 - s), s], [(1 - a) * (1 - s), a * (1 - s), s]])
-
-    for j in np.flatnonzero(trust):
-        tables[j] = given(j)
     model = WeakModel(0.15, tables)
     for _ in range(rounds if len(votes) else 0):
         bad = model.posterior(votes)
         tables = model.tables.copy()
-        for j in np.flatnonzero(trust == 0):
+        for j in range(k):
             for c, p in ((0, 1 - bad), (1, bad)):
                 tables[j, c] = np.bincount(votes[:, j], weights=p * weight, minlength=3) + smooth
-            tables[j] /= tables[j].sum(axis=1, keepdims=True)
+        tables /= tables.sum(axis=2, keepdims=True)
         model = WeakModel(float(np.clip((bad * weight).sum() / weight.sum(), 1e-4, 0.9)), tables)
     return model
 
@@ -193,91 +214,80 @@ class Classifier:
 def row_features(part: K.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of hashed words, votes and a constant."""
     s, (rows, words) = statistics(part)
-    extra = np.concatenate([stat_features(junk_votes(s)), np.full((len(part), 1), CONSTANT)], axis=1)
+    extra = np.concatenate([vote_features(all_votes(s)), np.full((len(part), 1), CONSTANT)], axis=1)
     return np.concatenate([rows, np.repeat(np.arange(len(part)), extra.shape[1])]), np.concatenate([words, extra.ravel()])
 
 
-def lexicon(rows: np.ndarray, words: np.ndarray, bad: np.ndarray, least: int = 4) -> np.ndarray:
-    """The hashed words that mark bad rows: in `least` of them at least, and nine of ten rows that have them are bad."""
-    names, at = np.unique(words, return_inverse=True)
-    in_bad, in_all = np.bincount(at[bad[rows]], minlength=len(names)), np.bincount(at, minlength=len(names))
-    return names[(in_bad >= least) & (in_bad >= 0.9 * in_all)]
+def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 6_000, sample_features: int = 20_000, key: str = "doc_id", text: str = "text") -> Classifier:
+    """Fits on the texts of at most `sample_rows` labelled rows (those of least hash of the key), of each its
+    `sample_features` greatest feature numbers at most (votes, then hashed words; hashes make that a sample).
+    The labellers' accuracies, the annotator's too, are estimated by EM from the votes on all rows of `df`.
 
-
-def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 6_000, annotator: float = 0.97, key: str = "doc_id", text: str = "text") -> Classifier:
-    """Fits on the texts of at most `sample_rows` labelled rows (those of least hash of the key); the
-    labellers' accuracies are estimated from the votes on all rows of `df`.
-
-    Labels (key, quality, toxic: 1 or 0, null for unknown) are the votes of an annotator of the given accuracy.  The driver sees the
-    sample's feature numbers, its size bounded by the parameter, and counts of vote patterns.
+    Labels (key, quality, toxic: 1 or 0, null for unknown) are the votes of an annotator, one labeller among
+    others.  Of several label rows of a key the worse values count; labels without a key or without a text
+    don't.  Of several rows of a sampled key one is taken; rows of null key vote without an annotator.  The
+    driver sees the sample's feature numbers, in size bounded by the two parameters, and counts of vote
+    patterns, bounded by the number of labellers.  Without rows or labels all scores are what the votes give.
     """
-    chosen = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64(key), key).limit(sample_rows).toPandas()
-    wanted = np.sort(chosen[key].to_numpy(np.int64)) if len(chosen) else np.zeros(0, np.int64)
+    chosen = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias(key)).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    sampled = chosen.orderBy(F.xxhash64(key), key).limit(sample_rows).toPandas()
+    wanted = np.sort(sampled[key].to_numpy(np.int64)) if len(sampled) else np.zeros(0, np.int64)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(np.isin(keys, wanted)))
+            batch = batch.filter(batch.column(0).is_valid())
+            batch = batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), wanted)))
             for part in K.blocks(batch.column(1)):
                 rows, found = row_features(part)
-                order = np.argsort(rows, kind="stable")
-                offsets = np.searchsorted(rows[order], np.arange(len(part) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[order].astype(np.int32)))
+                order = np.lexsort((-found, rows))
+                rows, found = rows[order], found[order]
+                keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < sample_features
+                rows, found = rows[keep], found[keep]
+                offsets = np.searchsorted(rows, np.arange(len(part) + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), lists], [key, "features"])
 
     source = df.select(F.col(key).cast("long").alias(key), text)
-    sample = source.mapInArrow(features, f"`{key}` long, features array<int>").toPandas().merge(chosen, on=key).sort_values(key).reset_index(drop=True)
+    sample = source.mapInArrow(features, f"`{key}` long, features array<int>").groupBy(key).agg(F.min("features").alias("features"))
+    sample = sample.toPandas().merge(sampled, on=key).sort_values(key).reset_index(drop=True)
     counts = sample["features"].map(len).to_numpy(np.int64) if len(sample) else np.zeros(0, np.int64)
     rows = np.repeat(np.arange(len(sample), dtype=np.int32), counts)
     found = np.concatenate(sample.pop("features").tolist()) if len(sample) else np.zeros(0, np.int32)
-    is_word = found < 1 << BITS
-    toxic, quality = (sample[c].to_numpy(float) if len(sample) else np.zeros(0) for c in ("toxic", "quality"))
-    half = sample.index.to_numpy() % 2 == 0
-    lexicons = []
-    for side in (half, ~half):
-        use = is_word & side[rows]
-        lexicons.append(lexicon(rows[use], found[use], toxic == 1))
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.blocks(batch.column(1)):
-                s, (r, words) = statistics(part)
-                junk = junk_votes(s)
-                hit = [np.where(np.bincount(r[np.isin(words, x)], minlength=len(part)) > 0, BAD, GOOD) for x in lexicons]
-                both = np.concatenate([junk, np.stack(hit, axis=1)], axis=1).astype(np.int8)
+                s, _ = statistics(part)
+                both = all_votes(s)
                 code = (both.astype(np.int64) * 3 ** np.arange(both.shape[1])).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), pa.array(code)], [key, "code"])
 
     said = F.coalesce(F.col("quality"), F.lit(-1)).alias("quality"), F.coalesce(F.col("toxic"), F.lit(-1)).alias("toxic")
-    judged = source.mapInArrow(votes, f"`{key}` long, code long").join(labels.select(key, "quality", "toxic"), key, "left")
+    judged = source.mapInArrow(votes, f"`{key}` long, code long").join(chosen, key, "left")
     patterns = judged.groupBy("code", *said).count().toPandas()  # at most 3 to the power of labellers rows
-    width = len(JUNK) + len(TOXIC)
+    width, n_junk = len(JUNK) + len(TOXIC), len(JUNK)
     table = (patterns["code"].to_numpy(np.int64)[:, None] // 3 ** np.arange(width)) % 3 if len(patterns) else np.zeros((0, width), np.int64)
     weight = patterns["count"].to_numpy(float)
 
     def annotated(values: np.ndarray, bad: int) -> np.ndarray:
         return np.where(values == bad, BAD, np.where((values == 0) | (values == 1), GOOD, ABSTAIN)).astype(np.int64)
 
-    n_junk = len(JUNK)
-    junk = np.column_stack([table[:, :n_junk], annotated(patterns["quality"].to_numpy(), 0)])
-    tox = np.column_stack([table[:, n_junk:], annotated(patterns["toxic"].to_numpy(), 1)])
-    junk_model = expectation_maximisation(junk, weight, np.array([0.0] * n_junk + [annotator]))
-    tox_model = expectation_maximisation(tox, weight, np.array([0.0] * len(TOXIC) + [annotator]))
-
-    own = np.full((len(sample), n_junk), ABSTAIN)
-    stats = ~is_word & (found < CONSTANT)
-    own[rows[stats], (found[stats] - (1 << BITS)) // 3] = (found[stats] - (1 << BITS)) % 3
-    hits = [np.where(np.bincount(rows[is_word & np.isin(found, x)], minlength=len(sample)) > 0, BAD, GOOD) for x in lexicons]
-    junk_target = junk_model.posterior(np.column_stack([own, annotated(quality, 0)]).astype(np.int64))
-    tox_target = tox_model.posterior(np.column_stack([*hits, annotated(toxic, 1)]).astype(np.int64))
-    return Classifier(train_linear(rows, found, junk_target), train_linear(rows, found, tox_target), junk_model, tox_model)
+    own = np.full((len(sample), width), ABSTAIN, np.int64)
+    vote = (found >= 1 << BITS) & (found < CONSTANT)
+    own[rows[vote], (found[vote] - (1 << BITS)) // 3] = (found[vote] - (1 << BITS)) % 3
+    models, scorers = [], []
+    for facet, column, bad in ((slice(0, n_junk), "quality", 0), (slice(n_junk, width), "toxic", 1)):
+        model = expectation_maximisation(np.column_stack([table[:, facet], annotated(patterns[column].to_numpy(), bad)]), weight)
+        target = model.posterior(np.column_stack([own[:, facet], annotated(sample[column].to_numpy(float) if len(sample) else np.zeros(0), bad)]))
+        models.append(model)
+        scorers.append(train_linear(rows, found, target))
+    return Classifier(*scorers, *models)
 
 
 def classify(df: DataFrame, model: Classifier, threshold: float = 0.5, text: str = "text") -> DataFrame:
     """Adds junk_score, toxic_score (both 0 to 1) and kept: neither is over `threshold`.
 
-    Null and empty texts have no words and get what the votes on them say; equal texts get equal scores.
+    Null and empty texts have no words and get what the votes on them say; equal texts get equal scores, whatever their keys.
     Existing columns of these names are replaced.  No shuffle; the model, whose size the sample bounds,
     goes with the tasks.
     """

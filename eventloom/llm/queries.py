@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.llm import bpe, fingerprint, lines, near, packing, quality, recompress, repetition, shards, store
-from eventloom.llm.tables import read, scratch_dir, short_batches, written
+from eventloom.llm.tables import Scratch, read, short_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +18,7 @@ def text_bytes(text: str = "text") -> Column:
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)  # texts are long, and the result is lazy: it stays set
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text"), vocabulary, public_tokenizers.PATTERN)
@@ -46,16 +46,17 @@ def op5_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short_batches(spark)
+    scratch = Scratch(spark)
     pieces = packing.token_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=1, capacity=2048)
-    pieces = written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
-    return packing.pack(pieces, capacity=2048)
+    with short_batches(spark):
+        pieces = scratch.written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+    return packing.pack(pieces, capacity=2048, scratch=scratch)
 
 
 def op7_content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short_batches(spark)
-    path = scratch_dir(spark)
-    store.write_store(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    path = Scratch(spark).path()
+    with short_batches(spark):
+        store.write_store(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
     return store.read_digests(spark, path)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom.llm import kernels as K
-from eventloom.llm.tables import written
+from eventloom.llm.tables import Scratch, fields, join_frequent, with_lists
 
 #: Rounds of naming.  Runs are named in the first RUN_ROUNDS of them, where names are short; the symbols
 #: after WINDOW_ROUNDS stand for windows, those after all rounds (some 30 words each) cut rows into segments.
@@ -127,10 +127,18 @@ def window_symbols(found: list[Level], window: int) -> tuple[np.ndarray, np.ndar
     return start, chosen
 
 
-def _rows(part: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    starts, ends, first = part.words()
-    row = np.repeat(np.arange(len(part)), np.diff(first))
-    return starts, ends, first, row, K.span_hashes(part.buf, starts, ends)
+class Words:
+    """The words of some rows: each one's row, each row's first word, names, and their bytes with single spaces."""
+
+    def __init__(self, part: K.Texts):
+        starts, ends, self.first = part.words()
+        self.row = np.repeat(np.arange(len(part)), np.diff(self.first))
+        self.name = K.names(part.buf, starts, ends, *K.classes(part.buf, starts, ends))
+        self.buf, self.begin = K.joined(part.buf, starts, ends)
+
+    def digests(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the words [a, b), from their bytes."""
+        return K.digests(self.buf, self.begin[a], self.begin[b])
 
 
 def _distinct(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,101 +151,114 @@ def _distinct(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndar
     return group[new], value[new]
 
 
-def _check(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[pa.Array]:
-    """A 64-bit and a 32-bit hash of the words [a, b)."""
-    return [pa.array(K.range_hashes(words, a, b, 0).view(np.int64)), pa.array((K.range_hashes(K.mix(words), a, b, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32))]
-
-
 def segment_table(part: K.Texts, window: int) -> list[pa.Array]:
     """For each segment that a window starts in: row, first word and end of its windows' words (counted in
-    the row), their hashes, the symbols of its windows.  Segments begin where top-level symbols do."""
-    _, _, first, row, words = _rows(part)
-    found = levels(words, row) if len(words) else []
+    the row), their digest, the symbols of its windows.  Segments begin where top-level symbols do."""
+    words = Words(part)
+    n, first = len(words.row), words.first
+    found = levels(words.name, words.row) if n else []
     begin, own = (found[-1].start, found[-1].row) if found else (np.zeros(0, np.int64),) * 2
-    stop = np.minimum(np.append(begin[1:], len(words)) + window - 1, first[1:][own]) if len(begin) else begin
+    stop = np.minimum(np.append(begin[1:], n) + window - 1, first[1:][own]) if len(begin) else begin
     stop = np.where(np.append(own[1:] == own[:-1], False), stop, first[1:][own]) if len(begin) else begin
     some = stop - begin >= window
     begin, stop, own = begin[some], stop[some], own[some]
     start, name = window_symbols(found, window) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
     at, name = _distinct(np.searchsorted(begin, start, "right") - 1, name)
     lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, np.arange(len(begin) + 1)).astype(np.int32)), pa.array(name.view(np.int64)))
-    base = first[own] if len(own) else own
-    return [own, pa.array((begin - base).astype(np.int32)), pa.array((stop - base).astype(np.int32)), *_check(words, begin, stop), lists]
+    base, digest = first[own] if len(own) else own, words.digests(begin, stop).view(np.int64)
+    return [own, pa.array((begin - base).astype(np.int32)), pa.array((stop - base).astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists]
+
+
+def window_table(part: K.Texts, window: int, lists: pa.Array) -> list[pa.Array]:
+    """For each different window (among those of one row) whose symbol is in the row's list: row, digest, first words."""
+    words = Words(part)
+    start, name = window_symbols(levels(words.name, words.row), window) if len(words.row) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    own = words.row[start]
+    begin = np.searchsorted(own, np.arange(len(part) + 1))
+    hit = np.zeros(len(start), bool)
+    for i in range(len(part)):
+        x = slice(begin[i], begin[i + 1])
+        hit[x] = np.isin(name[x], lists[part.first + i].values.to_numpy().view(np.uint64))
+    start, own = start[hit], own[hit]
+    digest = words.digests(start, start + window).view(np.int64)
+    order = np.lexsort((start, digest[:, 1], digest[:, 0], own))
+    start, own, digest = start[order], own[order], digest[order]
+    new = np.ones(len(own), bool)
+    new[1:] = (own[1:] != own[:-1]) | (digest[1:] != digest[:-1]).any(axis=1)
+    places = pa.ListArray.from_arrays(pa.array(np.append(np.flatnonzero(new), len(own)).astype(np.int32)), pa.array((start - words.first[own]).astype(np.int32)))
+    return [own[new], pa.array(digest[new, 0]), pa.array(digest[new, 1]), places]
 
 
 ADDED = "n_words long, n_removed long, kept_sha256 string"
 
 
-def drop_repeats(df: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeats(df: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """Removes each word covered by a window of `window` words that also starts in a row of smaller key.
 
-    1. Every row names its words, runs and pairs in rounds; names are hashes of what they stand for, the
+    1. Every row names its words, runs and pairs in rounds; a name is a function of what it stands for, the
        same all over the corpus, so equal passages get equal symbols except near their ends.  Top-level
        symbols cut rows into segments.  An aggregation gives each segment's (with the words of all
        windows that start in it) smallest key: elsewhere the segment is a repeat as a whole.
     2. What is left are borders of repeats, and first holders.  There each window is represented by one
        symbol inside it; symbols that two keys or more still have reveal windows that may repeat.
-    3. Only those windows are hashed (96 bits, as segments); an aggregation gives each one's smallest
-       key, which verifies the repeat.
-
-    Windows are judged on the input, repeats within one row stay.  The row's words that stay are joined
-    by one space where any was removed; other texts are not changed.  Adds n_words, n_removed and the
-    SHA-256 of the kept words joined by one space (existing columns of these names are replaced).  Null
-    and empty texts have no words; a null key comes before all others, rows that share a key never
-    remove from each other.  Frequent segments, symbols and windows only meet in partial aggregations
-    and in joins that adaptive execution can split.
+    3. Only those windows are digested; an aggregation gives each one's smallest key, which verifies the repeat.
+
+    Names only propose.  What decides, for segments as for windows, are 128-bit digests (BLAKE2b) of the
+    bytes of their words.  Windows are judged on the input, repeats within one row stay.  The row's words
+    that stay are joined by one space where any was removed; other texts are not changed.  Adds n_words,
+    n_removed and the SHA-256 of the kept words joined by one space (existing columns of these names are
+    replaced; others may have any name).  Null and empty texts have no words; a null key comes before all
+    others, rows that share a key never remove from each other; an empty table gives no rows.  Frequent
+    segments and windows meet in partial aggregations and are broadcast; so no task gets all rows of one.
+    Each table goes when the tables that are made of it are written; the result reads one list of spans a row.
     """
+    scratch = scratch or Scratch(df.sparkSession)
     df = df.drop(*[c.split()[0] for c in ADDED.split(", ")])
     number = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    docs = df.select(number.alias("_doc"), F.col(text).alias("_text"))
+    same = {"_doc": number, "_t": F.xxhash64(F.col(text))}  # tells rows of one key apart
+    docs = df.select(*[c.alias(n) for n, c in same.items()], F.col(text).alias("_text"))
+    several = [F.min("_doc").alias("_first"), F.count("*").alias("_n"), F.max("_doc").alias("_last")]
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            for part in K.blocks(batch.column(1)):
+            for part in K.blocks(batch.column(2)):
                 own, *columns = segment_table(part, window)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[part.first + own]), *columns], ["_doc", "_at", "_to", "_a", "_b", "_names"])
-
-    cut = written(docs.mapInArrow(segments, "_doc long, _at int, _to int, _a long, _b int, _names array<long>"))
-    owner = cut.groupBy("_a", "_b").agg(F.min("_doc").alias("_owner"))
-    judged = written(cut.join(owner, ["_a", "_b"]).select("_doc", "_at", "_to", (F.col("_owner") < F.col("_doc")).alias("_again"), F.when(F.col("_owner") == F.col("_doc"), F.col("_names")).alias("_names")))
-    again = judged.where("_again").select("_doc", F.struct("_at", "_to").alias("_span"))
-    names = judged.where("not _again").select("_doc", F.explode("_names").alias("_name"))
-    shared = names.groupBy("_name").agg(F.min("_doc").alias("x"), F.max("_doc").alias("y")).where("x <> y").select("_name")
-    marked = names.join(shared, "_name").groupBy("_doc").agg(F.collect_set("_name").alias("_names"))
+                at = pa.array(part.first + own)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *columns], ["_doc", "_t", "_at", "_to", "_a", "_b", "_names"])
+
+    cut = scratch.written(docs.mapInArrow(segments, "_doc long, _t long, _at int, _to int, _a long, _b long, _names array<long>"))
+    owner = scratch.written(cut.groupBy("_a", "_b").agg(*several).where("_first <> _last").select("_a", "_b", "_first", "_n"))
+    again = join_frequent(cut.drop("_names"), owner, ["_a", "_b"], "_n").where("_first < _doc").select("_doc", "_t", "_at", "_to")
+    again = scratch.written(again)
+    names = cut.join(again, ["_doc", "_t", "_at"], "left_anti").select("_doc", "_t", F.explode("_names").alias("_name"))
+    names = scratch.written(names.distinct())
+    scratch.drop(cut, owner)
+    shared = scratch.written(names.groupBy("_name").agg(*several).where("_first <> _last").select("_name", "_n"))
+    marked = scratch.written(join_frequent(names, shared, ["_name"], "_n").groupBy("_doc", "_t").agg(F.collect_set("_name").alias("_names")))
+    scratch.drop(names, shared)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, lists = batch.column(0).to_numpy(), batch.column(2)
-            for part in K.blocks(batch.column(1)):
-                _, _, first, row, words = _rows(part)
-                start, name = window_symbols(levels(words, row), window) if len(words) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-                own = row[start]
-                begin = np.searchsorted(own, np.arange(len(part) + 1))
-                hit = np.zeros(len(start), bool)
-                for i in range(len(part)):
-                    x = slice(begin[i], begin[i + 1])
-                    hit[x] = np.isin(name[x], lists[part.first + i].values.to_numpy().view(np.uint64))
-                start, own = start[hit], own[hit]
-                a, b = (x.to_numpy() for x in _check(words, start, start + window))
-                order = np.lexsort((start, b, a, own))
-                start, own, a, b = start[order], own[order], a[order], b[order]
-                new = np.ones(len(own), bool)
-                new[1:] = (own[1:] != own[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                places = pa.ListArray.from_arrays(pa.array(np.append(np.flatnonzero(new), len(own)).astype(np.int32)), pa.array((start - first[own]).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[part.first + own[new]]), pa.array(a[new]), pa.array(b[new]), places], ["_doc", "_a", "_b", "_at"])
-
-    seen = written(docs.join(marked, "_doc").select("_doc", "_text", "_names").mapInArrow(windows, "_doc long, _a long, _b int, _at array<int>"))
-    first = seen.groupBy("_a", "_b").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).where("_first <> _last").select("_a", "_b", "_first")
-    repeats = seen.join(first, ["_a", "_b"]).where("_first < _doc").select("_doc", F.explode("_at").alias("_at")).select("_doc", F.struct("_at", (F.col("_at") + window).alias("_to")).alias("_span"))
-    gone = again.union(repeats).groupBy("_doc").agg(F.collect_list("_span").alias("_gone"))
+            for part in K.blocks(batch.column(2)):
+                own, *columns = window_table(part, window, batch.column(3))
+                at = pa.array(part.first + own)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *columns], ["_doc", "_t", "_a", "_b", "_at"])
+
+    seen = scratch.written(docs.join(marked, ["_doc", "_t"]).select("_doc", "_t", "_text", "_names").mapInArrow(windows, "_doc long, _t long, _a long, _b long, _at array<int>"))
+    scratch.drop(marked)
+    first = scratch.written(seen.groupBy("_a", "_b").agg(*several).where("_first <> _last").select("_a", "_b", "_first", "_n"))
+    repeats = join_frequent(seen, first, ["_a", "_b"], "_n").where("_first < _doc").select("_doc", "_t", F.explode("_at").alias("_at")).select("_doc", "_t", "_at", (F.col("_at") + window).alias("_to"))
+    gone = scratch.written(again.union(repeats).groupBy("_doc", "_t").agg(F.collect_list(F.struct("_at", "_to")).alias("_gone")))
+    scratch.drop(again, seen, first)
+
+    kept = df.columns
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            at, lists = names.index(text), batch.column(names.index("_gone"))
-            texts, counts, removed, digests = batch.column(at).to_pylist(), [], [], []
-            for part in K.blocks(batch.column(at)):
+            rows, lists = batch.column(0), batch.column(1)
+            columns, at = rows.flatten(), rows.type.get_field_index(text)
+            texts, counts, removed, digests = columns[at].to_pylist(), [], [], []
+            for part in K.blocks(columns[at]):
                 starts, ends, first = part.words()
                 for i in range(len(part)):
                     x = slice(first[i], first[i + 1])
@@ -252,8 +273,7 @@ def drop_repeats(df: DataFrame, window: int = 50, key: str = "doc_id", text: str
                         texts[part.first + i] = b" ".join(words).decode()
                     removed.append(counts[-1] - len(words))
                     digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if names[i] != "_gone"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], [*[x for x in names if x != "_gone"], "n_words", "n_removed", "kept_sha256"])
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], [*kept, "n_words", "n_removed", "kept_sha256"])
 
-    fields = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema)
-    return df.join(gone, number == F.col("_doc"), "left").drop("_doc").mapInArrow(strip, f"{fields}, {ADDED}")
+    return with_lists(df, same, gone).mapInArrow(strip, f"{fields(df)}, {ADDED}")

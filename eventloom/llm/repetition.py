@@ -130,13 +130,14 @@ def measure(texts: K.Texts, rules: Rules) -> dict[str, np.ndarray]:
     line_row = np.repeat(np.arange(rows), np.diff(line_first))
     worded = np.searchsorted(starts, b) > np.searchsorted(starts, a)
     a, b, line_row = a[worded], b[worded], line_row[worded]
-    order = np.lexsort((h := K.span_hashes(buf, a, b), line_row))
-    again = (h[order[1:]] == h[order[:-1]]) & (line_row[order[1:]] == line_row[order[:-1]]) if len(a) else np.zeros(0, bool)
+    _, line = K.classes(buf, a, b)
+    order = np.lexsort((line, line_row))
+    again = (line[order[1:]] == line[order[:-1]]) & (line_row[order[1:]] == line_row[order[:-1]]) if len(a) else np.zeros(0, bool)
     out["n_dup_lines"] = np.bincount(line_row[order[1:]][again] if len(a) else line_row, minlength=rows)[:rows] if len(a) else np.zeros(rows, np.int64)
 
     n = len(starts)
     row = np.repeat(np.arange(rows), n_words)
-    end, levels = ranks_by_doubling(K.span_hashes(buf, starts, ends), row)
+    end, levels = ranks_by_doubling(K.classes(buf, starts, ends)[1], row)
     in_row = lambda flags: np.bincount(row[flags], minlength=rows)
     out["n_repeat_words"] = in_row(covered(repeated(equal_from(levels, end, rules.window)), rules.window, n))
     deep = repeated(equal_from(levels, end, rules.min_repeat))
@@ -153,11 +154,11 @@ def measure(texts: K.Texts, rules: Rules) -> dict[str, np.ndarray]:
 def repetition(df: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
     """Adds the counts of `COLUMNS` and the verdict `kept` to each row.
 
-    Within each text a suffix array over its words (as hashes) is built by prefix doubling; its LCP
+    Within each text a suffix array over its words (as numbers of their contents) is built by prefix doubling; its LCP
     intervals of `min_repeat` words or more are the maximal repeated substrings, their union of spans
     gives `repeat_fraction`, the deepest interval `longest_repeat`.  Overlapping repeats count once.
-    Null and empty texts have no words: they fail the base rules.  Existing columns of these names are
-    replaced.  No shuffle; a task holds about a megabyte of text at a time, or one text.
+    Null and empty texts have no words: they fail the base rules.  Rows are judged alone, so repeated rows
+    get the same values and an empty table gives none.  Existing columns of these names are replaced.  No shuffle; a task holds about a megabyte of text at a time, or one text.
     """
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     df = df.drop(*names)

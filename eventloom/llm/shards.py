@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom.llm.kernels import mix
-from eventloom.llm.tables import gapless_rank, partitions, written
-
-#: A group of over 1/FINE of a shard's capacity is placed before the others, in one list of at most shards x FINE groups.
-FINE = 256
+from eventloom.llm.tables import Scratch, fields, gapless_rank, join_frequent
 
 
 class Bins:
@@ -25,11 +22,15 @@ class Bins:
         self.priority: list[int] = []
         self.root = -1
         for c in capacities:
-            self.left.append(-1)
-            self.right.append(-1)
-            self.room.append(int(c))
-            self.priority.append(int(mix(np.array([len(self.room)], np.uint64))[0]))
-            self._insert(len(self.room) - 1)
+            self.add(c)
+
+    def add(self, capacity: int) -> int:
+        self.left.append(-1)
+        self.right.append(-1)
+        self.room.append(int(capacity))
+        self.priority.append(int(mix(np.array([len(self.room)], np.uint64))[0]))
+        self._insert(len(self.room) - 1)
+        return len(self.room) - 1
 
     def _key(self, node: int) -> tuple[int, int]:
         return self.room[node], node
@@ -64,83 +65,90 @@ class Bins:
         _, b = self._split(rest, (self.room[node], node + 1))
         self.root = self._join(a, b)
 
-    def place(self, size: int) -> int:
-        """The bin with the least room for `size`; where none has it, the one with the most room."""
-        node, found = self.root, -1
-        last = node
+    def tightest(self, size: int) -> int | None:
+        """The bin with the least room for `size`, None where none has it."""
+        node, found = self.root, None
         while node >= 0:
-            last = node
             if self.room[node] >= size:
                 found, node = node, self.left[node]
             else:
                 node = self.right[node]
-        if found < 0:
-            node = self.root
-            while node >= 0:
-                last, node = node, self.right[node]
-            found = last
-        self._remove(found)
-        self.room[found] -= size
-        self._insert(found)
         return found
 
+    def roomiest(self) -> int:
+        node = self.root
+        while self.right[node] >= 0:
+            node = self.right[node]
+        return node
 
-def best_fit_decreasing(sizes: np.ndarray, capacities: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A bin for each size, largest first, and the room left in each bin."""
-    bins, out = Bins(capacities), np.empty(len(sizes), np.int32)
-    for i in np.argsort(-sizes, kind="stable"):
-        out[i] = bins.place(int(sizes[i]))
-    return out, np.array(bins.room, np.int64)
+    def take(self, node: int, size: int) -> None:
+        self._remove(node)
+        self.room[node] -= size
+        self._insert(node)
 
 
-def shard(df: DataFrame, size: str, group: list[str], order: list[str], n_shards: int | None = None, capacity: int | None = None) -> DataFrame:
-    """Adds `shard` and `slot` (gapless from 0 in its shard): groups stay whole and shards near equal in total `size`.
+def best_fit_decreasing(sizes: np.ndarray, counts: np.ndarray, bins: int, capacity: int, more: bool = False) -> tuple[np.ndarray, int]:
+    """Places counts[i] groups of sizes[i], largest first, in `bins` bins of `capacity`; and how many bins there
+    are then.  Rows (size, first, count, bin): of the groups of that size, `count` from the `first` on go there.
 
-    Give n_shards, or the capacity of a shard in units of `size`: then as few shards as hold the total.
-    Rows of equal `group` columns (null equals null) go to one shard.  A group larger than a shard can't
-    stay whole: its rows, numbered, are cut into pieces of one shard's capacity.  Pieces and groups of
-    over 1/FINE of a capacity are few by arithmetic and are packed first, best fit decreasing.  The rest
-    goes, by a hash of the group, to tasks; each packs its groups into its share of the room that is
-    left, decreasing again, so shards differ by about one small group for each task.
-    Ties and repeated rows are ordinary members of their group; an empty table gives no rows.  Only
-    group sizes are shuffled, never other columns than those of `df`: pass it without texts.
+    Groups of one size go to the same bin until it has no room for another, as one by one they would.  A group
+    that fits nowhere opens a bin if there may be `more`, else it goes where there is most room.
+    """
+    tree, out = Bins([capacity] * bins), []
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        size, left, first = int(sizes[i]), int(counts[i]), 0
+        while left:
+            at = tree.tightest(size)
+            if at is None and more:
+                at = tree.add(max(capacity, size))
+            n = 1 if at is None else left if size == 0 else min(left, tree.room[at] // size)
+            at = tree.roomiest() if at is None else at
+            tree.take(at, n * size)
+            out.append((size, first, n, at))
+            first, left = first + n, left - n
+    return np.array(out, np.int64).reshape(-1, 4), len(tree.room)
+
+
+def shard(df: DataFrame, size: str, group: list[str], order: list[str], n_shards: int | None = None, capacity: int | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """Adds `shard` and `slot` (gapless from 0 in its shard, by `order`): groups stay whole, best fit decreasing.
+
+    Give n_shards: then shards are near equal in total `size` (a group that fits nowhere, since it is larger
+    than what is left or than a shard, goes where there is most room).  Or the capacity of a shard in units
+    of `size`: then a group that fits nowhere opens a shard, alone there if it is larger than the capacity.
+    Rows of equal `group` columns (null equals null) are one group and go to one shard, however many they are.
+
+    The driver has a table of the groups' different sizes with their counts (distinct numbers that add up to
+    no more than the total, so fewer than the square root of twice the total) and the shards; never groups or
+    rows.  From it come ranges of ranks; each group gets its rank among those of its size, and so its shard.
+    A null size counts as 0; ties are broken by the group's columns; repeated rows are ordinary members of
+    their group; an empty table gives no rows.  Existing columns `shard` and `slot` are replaced, others may
+    have any name.
     """
-    spark = df.sparkSession
-    rows = written(df.withColumn("_g", F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in group])))
-    total = rows.agg(F.sum(size)).first()[0] or 0
-    n = n_shards or max(1, -(-total // capacity))
-    full = max(1, -(-total // n))
-    sizes = rows.groupBy("_g", *group).agg(F.sum(size).alias("_size"), F.max(size).alias("_row"))
-    over = sizes.where(F.col("_size") > full).select("_g", *[F.col(c).alias(f"_{c}") for c in group], F.greatest(F.lit(1), F.floor(F.lit(full) / F.col("_row"))).cast("long").alias("_each"))
-    same = lambda left, right: [left._g == right._g, *[left[c].eqNullSafe(right[f"_{c}"]) for c in group]]
-    hot = rows.join(F.broadcast(over), same(rows, over)).select(rows["*"], "_each")  # at most n groups are larger than a shard
-    if over.isEmpty():
-        rows = rows.withColumn("_piece", F.lit(0).cast("long"))
+    scratch = scratch or Scratch(df.sparkSession)
+    df = df.drop("shard", "slot")
+    named = {f"_group{k}": F.col(c) for k, c in enumerate(group)} | {f"_order{k}": F.col(c) for k, c in enumerate(order)} | {"_size": F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long"))}
+    keys, by = [c for c in named if c.startswith("_group")], [c for c in named if c.startswith("_order")]
+    rows = scratch.written(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(n) for n, c in named.items()]))
+    groups = scratch.written(rows.groupBy(*keys).agg(F.sum("_size").alias("_total"), F.count("*").alias("_n")))
+    found = groups.groupBy("_total").agg(F.count("*").alias("n")).orderBy("_total").toPandas()
+    sizes, counts = found["_total"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    total = int((sizes * counts).sum())
+    if n_shards:
+        plan, _ = best_fit_decreasing(sizes, counts, n_shards, -(-total // n_shards))
     else:
-        hot = gapless_rank(written(hot), ["_g", *group], order, "_rank")
-        hot = hot.withColumn("_piece", F.floor(F.col("_rank") / F.col("_each"))).select(*rows.columns, "_piece")
-        cold = rows.join(F.broadcast(over), same(rows, over), "left_anti").withColumn("_piece", F.lit(0).cast("long"))
-        rows = written(cold.unionByName(hot))
-    pieces = written(rows.groupBy("_g", *group, "_piece").agg(F.sum(size).alias("_size")).select(F.xxhash64("_g", "_piece").alias("_item"), "_size"))
-    large = pieces.where(F.col("_size") * FINE > full)
-    placed = large.orderBy(F.desc("_size"), "_item").toPandas()  # at most n x FINE rows
-    shards, room = best_fit_decreasing(placed["_size"].to_numpy(np.int64), np.full(n, full, np.int64))
-    by_hand = spark.createDataFrame(pd.DataFrame({"_item": placed["_item"].astype("int64"), "shard": shards}), "_item long, shard int")
-    room, rest = np.maximum(room, 0), total - int(placed["_size"].sum())
-    share = room / max(1, room.sum())
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = int(pdf["_size"].sum())
-        pdf = pdf.sort_values(["_size", "_item"], ascending=[False, True])
-        turn = int(pdf["_bucket"].iloc[0]) % n
-        quota = np.roll(np.ceil(share * own).astype(np.int64), turn)
-        bins, _ = best_fit_decreasing(pdf["_size"].to_numpy(np.int64), quota)
-        return pd.DataFrame({"_item": pdf["_item"], "shard": ((bins - turn) % n).astype("int32")})
-
-    small = pieces.where(F.col("_size") * FINE <= full)
-    if rest:
-        buckets = max(1, min(partitions(spark), rest // max(1, full // FINE) // n))
-        small = small.withColumn("_bucket", F.pmod(F.hash("_item"), F.lit(int(buckets)))).groupBy("_bucket").applyInPandas(pack, "_item long, shard int")
-        by_hand = by_hand.unionByName(small)
-    found = rows.withColumn("_item", F.xxhash64("_g", "_piece")).join(by_hand, "_item").drop("_item", "_g", "_piece")
-    return gapless_rank(written(found), ["shard"], order, "slot")
+        plan, _ = best_fit_decreasing(sizes, counts, 0, capacity, more=True)
+    before = np.cumsum(counts) - counts  # groups in the order of their sizes
+    begin = before[np.searchsorted(sizes, plan[:, 0])] + plan[:, 1]
+    ranges, bins = np.sort(begin), plan[np.argsort(begin), 3].astype(np.int32)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, rank = (batch.column(batch.schema.names.index(x)).to_numpy() for x in ("_total", "_rank"))
+            at = np.searchsorted(ranges, before[np.searchsorted(sizes, own)] + rank, "right") - 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bins[at])], [*batch.schema.names, "shard"])
+
+    ranked = gapless_rank(groups, ["_total"], keys, "_rank")
+    placed = scratch.written(ranked.mapInArrow(place, f"{fields(ranked)}, shard int").select(*keys, "_n", "shard"))
+    dealt = scratch.written(join_frequent(rows, placed, keys, "_n").select("_row", *by, "shard"))
+    scratch.drop(rows, groups, placed)
+    return gapless_rank(dealt, ["shard"], by, "slot").select("_row.*", "shard", "slot")

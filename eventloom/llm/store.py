@@ -56,6 +56,8 @@ def borders(ids: np.ndarray) -> list[int]:
 
 def pack_ids(ids: np.ndarray, width: int) -> bytes:
     """Ids (unsigned 32-bit) as `width` planes of bytes, compressed."""
+    if width < 4 and len(ids) and int(ids.max()) >> 8 * width:
+        raise ValueError(f"an id needs more than {width} bytes: write the store with wide=True")
     planes = np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4)[:, :width].T)
     return _compressor().compress(planes.tobytes())
 
@@ -156,7 +158,8 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide:
                             rows.append(("chunk", digest, e - last, pack_ids(ids[last:e], width), None, None, None, None))
                         last = e
                     root = merkle(own)
-                    rows.append(("recipe", root, None, None, keys[i], len(ids), own, root))
+                    place = hashlib.sha256(root + repr(keys[i]).encode()).digest()[:16]  # equal documents spread
+                    rows.append(("recipe", place, None, None, keys[i], len(ids), own, root))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,59 +1,137 @@
-"""Reading the tables, scratch tables on the shared folder, and gapless ranks."""
+"""Reading the tables, scratch tables on the shared folder, joins on frequent keys, gapless ranks."""
 
 from __future__ import annotations
 
+import functools
+import operator
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+#: Keys that more than one in so many rows have are joined by broadcast: there can't be more of them than this.
+FREQUENT = 5_000
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_scratch: list[str] = []
-
+@functools.cache
+def _local_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
 
-def scratch_dir(spark: SparkSession, keep: bool = False) -> str:
-    """A new path in the folder that spark.checkpoint.dir names; where it is unset, in a local one (tests).
 
-    `sweep` deletes it later, unless it is to be kept."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names.  Where it is unset, a session in local mode (tests) has one
+    of its own; on a cluster that would be lost rows, so it raises."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-    if not keep:
-        _scratch.append(path)
-    return path
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local_folder()
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: Any) -> Iterator[None]:
+    """A setting of the session for what is executed inside; the former one afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def short_batches(spark: SparkSession, rows: int = 2000):
+    """While inside, fewer rows go to a Python worker at once: texts are long, and a worker holds a batch two
+    or three times over."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+class Scratch:
+    """The scratch tables of one run.  Results that read them are lazy, so only who made the Scratch may delete
+    them, when those results are written; what nobody deletes goes when the driver ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.of: dict[str, DataFrame] = {}
+
+    def path(self) -> str:
+        path = f"{shared_folder(self.spark)}/{uuid.uuid4().hex}"
+        fs, at = self._fs(path)
+        fs.deleteOnExit(at)
+        self.of[path] = None
+        return path
+
+    def _fs(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """The rows written as Parquet to the shared folder and read again: later steps neither recompute
+        them nor depend on an executor that may be lost.  The shuffle files behind them go at once."""
+        path = self.path()
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            df.write.parquet(path)
+        self.of[path] = out = self.spark.read.schema(df.schema).parquet(path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing reads any more."""
+        for path in [p for p, t in self.of.items() if any(t is x for x in tables)]:
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        fs, at = self._fs(path)
+        fs.delete(at, True)
+        fs.cancelDeleteOnExit(at)
+        del self.of[path]
+
+    def delete(self) -> None:
+        for path in list(self.of):
+            self._delete(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.delete()
 
 
-def sweep(spark: SparkSession) -> None:
-    """Deletes the scratch tables so far: for callers that have written all results that depend on them."""
-    while _scratch:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def written(df: DataFrame, keep: bool = False) -> DataFrame:
-    """The rows written as Parquet to the shared folder and read again: later steps neither
-    recompute them nor depend on an executor that may be lost."""
-    path = scratch_dir(df.sparkSession, keep)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def join_frequent(rows: DataFrame, keyed: DataFrame, keys: Sequence[str], often: str) -> DataFrame:
+    """The inner join of `rows` with `keyed` (written tables), whose keys are distinct (null equals null);
+    `often` is a column of `keyed` with how many rows have the key.  Rows of keys that more than one row in
+    FREQUENT has stay where they are: those keys are few by arithmetic and are broadcast.  Others meet in a shuffle."""
+    total = keyed.agg(F.sum(often)).first()[0] or 0
+    frequent = F.col(often) * FREQUENT > total
+    keyed = keyed.withColumnsRenamed({k: f"__{k}" for k in keys})
+    hot, cold, own = keyed.where(frequent).drop(often), keyed.where(~frequent).drop(often), [f"__{k}" for k in keys]
+    same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    stay = rows.join(F.broadcast(hot), same).drop(*own)
+    return stay.unionByName(rows.join(F.broadcast(hot.select(*own)), same, "left_anti").join(cold, same).drop(*own))
 
 
-def short_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Sets how many rows go to a Python worker at once in this session: texts are long, and a worker holds
-    a batch two or three times over."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def fields(df: DataFrame) -> str:
+    """The columns with their types, as functions on Arrow batches want them."""
+    return ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def with_lists(df: DataFrame, on: dict[str, Column], lists: DataFrame) -> DataFrame:
+    """(the row as one struct, what `lists` (the columns of `on`, and another) has for it or null): whatever the
+    columns of `df` are called, none clashes."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(f"{n}_") for n, c in on.items()])
+    same = [F.col(f"{n}_") == F.col(n) for n in on]
+    return rows.join(lists, functools.reduce(operator.and_, same), "left").select("_row", *[c for c in lists.columns if c not in on])
 
 
 def gapless_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -62,14 +140,16 @@ def gapless_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     Rows go to (key, slice of a hash of `order`), are numbered in each slice, and get the sum of the
     earlier slices' counts, a table of keys x slices.  The rank follows (slice, order), the same at
     every run; rows equal in all of `order` are interchangeable.  `df` is read twice, so write it first.
+    Column names that begin with two underscores are the rank's own.
     """
     n = partitions(df.sparkSession)
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(n)).cast("int"))
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_slice").alias("_s"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)).cast("long") - 1
-    on = F.col("_slice") == F.col("_s")
+    sliced = df.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(n)).cast("int"))
+    counts = sliced.groupBy(*keys, "__slice").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__slice").alias("__s"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "__slice").orderBy(*order)).cast("long") - 1
+    on = F.col("__slice") == F.col("__s")
     for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return sliced.withColumn("_in", inside).join(counts, on).withColumn(name, F.col("_before") + F.col("_in")).drop("_slice", "_s", "_in", "_before", *[f"_{k}" for k in keys])
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    ranked = sliced.withColumn("__in", inside).join(counts, on).withColumn(name, F.col("__before") + F.col("__in"))
+    return ranked.drop("__slice", "__s", "__in", "__before", *[f"__{k}" for k in keys])

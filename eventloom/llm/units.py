@@ -69,7 +69,7 @@ class UnitCoder:
         """(row, ids and `end`) of each text, in order; null counts as empty."""
         for part in K.blocks(column, BLOCK):
             starts, ends, first = unit_spans(part)
-            _, at, inverse = np.unique(K.span_hashes(part.buf, starts, ends), return_index=True, return_inverse=True)
+            at, inverse = K.classes(part.buf, starts, ends)
             raw = part.buf.tobytes()
             ids = self._ids([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             counts = np.array([len(x) // 4 for x in ids], np.int64)
