@@ -1,6 +1,7 @@
 """From raw documents to packed training sequences, in stages whose results are written and read again.
 
-A stage starts when its predecessor's rows are written, so it first deletes the scratch tables before it.
+Every stage takes and returns the columns of documents, the last one adds its own.  Null or empty texts, repeated
+rows, ties and empty tables are what the stage's operator says; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -8,52 +9,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.llm import lines, near, packing, quality, recompress
-from eventloom.llm.tables import read, short_batches, sweep, written
+from eventloom.llm.tables import Scratch, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: The scratch tables of the stage that ran last over a folder's tables.  A stage starts when its predecessor's
+#: rows are written, so it deletes those, and no others.
+_before: dict[str, Scratch] = {}
 
-def begin(spark: SparkSession) -> None:
-    short_batches(spark)
-    sweep(spark)
+
+def begin(spark: SparkSession, sf_dir: str) -> Scratch:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)  # texts are long, and stages are lazy: it stays set
+    if sf_dir in _before:
+        _before.pop(sf_dir).delete()
+    _before[sf_dir] = scratch = Scratch(spark)
+    return scratch
+
+
+def _n_chars(docs: DataFrame) -> Column:
+    """The length again, where a stage took something away."""
+    return F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that either scorer calls bad go."""
-    begin(spark)
+    """Documents that either scorer calls bad go; null and empty texts are judged by the votes on them."""
+    begin(spark, sf_dir)
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.classify(docs, model).where("kept").select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go, but for their first document; a document that has no word left without them goes."""
-    begin(spark)
-    out = lines.spread_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    out = lines.spread_lines(docs, scratch=begin(spark, sf_dir)).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return out.withColumn("n_chars", _n_chars(docs)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one of smallest doc_id stays."""
-    begin(spark)
-    found = near.jaccard_components(docs, near.Jaccard(words=5, percent=80))
-    return docs.join(found.where("component_id < doc_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """Of each component of linked documents the one of smallest doc_id stays (all rows that have it); rows of null doc_id stay."""
+    found = near.jaccard_components(docs, near.Jaccard(words=5, percent=80), scratch=begin(spark, sf_dir))
+    return docs.join(found.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more stay in one document; a document with nothing else goes."""
-    begin(spark)
-    out = recompress.drop_repeats(docs, window=50).where("n_removed = 0 or n_removed < n_words")
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    out = recompress.drop_repeats(docs, window=50, scratch=begin(spark, sf_dir)).where("n_removed = 0 or n_removed < n_words")
+    return out.withColumn("n_chars", _n_chars(docs)).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    begin(spark)
+    """Each document's ids and an end id, in pieces of 2048 ids at most, in sequences: one row a piece.  Null and
+    empty texts have the end id alone."""
+    scratch = begin(spark, sf_dir)
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1, capacity=2048)
-    pieces = written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
-    return packing.pack(pieces, capacity=2048)
+    pieces = scratch.written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+    return packing.pack(pieces, capacity=2048, scratch=scratch)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -69,7 +81,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = Scratch(spark)
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), keep=True)
+        last, docs = docs, results.written(stage(spark, docs, sf_dir))
+        results.drop(last)
+    _before.pop(sf_dir).delete()
     return docs
