@@ -19,7 +19,9 @@ from eventloom.llm.repetition import SYMBOLS
 
 BITS = 24
 GOOD, BAD, ABSTAIN = 0, 1, 2
-#: Labellers that look at the text alone, in the order of their columns; an annotator, who gave the labels, comes on top.
+#: Labellers that look at the text alone, in the order of their columns.  On top come an annotator, who gave the
+#: labels, and for `toxic` two lexicons mined in the two halves of the labelled sample: insults of languages, or of
+#: one community, that no fixed list has.
 JUNK = ("length", "symbols", "repeats", "variety", "word_length", "lines", "pipes")
 TOXIC = ("insults", "contempt", "swearing")
 
@@ -218,10 +220,17 @@ def row_features(part: K.Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([rows, np.repeat(np.arange(len(part)), extra.shape[1])]), np.concatenate([words, extra.ravel()])
 
 
+def lexicon(rows: np.ndarray, words: np.ndarray, bad: np.ndarray, least: int = 4) -> np.ndarray:
+    """The hashed words that mark bad rows: in `least` of them at least, and nine of ten rows that have them are bad."""
+    names, at = np.unique(words, return_inverse=True)
+    in_bad, in_all = np.bincount(at[bad[rows]], minlength=len(names)), np.bincount(at, minlength=len(names))
+    return names[(in_bad >= least) & (in_bad >= 0.9 * in_all)]
+
+
 def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 6_000, sample_features: int = 20_000, key: str = "doc_id", text: str = "text") -> Classifier:
     """Fits on the texts of at most `sample_rows` labelled rows (those of least hash of the key), of each its
     `sample_features` greatest feature numbers at most (votes, then hashed words; hashes make that a sample).
-    The labellers' accuracies, the annotator's too, are estimated by EM from the votes on all rows of `df`.
+    The labellers' accuracies, the annotator's and the mined lexicons' too, are estimated by EM from the votes on all rows of `df`.
 
     Labels (key, quality, toxic: 1 or 0, null for unknown) are the votes of an annotator, one labeller among
     others.  Of several label rows of a key the worse values count; labels without a key or without a text
@@ -253,19 +262,26 @@ def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 6_000, sample_featu
     counts = sample["features"].map(len).to_numpy(np.int64) if len(sample) else np.zeros(0, np.int64)
     rows = np.repeat(np.arange(len(sample), dtype=np.int32), counts)
     found = np.concatenate(sample.pop("features").tolist()) if len(sample) else np.zeros(0, np.int32)
+    said_toxic = sample["toxic"].to_numpy(float) == 1 if len(sample) else np.zeros(0, bool)
+    is_word, half = found < 1 << BITS, np.arange(len(sample)) % 2 == 0
+    lexicons = [lexicon(rows[use], found[use], said_toxic) for use in (is_word & half[rows], is_word & ~half[rows])]
+
+    def mined(r: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([np.where(np.bincount(r[np.isin(words, x)], minlength=n) > 0, BAD, GOOD) for x in lexicons], axis=1).astype(np.int8)
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.blocks(batch.column(1)):
-                s, _ = statistics(part)
-                both = all_votes(s)
+                s, (r, words) = statistics(part)
+                both = np.concatenate([all_votes(s), mined(r, words, len(part))], axis=1)
                 code = (both.astype(np.int64) * 3 ** np.arange(both.shape[1])).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), pa.array(code)], [key, "code"])
 
     said = F.coalesce(F.col("quality"), F.lit(-1)).alias("quality"), F.coalesce(F.col("toxic"), F.lit(-1)).alias("toxic")
     judged = source.mapInArrow(votes, f"`{key}` long, code long").join(chosen, key, "left")
     patterns = judged.groupBy("code", *said).count().toPandas()  # at most 3 to the power of labellers rows
-    width, n_junk = len(JUNK) + len(TOXIC), len(JUNK)
+    n_junk, n_fixed = len(JUNK), len(JUNK) + len(TOXIC)
+    width = n_fixed + len(lexicons)
     table = (patterns["code"].to_numpy(np.int64)[:, None] // 3 ** np.arange(width)) % 3 if len(patterns) else np.zeros((0, width), np.int64)
     weight = patterns["count"].to_numpy(float)
 
@@ -273,6 +289,7 @@ def fit(df: DataFrame, labels: DataFrame, sample_rows: int = 6_000, sample_featu
         return np.where(values == bad, BAD, np.where((values == 0) | (values == 1), GOOD, ABSTAIN)).astype(np.int64)
 
     own = np.full((len(sample), width), ABSTAIN, np.int64)
+    own[:, n_fixed:] = mined(rows[is_word], found[is_word], len(sample))
     vote = (found >= 1 << BITS) & (found < CONSTANT)
     own[rows[vote], (found[vote] - (1 << BITS)) // 3] = (found[vote] - (1 << BITS)) % 3
     models, scorers = [], []

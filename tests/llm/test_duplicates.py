@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import lines, near, recompress
 from eventloom.llm.components import components
+from eventloom.llm.tables import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,7 +69,7 @@ def test_near_edges(spark, docs):
 
 def test_connected_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
-    got = {r.id: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    got = {r.id: r.component for r in components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark)).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[100] == got[95] == got[90] == 90
 
 
@@ -144,3 +145,27 @@ def test_many_sites(spark):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     got = lines.spread_lines(df, min_sites=1003).groupBy((F.col("doc_id") >= 5000).alias("second")).agg(F.sum("n_removed").alias("n")).collect()
     assert {r.second: r.n for r in got} == {False: 0, True: 1004}
+
+
+def test_rows_that_share_a_key(spark):
+    """Rows of one key but other texts lose only words of their own; clashing names pass through."""
+    rnd = random.Random(4)
+    passage = " ".join(f"p{k}" for k in range(60))
+    own = [" ".join(f"u{rnd.randrange(10**6)}" for _ in range(n)) for n in (5, 200)]
+    rows = [(1, passage, 7), (2, f"{own[1]} {passage}", 8), (2, own[0], 9), (None, own[0], 10), (None, "x", 11), (3, " ".join(f"l{k}" for k in range(40_000)), 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone long").withColumn("_doc", F.lit(0)).withColumn("_row", F.lit("r"))
+    got = {r._gone: r for r in recompress.drop_repeats(df).collect()}
+    assert {k: r.n_removed for k, r in got.items()} == {7: 0, 8: 60, 9: 0, 10: 0, 11: 0, 12: 0} and got[8].text == own[1] and got[9]._row == "r"
+    df = df.withColumn("source", F.lit("s"))
+    assert lines.spread_lines(df).count() == 6 and near.jaccard_components(df).count() == 6
+
+
+def test_blocks_of_a_frequent_shingle(spark, monkeypatch):
+    """Many short texts that share a shingle, paired in blocks."""
+    monkeypatch.setattr(near, "BLOCK", 5)
+    monkeypatch.setattr(near, "STARS", 0)
+    rnd = random.Random(12)
+    rows = [(i, "same four words here " + " ".join(rnd.choice("abc") for _ in range(rnd.randrange(3)))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, percent in ((4, 85), (2, 60)):
+        assert found(df, near.Jaccard(k, percent, overlap=1)) == links_brute(rows, k, percent)

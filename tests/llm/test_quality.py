@@ -90,7 +90,17 @@ def test_em_finds_accuracies():
     truth = rng.random(n) < prior
     votes = np.stack([np.where(rng.random(n) < a, truth, ~truth) for a in acc], axis=1).astype(int)
     votes[rng.random(n) < 0.5, 3] = quality.ABSTAIN
-    model = quality.expectation_maximisation(votes, np.ones(n), np.array([0, 0, 0, 0.97]))
+    model = quality.expectation_maximisation(votes, np.ones(n))
     assert abs(model.prior - prior) < 0.03
-    for k in range(3):
-        assert abs(model.tables[k, 1, quality.BAD] - acc[k]) < 0.05
+    for k in range(4):
+        said = model.tables[k, 1, :2].sum()
+        assert abs(model.tables[k, 1, quality.BAD] / said - acc[k]) < 0.05
+
+
+def test_repeated_labels_and_null_keys(spark, docs):
+    """Doubled label rows change nothing; null keys and a document of key -1 don't mix."""
+    labels = spark.createDataFrame([(3 * i, i % 3 > 0, i % 5 == 0) for i in range(100)], "doc_id long, q boolean, t boolean").selectExpr("doc_id", "int(q) as quality", "int(t) as toxic")
+    odd = docs.unionByName(spark.createDataFrame([(None, "you idiot, you pathetic clown of a loser", "a", 1), (-1, "plain words of a plain text", "a", 1)], docs.schema))
+    one, two = (quality.fit(odd, x, sample_features=50) for x in (labels, labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 0, 1)], labels.schema))))
+    assert (one.junk.weights == two.junk.weights).all() and one.toxic_labellers.prior == two.toxic_labellers.prior
+    assert quality.classify(odd, one).count() == odd.count()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventloom.llm import bpe, packing, store, tokens
-from eventloom.llm.tables import scratch_dir, written
+from eventloom.llm.tables import Scratch
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
@@ -42,7 +42,6 @@ def test_long_pre_tokens_and_random_texts(reference):
 
 def ids_of(corpus, end):
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return {i: np.array([*t.encode(x or "", add_special_tokens=False).ids, end], "<u4") for i, x in corpus}
 
 
@@ -63,7 +62,7 @@ def test_special_strings_equal_the_library():
 
 
 def test_packing_is_complete_and_tight(spark, docs, corpus):
-    pieces = written(packing.token_pieces(docs, JSON, end=1, capacity=256))
+    pieces = Scratch(spark).written(packing.token_pieces(docs, JSON, end=1, capacity=256))
     rows = packing.pack(pieces, capacity=256).toPandas()
     wanted = ids_of(corpus, 1)
     for key, own in rows.groupby("doc_id"):
@@ -76,7 +75,10 @@ def test_packing_is_complete_and_tight(spark, docs, corpus):
         assert own["length"].sum() <= 256
         total += 1
     assert total <= 1.05 * -(-rows["length"].sum() // 256)
-    assert packing.pack(written(pieces.limit(0)), capacity=256).count() == 0
+    assert packing.pack(pieces.limit(0), capacity=256).count() == 0
+    odd = spark.createDataFrame([(1, 0, 5, 9), (1, 0, 5, 9), (2, 0, 0, 9), (3, 0, None, 9), (4, 0, 300, 9), (None, None, 256, 9)], "doc_id long, start long, length int, _class int")
+    out = packing.pack(odd.withColumn("sequence_id", F.lit("x")).withColumn("offset", F.lit(1)), capacity=256)
+    assert sorted(r.doc_id or 0 for r in out.where("sequence_id is null").collect()) == [2, 3, 4] and out.count() == 6
 
 
 def test_patterns_meet_the_demand():
@@ -89,7 +91,7 @@ def test_patterns_meet_the_demand():
 
 
 def test_store_round_trip(spark, docs, corpus):
-    path = scratch_dir(spark)
+    path = Scratch(spark).path()
     twice = docs.unionByName(docs.where("doc_id = 0"))
     store.write_store(twice, path, JSON, end=2)
     wanted, start = ids_of(corpus, 2), 0
@@ -106,7 +108,7 @@ def test_store_round_trip(spark, docs, corpus):
 
 
 def test_store_damage_is_found(spark, docs):
-    path = scratch_dir(spark)
+    path = Scratch(spark).path()
     store.write_store(docs, path, JSON, end=2)
     parts = spark.read.parquet(f"{path}/parts")
     worst = parts.where("kind = 'chunk'").select("hash").first().hash
@@ -117,7 +119,7 @@ def test_store_damage_is_found(spark, docs):
 
 
 def test_manifest_finds_lost_and_swapped_recipes(spark, docs):
-    path = scratch_dir(spark)
+    path = Scratch(spark).path()
     store.write_store(docs, path, JSON, end=2)
     parts, recipes, manifest = (spark.read.parquet(f"{path}/{x}") for x in ("parts", "recipes", "manifest"))
     lost = recipes.where("doc_id <> 3")
@@ -135,7 +137,7 @@ def test_manifest_finds_lost_and_swapped_recipes(spark, docs):
 
 
 def test_empty_store(spark, docs):
-    path = scratch_dir(spark)
+    path = Scratch(spark).path()
     store.write_store(docs.limit(0), path, JSON)
     assert store.read_digests(spark, path).count() == 0
 
