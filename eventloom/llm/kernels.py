@@ -99,10 +99,10 @@ def unequal(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, of: np.ndarra
     return np.concatenate(found)
 
 
-def classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(at, which): the number of one span of each content, and each span's place among these.  Spans are in
     one class if and only if their bytes are equal: hashes propose, the bytes decide."""
-    _, at, which = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    _, at, which = np.unique(span_hashes(buf, starts, ends) if hashes is None else hashes, return_index=True, return_inverse=True)
     odd = unequal(buf, starts, ends, at[which])
     if len(odd):
         known: dict[bytes, int] = {}
@@ -124,11 +124,6 @@ def digests(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return np.frombuffer(found, "<u8").reshape(-1, 2)
 
 
-def names(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each span, the first half of its digest; each class of `classes` is digested once."""
-    return digests(buf, starts[at], ends[at])[:, 0][which]
-
-
 def joined(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The spans' bytes, each with one space after it, and where each begins there (one more than spans)."""
     size = ends - starts

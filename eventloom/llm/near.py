@@ -50,8 +50,8 @@ class Shingles:
     def __init__(self, texts: K.Texts, words: int):
         low = K.LOWER[texts.buf]
         starts, ends, self.first = texts.words()
-        at, self.word = K.classes(low, starts, ends)
-        self.name, self.words = K.names(low, starts, ends, at, self.word), words
+        self.name, self.words = K.span_hashes(low, starts, ends), words
+        _, self.word = K.classes(low, starts, ends, self.name)
         self.hash = K.combine(self.name, words)
         self.text = (low, starts, ends)
 

@@ -128,12 +128,13 @@ def window_symbols(found: list[Level], window: int) -> tuple[np.ndarray, np.ndar
 
 
 class Words:
-    """The words of some rows: each one's row, each row's first word, names, and their bytes with single spaces."""
+    """The words of some rows: each one's row, each row's first word, names (equal words have equal names, and so
+    may others), and their bytes with single spaces."""
 
     def __init__(self, part: K.Texts):
         starts, ends, self.first = part.words()
         self.row = np.repeat(np.arange(len(part)), np.diff(self.first))
-        self.name = K.names(part.buf, starts, ends, *K.classes(part.buf, starts, ends))
+        self.name = K.span_hashes(part.buf, starts, ends)
         self.buf, self.begin = K.joined(part.buf, starts, ends)
 
     def digests(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -260,19 +261,23 @@ def drop_repeats(df: DataFrame, window: int = 50, key: str = "doc_id", text: str
             texts, counts, removed, digests = columns[at].to_pylist(), [], [], []
             for part in K.blocks(columns[at]):
                 starts, ends, first = part.words()
+                words, begin = K.joined(part.buf, starts, ends)
+                raw = words.tobytes()
                 for i in range(len(part)):
-                    x = slice(first[i], first[i + 1])
-                    words = [part.buf[a:b].tobytes() for a, b in zip(starts[x], ends[x], strict=True)]
-                    counts.append(len(words))
+                    a, z = int(first[i]), int(first[i + 1])
+                    n, gone, text_left = z - a, 0, raw[begin[a] : begin[z] - 1] if z > a else b""
                     spans = lists[part.first + i]
                     if spans.is_valid:
-                        change = np.zeros(len(words) + 1, np.int64)
+                        change = np.zeros(n + 1, np.int64)
                         np.add.at(change, spans.values.field(0).to_numpy(), 1)
                         np.add.at(change, spans.values.field(1).to_numpy(), -1)
-                        words = [w for w, covered in zip(words, np.cumsum(change[:-1]), strict=True) if not covered]
-                        texts[part.first + i] = b" ".join(words).decode()
-                    removed.append(counts[-1] - len(words))
-                    digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                        stays = np.concatenate([[False], np.cumsum(change[:-1]) == 0, [False]])
+                        gone, edges = n - int(stays.sum()), np.flatnonzero(stays[1:] != stays[:-1])
+                        text_left = b" ".join([raw[begin[a + x] : begin[a + y] - 1] for x, y in zip(edges[::2], edges[1::2], strict=True)])
+                        texts[part.first + i] = text_left.decode()
+                    counts.append(n)
+                    removed.append(gone)
+                    digests.append(hashlib.sha256(text_left).hexdigest())
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], [*kept, "n_words", "n_removed", "kept_sha256"])
 

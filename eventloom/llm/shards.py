@@ -109,11 +109,24 @@ def best_fit_decreasing(sizes: np.ndarray, counts: np.ndarray, bins: int, capaci
     return np.array(out, np.int64).reshape(-1, 4), len(tree.room)
 
 
+def fair_share(sizes: np.ndarray, counts: np.ndarray, bins: int) -> int:
+    """The capacity that makes bins even: groups larger than an even share of what is left have a bin each, the
+    others share the rest."""
+    rest = int((sizes * counts).sum())
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        left = int(counts[i])
+        while left and bins > 1 and int(sizes[i]) * bins > rest:
+            rest, bins, left = rest - int(sizes[i]), bins - 1, left - 1
+        if left:
+            break
+    return -(-rest // bins)
+
+
 def shard(df: DataFrame, size: str, group: list[str], order: list[str], n_shards: int | None = None, capacity: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Adds `shard` and `slot` (gapless from 0 in its shard, by `order`): groups stay whole, best fit decreasing.
 
-    Give n_shards: then shards are near equal in total `size` (a group that fits nowhere, since it is larger
-    than what is left or than a shard, goes where there is most room).  Or the capacity of a shard in units
+    Give n_shards: then shards are near equal in total `size` (a group larger than an even share has a shard of
+    its own, the others share the rest evenly; one that fits nowhere goes where there is most room).  Or the capacity of a shard in units
     of `size`: then a group that fits nowhere opens a shard, alone there if it is larger than the capacity.
     Rows of equal `group` columns (null equals null) are one group and go to one shard, however many they are.
 
@@ -132,9 +145,8 @@ def shard(df: DataFrame, size: str, group: list[str], order: list[str], n_shards
     groups = scratch.written(rows.groupBy(*keys).agg(F.sum("_size").alias("_total"), F.count("*").alias("_n")))
     found = groups.groupBy("_total").agg(F.count("*").alias("n")).orderBy("_total").toPandas()
     sizes, counts = found["_total"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-    total = int((sizes * counts).sum())
     if n_shards:
-        plan, _ = best_fit_decreasing(sizes, counts, n_shards, -(-total // n_shards))
+        plan, _ = best_fit_decreasing(sizes, counts, n_shards, fair_share(sizes, counts, n_shards))
     else:
         plan, _ = best_fit_decreasing(sizes, counts, 0, capacity, more=True)
     before = np.cumsum(counts) - counts  # groups in the order of their sizes
