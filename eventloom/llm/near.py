@@ -142,7 +142,8 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
        the likest among one random set of each of its prefix shingles) link most of what belongs together.
     3. Completion: pairs of groups that share a prefix shingle, agree in size and don't lie in one component
        together are taken once each, then expanded to their members in different components and verified.
-       Parity maps, whose differing bits bound the symmetric difference from below, filter the members.
+       Parity maps, whose differing bits bound the symmetric difference from below, filter groups (by their
+       leaders' maps, less what members' maps may differ from those) and members.
        The groups of a shingle's largest component aren't paired with each other; a shingle of many groups
        is paired in blocks of BLOCK groups, so no task has all its pairs.
 
@@ -210,14 +211,17 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
                 bits += [parity(rows.of(i)) for i in range(len(part))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], ["doc", "bits"])
 
-    def may_link(p: str, q: str, m: str, n: str) -> Column:
-        """For sizes m, n and parity maps p, q."""
-        return _sizes(m, n) & (_differ(p, q) * (100 + percent) <= (F.col(m) + F.col(n)) * (100 - percent))
+    def may_link(p: str, q: str, m: str, n: str, less: Column | int = 0) -> Column:
+        """For sizes m, n and parity maps that differ in no fewer bits than p, q do, `less` so many."""
+        return _sizes(m, n) & ((_differ(p, q) - less) * (100 + percent) <= (F.col(m) + F.col(n)) * (100 - percent))
 
     def _sizes(m: str, n: str) -> Column:
         return F.greatest(m, n) * percent <= F.least(m, n) * 100
 
     members = written(members.join(texts.mapInArrow(maps, "doc long, bits array<long>"), "doc"))
+    leaders = members.where("doc = leader").select("leader", F.col("bits").alias("own"))
+    # Maps of a group's members differ from its leader's in `radius` bits at most.
+    spheres = written(members.join(leaders, "leader").groupBy("leader").agg(F.first("own").alias("own"), F.max(_differ("own", "bits")).alias("radius")))
     links = verify(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
     for turn in range(STARS + 1):
         labelled = written(members.join(components(links, scratch).withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
@@ -240,10 +244,11 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     # Each block of a shingle's groups meets each other block in a task of its own.
     block = lambda x: F.pmod(F.xxhash64(x), F.ceil(F.col("often") / BLOCK))
     every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("often") / BLOCK).cast("int") - 1)).alias("r")
-    one = rows.where("lo <> main or hi <> main").select("h", block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
-    two = rows.select("h", block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
+    rows = rows.join(spheres, "leader")
+    one = rows.where("lo <> main or hi <> main").select("h", F.col("own").alias("oa"), F.col("radius").alias("ra"), block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
+    two = rows.select("h", F.col("own").alias("ob"), F.col("radius").alias("rb"), block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
     apart = (F.least("loa", "lob") < F.greatest("hia", "hib")) & (F.col("mb") | (F.col("ga") <= F.col("gb")))
-    pairs = written(one.join(two, ["h", "p", "r"]).where(apart & _sizes("na", "nb")).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
+    pairs = written(one.join(two, ["h", "p", "r"]).where(apart & may_link("oa", "ob", "na", "nb", F.col("ra") + F.col("rb"))).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
     left = labelled.select(F.col("leader").alias("ga"), F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     right = labelled.select(F.col("leader").alias("gb"), F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     across = pairs.join(left, "ga").join(right, "gb").where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
@@ -251,6 +256,6 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
 
     found = components(links, scratch).withColumnRenamed("id", "first")
     of_set = written(copies.join(found, "first", "left").select("set", F.coalesce("component", "first").alias("component_id")))
-    scratch.drop(copies, ranked, texts, members, rows_of_groups, labelled, mixed, pairs, links)
+    scratch.drop(copies, ranked, texts, members, spheres, rows_of_groups, labelled, mixed, pairs, links)
     out = sets.select("doc", "n", "set").join(of_set, "set", "left")
     return out.select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))).alias("component_id"))
