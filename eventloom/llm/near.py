@@ -110,8 +110,11 @@ class Shingles:
         return len(x & y), len(x), len(y)
 
 
-#: Bits of a set's parity map; rounds of stars.
-PARITY_WORDS, STARS = 16, 2
+#: Words of 64 bits of a set's parity map.
+PARITY_WORDS = 16
+#: Rounds of stars go on while completion has more than PAIRS pairs a row to filter and each round spares it a
+#: tenth of them; STARS at most.  They only save work: completion is exact after any number of them.
+PAIRS, STARS = 2, 12
 #: Groups of a shingle that are paired in one task.
 BLOCK = 2000
 
@@ -139,9 +142,9 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
        Texts of equal words (lower-cased) go on as one.
     2. Grouped prefix join: the survivors' prefixes, ordered rarest first, shrink again; sets of equal
        prefix and size form a group.  Stars of candidates (each member to its group's first; each set to
-       the likest among one random set of each of its prefix shingles) link most of what belongs together.
+       the likest among one random set of each of its prefix shingles, in rounds) link most of what belongs together.
     3. Completion: pairs of groups that share a prefix shingle, agree in size and don't lie in one component
-       together are taken once each, then expanded to their members in different components and verified.
+       together are taken once each, at their first, then expanded to their members in different components and verified.
        Parity maps, whose differing bits bound the symmetric difference from below, filter groups (by their
        leaders' maps, less what members' maps may differ from those) and members.
        The groups of a shingle's largest component aren't paired with each other; a shingle of many groups
@@ -223,14 +226,17 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     # Maps of a group's members differ from its leader's in `radius` bits at most.
     spheres = written(members.join(leaders, "leader").groupBy("leader").agg(F.first("own").alias("own"), F.max(_differ("own", "bits")).alias("radius")))
     links = verify(members.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-    for turn in range(STARS + 1):
+    turn, before = 0, float("inf")
+    while True:
         labelled = written(members.join(components(links, scratch).withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
         parts = labelled.groupBy("leader").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        rows_of_groups = written(groups.join(parts, "leader").select(F.explode("prefix").alias("h"), "leader", "n", "lo", "hi"))
-        mixed = rows_of_groups.groupBy("h", "lo").agg(F.count("*").alias("c"), F.max("hi").alias("hi")).groupBy("h").agg(F.max_by("lo", F.struct("c", "lo")).alias("main"), F.min("lo").alias("x"), F.max("hi").alias("y"), F.sum("c").alias("often"))
-        mixed = written(mixed.where("x <> y").select("h", "main", "often", F.col("often").alias("_n")))
+        rows_of_groups = written(groups.join(parts, "leader").select(F.posexplode("prefix").alias("at", "h"), "leader", "n", "lo", "hi"))
+        mixed = rows_of_groups.groupBy("h", "lo").agg(F.count("*").alias("c"), F.max("hi").alias("hi")).groupBy("h").agg(F.max_by("lo", F.struct("c", "lo")).alias("main"), F.min("lo").alias("x"), F.max("hi").alias("y"), F.sum("c").alias("often"), F.max("c").alias("largest"))
+        mixed = written(mixed.where("x <> y").select("h", "main", "often", "largest", F.col("often").alias("_n")))
+        size = mixed.agg(F.sum("often").alias("rows"), F.sum(F.col("often").cast("double") * F.col("often") - F.col("largest") * F.col("largest")).alias("pairs")).first()
+        done = turn >= STARS or (size["pairs"] or 0) <= PAIRS * (size["rows"] or 0) or (turn > 1 and size["pairs"] > 0.9 * before)
         rows = join_frequent(rows_of_groups, mixed, ["h"], "_n")
-        if turn == STARS:
+        if done:
             break
         units = rows.select("h", "main", "leader").join(labelled, "leader")
         choice = F.xxhash64("h", "doc", F.lit(turn))
@@ -240,15 +246,18 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
         star = units.join(pivots, "h").where((F.col("component") != F.col("ca")) & may_link("bits", "ba", "n", "na"))
         star = star.groupBy(F.col("doc").alias("b")).agg(F.min_by("a", F.struct(_differ("bits", "ba"), "a")).alias("a"))
         links = written(links.union(verify(star.select("a", "b"))))
+        turn, before = turn + 1, size["pairs"]
 
     # Each block of a shingle's groups meets each other block in a task of its own.
     block = lambda x: F.pmod(F.xxhash64(x), F.ceil(F.col("often") / BLOCK))
     every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("often") / BLOCK).cast("int") - 1)).alias("r")
-    rows = rows.join(spheres, "leader")
-    one = rows.where("lo <> main or hi <> main").select("h", F.col("own").alias("oa"), F.col("radius").alias("ra"), block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
-    two = rows.select("h", F.col("own").alias("ob"), F.col("radius").alias("rb"), block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
+    # What comes before the shingle: a pair of groups is taken at the first shingle that their prefixes share.
+    rows = rows.join(spheres.join(groups.select("leader", "prefix"), "leader"), "leader").withColumn("rarer", F.slice("prefix", F.lit(1), F.col("at")))
+    one = rows.where("lo <> main or hi <> main").select("h", F.col("own").alias("oa"), F.col("radius").alias("ra"), F.col("rarer").alias("ea"), block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
+    two = rows.select("h", F.col("own").alias("ob"), F.col("radius").alias("rb"), F.col("rarer").alias("eb"), block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
     apart = (F.least("loa", "lob") < F.greatest("hia", "hib")) & (F.col("mb") | (F.col("ga") <= F.col("gb")))
-    pairs = written(one.join(two, ["h", "p", "r"]).where(apart & may_link("oa", "ob", "na", "nb", F.col("ra") + F.col("rb"))).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
+    near = apart & may_link("oa", "ob", "na", "nb", F.col("ra") + F.col("rb")) & ~F.arrays_overlap("ea", "eb")
+    pairs = written(one.join(two, ["h", "p", "r"]).where(near).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
     left = labelled.select(F.col("leader").alias("ga"), F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     right = labelled.select(F.col("leader").alias("gb"), F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     across = pairs.join(left, "ga").join(right, "gb").where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
