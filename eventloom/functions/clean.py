@@ -123,3 +123,8 @@ def missing_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, n_missing) in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_missing")) for c in columns])).alias("x")).select("x.*")
+
+
+def has_text(c: Column | str) -> Column:
+    """the text is more than white space (null: no)."""
+    return F.coalesce(F.length(F.trim(_col(c))) > 0, F.lit(False))

@@ -162,3 +162,8 @@ def clamp_window(at: Column, px: Column | int, size: int) -> Column:
     px = F.lit(px) if isinstance(px, int) else px
     to = F.least(F.greatest(at, F.lit(0)), size - px)
     return F.struct(to.alias("at"), F.abs(to - at).alias("shift"))
+
+
+def region_of(lat: Column, lon: Column, regions: dict[str, Column]) -> Column:
+    """the first of the named boxes that the point lies in, null outside of all."""
+    return F.coalesce(*[F.when(in_box(lat, lon, b), F.lit(name)) for name, b in regions.items()])

@@ -7,6 +7,9 @@ from pyspark.sql import Column, functions as F
 from eventloom.functions.clean import _col
 
 
+# The patterns below are facts of the products' file-name formats.
+
+
 def extract(c: Column | str, pattern: str, group: int = 1) -> Column:
     """A regular expression's group, null where nothing matches."""
     return F.nullif(F.regexp_extract(_col(c), pattern, group), F.lit(""))
@@ -105,3 +108,14 @@ def sensor_of_log(name: Column | str) -> Column:
     """The sensor that a log file's name tells."""
     n = F.lower(_col(name))
     return F.when(n.contains("s5p"), "S5P").when(n.contains("s2"), "S2").when(n.contains("emit"), "EMIT").when(n.contains("l89") | n.contains("landsat"), "L89")
+
+
+def path_columns(path: Column | str, patterns: dict[str, tuple[str, str]]) -> list[Column]:
+    """Named columns of a path, each by a pattern's first group and a type; null where it doesn't match or cast."""
+    return [extract(path, pattern).try_cast(kind).alias(name) for name, (pattern, kind) in patterns.items()]
+
+
+def level_mix(*paths: Column | str) -> Column:
+    """the processing level that all paths share, `mixed` for several, null where no path tells one."""
+    levels = F.array_distinct(F.array_compact(F.array(*[processing_level(p) for p in paths])))
+    return F.when(F.size(levels) == 1, levels[0]).when(F.size(levels) > 1, "mixed")

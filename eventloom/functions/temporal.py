@@ -88,3 +88,14 @@ def time_decay(days: Column, tau: float) -> Column:
 def sigmoid(x: Column) -> Column:
     """P37."""
     return 1 / (1 + F.exp(-x))
+
+
+def in_range(ts: Column | str, start: str | None = None, end: str | None = None) -> Column:
+    """the time is at `start` or later and before `end`; either may be left open.  A null time is outside."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (t >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        inside = inside & (t < F.lit(end).cast("timestamp"))
+    return F.coalesce(inside & t.isNotNull(), F.lit(False))

@@ -14,12 +14,14 @@ from eventloom.operators.windows import one_per_key
 
 
 def outer_merge(sides: Mapping[str, DataFrame], key: str, order: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Full outer join on the key of one row per key and side; columns get the side's prefix.
+    """Full outer join on the key of one row per key and side (the first in `order`, then by all columns, so no
+    tie is left to chance); columns get the side's prefix.
 
     All joins share one partitioning by key."""
     out = None
     for name, df in sides.items():
-        one = one_per_key(df, [key], (order or {}).get(name, [c for c in df.columns if c != key][:1] or [key]))
+        first = list((order or {}).get(name, ()))
+        one = one_per_key(df, [key], [*first, *[c for c in df.columns if c != key and c not in first]] or [key])
         one = one.select(key, *[F.col(c).alias(f"{name}_{c}") for c in one.columns if c != key])
         out = one if out is None else out.join(one, key, "full_outer")
     return out
@@ -144,3 +146,8 @@ def combine_evidence(planned: DataFrame, observed: DataFrame, keys: Sequence[str
 def site_last_time(df: DataFrame, site: str, time: str) -> DataFrame:
     """Adds the site's last time."""
     return df.withColumn("site_last", F.max(time).over(Window.partitionBy(site)))
+
+
+def with_any(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """rows in which any of the columns has a value (t0 paths or flags, say)."""
+    return df.where(functools.reduce(operator.or_, [has_value(c, "manifest") for c in columns]))

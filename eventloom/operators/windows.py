@@ -96,3 +96,19 @@ def running_total(df: DataFrame, weight: str, column: str, ties: Sequence[str],
     start = sums.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_w").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     inside = F.coalesce(F.sum(weight).over(Window.partitionBy("_bucket").orderBy(column, *ties).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.withColumn("_in", inside).join(F.broadcast(start), F.col("_bucket") == F.col("_b")).withColumn(name, F.col("_start") + F.col("_in")).drop("_bucket", "_b", "_start", "_in")
+
+
+def numbered(df: DataFrame, column: str, ties: Sequence[str], after: int = 0, name: str = "sample_id") -> DataFrame:
+    """Consecutive ids from after + 1 in the order (column, ties), gapless across tasks: ranges count in
+    parallel, and only their totals meet.  `after` is the greatest id given before."""
+    return running_total(df.withColumn("_one", F.lit(1)), "_one", column, ties, "_place").withColumn(name, (F.col("_place") + after + 1).cast("long")).drop("_one", "_place")
+
+
+def key_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of `a` that `b` lacks (null equals null)."""
+    return a.select(*keys).subtract(b.select(*keys))
+
+
+def column_difference(a: DataFrame, b: DataFrame) -> list[str]:
+    """The columns of `a` that `b` lacks, in order."""
+    return [c for c in a.columns if c not in b.columns]

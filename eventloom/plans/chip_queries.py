@@ -24,7 +24,7 @@ def known_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH " + PIXELS + " SELECT a.chip_id, round(sum((a.v - b.v) / nullif(a.v + b.v, 0) - (b.v - a.v) / nullif(b.v + a.v, 0)), 1) AS total FROM px a JOIN px b ON b.chip_id = a.chip_id + 1 AND a.i = b.i WHERE abs(a.v + b.v) > 0.05 GROUP BY 1")
 def ratio_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Band ratios of a chip and its successor, now less then."""
+    """Band ratios of a chip and its successor, now less then."""
     a = chips(spark, sf_dir).select("chip_id", "px")
     pair = a.join(a.select((F.col("chip_id") - 1).alias("chip_id"), F.col("px").alias("next")), "chip_id")
     d = C.band_ratio_difference("px", "next", "next", "px")
@@ -49,7 +49,7 @@ def cropped_and_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {PIXELS}, d AS (SELECT vec_id AS chip_id, unnest([1, 2, 3]) AS draw FROM embeddings), w AS (SELECT chip_id, draw, CAST(floor({HASH_SQL.format("chip_id || ':1:' || draw || ':x'")} * 6) AS INT) AS x, CAST(floor({HASH_SQL.format("chip_id || ':1:' || draw || ':y'")} * 6) AS INT) AS y FROM d),
 s AS (SELECT w.chip_id, draw, x, y, count(*) FILTER (v < 0.05) / 9.0 AS low FROM w JOIN px ON px.chip_id = w.chip_id AND i // 8 BETWEEN y AND y + 2 AND i % 8 BETWEEN x AND x + 2 GROUP BY 1, 2, 3, 4), r AS (SELECT *, row_number() OVER (PARTITION BY chip_id ORDER BY draw) AS r FROM s WHERE low < 0.6) SELECT chip_id, draw, x, y FROM r WHERE r <= 2""")
 def drawn_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reproducible draws, window checks, the first two valid ones."""
+    """Reproducible draws, window checks, the first two valid ones."""
     rows = splits.draws(chips(spark, sf_dir), "chip_id", 3, 0, 6).withColumnsRenamed({"dx": "x", "dy": "y"})
     low = C.share_zero(F.transform(C.crop("px", "height", "width", "y", "x", 3, 3), lambda v: F.when(v >= 0.05, v).otherwise(0.0)))
     return splits.first_valid_draws(rows.drop("label").withColumn("label", F.lit(1)), "chip_id", 2, low < 0.6).select("chip_id", "draw", "x", "y")
@@ -114,7 +114,7 @@ def triplet_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT sensor, count(*) AS n FROM (SELECT event_id, unnest(['S2', 'L89']) AS sensor, event_id % 4 AS m FROM events WHERE event_type = 'error') WHERE m IN (1, 2) GROUP BY 1""")
 def fetch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows to fetch: the missing ones and their events' t0."""
+    """Rows to fetch: the missing ones and their events' t0."""
     e = errors(spark, sf_dir).select("event_id", F.explode(F.array(F.lit("S2"), F.lit("L89"))).alias("sensor"))
     m = e.withColumn("timepoint", F.explode(F.array(F.lit("t0"), F.lit("prev1")))).withColumn("action", F.when(F.col("event_id") % 4 == 1, "download").when((F.col("event_id") % 4 == 2) & (F.col("timepoint") == "prev1"), "download").otherwise("have"))
     out = planning.rows_to_fetch(m, "event_id", F.col("action") == "download")
@@ -123,7 +123,7 @@ def fetch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'a' || o_custkey WHEN o_orderkey % 3 = 1 THEN 'b' END AS first, array_to_string(list_filter([CASE WHEN o_orderkey % 3 = 0 THEN 'S2' END, CASE WHEN o_orderkey % 2 = 0 THEN 'L89' END], lambda x: x IS NOT NULL), '+') AS sensors FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0""")
 def complete_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with a complete sensor."""
+    """Events with a complete sensor."""
     i = F.col("o_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(i % 3 == 0, F.concat(F.lit("a"), F.col("o_custkey").cast("string"))).otherwise("nan").alias("a"), F.when(i % 3 == 1, "b").otherwise(" ").alias("b"), F.when(i % 2 == 0, "p").alias("c"))
     out = master.complete_triplets(o, {"S2": ["a"], "L89": ["c"]})

@@ -249,14 +249,14 @@ def natural_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
 def new_and_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anti and semi joins."""
+    """Anti and semi joins."""
     keys = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
     return master.new_known(table(spark, sf_dir, "customer").select("c_custkey"), keys.where("o_orderstatus = 'F'"), keys.where("o_orderstatus = 'O'"), "c_custkey")
 
 
 @query("""SELECT s_suppkey, s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 49) AS in_large, s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_discount > 0.09 AND l_tax > 0.07) AS in_cheap FROM supplier""")
 def membership_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Set membership as columns."""
+    """Set membership as columns."""
     li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
     return master.with_membership(table(spark, sf_dir, "supplier").select("s_suppkey"), {"in_large": li.where("l_quantity > 49"), "in_cheap": li.where("l_discount > 0.09 and l_tax > 0.07")}, "s_suppkey")
 
@@ -288,7 +288,7 @@ def first_valid_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, event_id, CAST(r AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS r FROM events) WHERE r <= 3""")
 def ranked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first rows of each key in an explicit order."""
+    """The first rows of each key in an explicit order."""
     ev = windows.rank_rows(table(spark, sf_dir, "events"), ["user_id"], [F.desc("ts"), "event_id"])
     return windows.first_n_per_key(ev, ["user_id"], ["rank"], 3).select("user_id", "event_id", F.col("rank").cast("long").alias("rank"))
 

@@ -77,7 +77,7 @@ def derived_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT page_id, regexp_extract(url, '^https?://([^/]+)/', 1) AS host, nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS page, CASE WHEN url LIKE '%ref=x' THEN left(url, length(url) - 5) || 'ref=y' ELSE url END AS swapped, 'R' || '_' || CAST(page_id AS VARCHAR) AS overpass FROM pages""")
 def name_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields of structured names, suffixes, overpass keys."""
+    """Fields of structured names, suffixes, overpass keys."""
     at = F.timestamp_seconds(F.col("page_id") * 600)
     return table(spark, sf_dir, "pages").select("page_id", names.extract("url", "^https?://([^/]+)/").alias("host"), names.extract("url", "[?&]page=([0-9]+)").alias("page"), names.swap_suffix("url", "ref=x", "ref=y").alias("swapped"), names.overpass_s2("url", at).alias("overpass"))
 
@@ -257,7 +257,7 @@ def guarded_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT l_orderkey, CAST(arg_max(l_partkey, l_linenumber * 100000000 + l_partkey) AS VARCHAR) AS path FROM lineitem WHERE l_quantity > 10 AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10) GROUP BY 1""")
 def completed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last record of each key with an existing path."""
+    """The last record of each key with an existing path."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_quantity") > 10, F.col("l_partkey").cast("string")).alias("path"), F.struct("l_linenumber", "l_partkey").alias("seq"))
     files = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), F.greatest(F.lit(0), F.col("p_size") - 10).alias("length"))
     return state.completed(li, ["l_orderkey"], "path", "seq", files).select("l_orderkey", "path")
@@ -265,7 +265,7 @@ def completed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT status, count(*) AS n FROM (SELECT CASE WHEN s_suppkey IS NULL THEN 'unplanned' WHEN p_partkey % 7 = 0 THEN 'resume_done' WHEN p_partkey % 3 <> 0 THEN 'download' WHEN p_partkey % 2 = 0 THEN 'existing_valid' ELSE 'existing_mismatch' END AS status FROM part LEFT JOIN supplier ON p_partkey = s_suppkey) GROUP BY 1""")
 def pull_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M07, G06."""
+    """M07."""
     p, k = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("name")), F.col("name")
     targets = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("name"), F.lit(2).alias("expected_length"))
     return state.pull_status(p, targets, p.where(k % 7 == 0), p.where(k % 3 == 0).withColumn("length", F.when(k % 2 == 0, 2).otherwise(3)), "name").groupBy("status").agg(F.count("*").alias("n"))
@@ -357,7 +357,7 @@ def merged_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_requests, string_agg(DISTINCT event_type, '+' ORDER BY event_type) AS slots FROM events GROUP BY 1, 2""")
 def request_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G37, M09."""
+    """G37."""
     e = table(spark, sf_dir, "events").select("user_id", day_text("ts").alias("day"), F.hour("ts").alias("hour"), "event_type")
     return master.request_groups(e, ["user_id", "day"], "hour", "event_type").select("user_id", "day", "n_requests", F.array_join("slots", "+").alias("slots"))
 
@@ -385,13 +385,13 @@ def cloud_invalidation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT doc_id, coalesce(CAST(lang AS VARCHAR), '') AS lang, '' AS missing, coalesce(CAST(n_chars AS VARCHAR), '') AS n_chars FROM documents""")
 def manifest_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed fields as text."""
+    """Fixed fields as text."""
     return sinks.manifest_form(table(spark, sf_dir, "documents"), ["doc_id", "lang", "missing", "n_chars"]).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @query("""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, 'a' || (page_id % 7) AS archive FROM pages""")
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A08, A12 on pages: fields out of documents, the first archive of each member."""
+    """A08 on pages: fields out of documents, the first archive of each member."""
     p = table(spark, sf_dir, "pages")
     members = p.select(F.col("page_id").alias("member"), F.concat(F.lit("a"), (F.col("page_id") % 7).cast("string")).alias("archive"))
     more = members.unionByName(members.withColumn("archive", F.lit("z")))

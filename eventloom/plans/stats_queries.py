@@ -66,7 +66,7 @@ def pixel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH " + PIXELS + ", m AS (SELECT chip_id, i // 8 AS y, i % 8 AS x FROM px WHERE v > 0.15) SELECT chip_id, CAST(max(y) - min(y) + 1 AS BIGINT) AS height_px, CAST(max(x) - min(x) + 1 AS BIGINT) AS width_px, CAST(count(*) AS BIGINT) AS area_px, count(*) * 100.0 AS area_m2 FROM m GROUP BY 1")
 def mask_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Masks by threshold and their extent."""
+    """Masks by threshold and their extent."""
     m = chips(spark, sf_dir).withColumn("m", F.transform("px", lambda v: (v > 0.15).cast("double"))).withColumn("e", C.mask_extent("m", 8, 10.0)).where("e is not null")
     return m.select("chip_id", F.col("e.height_px").cast("long").alias("height_px"), F.col("e.width_px").cast("long").alias("width_px"), F.col("e.area_px").cast("long").alias("area_px"), F.col("e.area_m2").alias("area_m2"))
 
@@ -255,21 +255,3 @@ def centre_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F06."""
     return clean.missing_report(table(spark, sf_dir, "documents"), ["lang", "text"])
-
-
-def streamed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of files, counted in windows."""
-    import uuid
-
-    from eventloom.streaming import jobs
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/eventloom-stream"
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = jobs.status_counts(rows, "ts", "event_type", "1 day", "1 day")
-    name = f"counts_{uuid.uuid4().hex}"
-    out = jobs.collect_stream(counts, name, f"{base}/{name}", "update")
-    return out.groupBy(F.col("window.start").alias("start"), "event_type").agg(F.max("n").alias("n")).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
-
-
-query("""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")(streamed_counts)

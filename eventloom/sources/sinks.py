@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def manifest_form(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -25,3 +27,14 @@ def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
 def write_report(document: DataFrame, path: str) -> None:
     """JSON documents (manifest, document), one line each."""
     document.orderBy("manifest").select("document").write.text(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path below the folder that spark.checkpoint.dir names, for files that driver and executors share.
+    Where it is unset, local mode has a temporary folder; a cluster raises."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

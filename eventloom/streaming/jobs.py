@@ -47,18 +47,20 @@ def usage_once(rows: DataFrame, time: str, delay: str, keys: Sequence[str]) -> D
 
 def t0_gate_stream(rows: DataFrame, event: str, time: str, delay: str, wait_ms: int) -> DataFrame:
     """Rows of other timepoints wait for their event's t0: then `proceed` or `skip_t0_failed`; after
-    wait_ms of event time without one, `skip_t0_failed`.
+    wait_ms of event time without one, `skip_t0_failed`.  A t0 is known for as long.
 
     rows: event, timepoint, ok, time.  State: the waiting rows of one event, a handful of timepoints.
     """
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         t0, waiting = state.get if state.exists else (None, [])
-        waiting, out = list(waiting or []), []
+        waiting, out, latest = list(waiting or []), [], 0
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame({"event": key[0], "timepoint": waiting, "gate": "skip_t0_failed"}).astype(str)
+            if waiting:
+                yield pd.DataFrame({"event": key[0], "timepoint": waiting, "gate": "skip_t0_failed"}).astype(str)
             return
         for frame in frames:
+            latest = max(latest, int(frame[time].max().timestamp() * 1000))
             for name, ok in zip(frame["timepoint"], frame["ok"], strict=True):
                 if name == "t0":
                     t0 = bool(ok)
@@ -68,9 +70,9 @@ def t0_gate_stream(rows: DataFrame, event: str, time: str, delay: str, wait_ms:
         if t0 is not None:
             out += [(w, "proceed" if t0 else "skip_t0_failed") for w in waiting]
             waiting = []
+        # Every state ends: the wait counts from the watermark, or from the rows' times before there is one.
         state.update((t0, waiting))
-        if waiting and (mark := state.getCurrentWatermarkMs()) >= 0:
-            state.setTimeoutTimestamp(mark + wait_ms)
+        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), latest) + wait_ms)
         if out:
             yield pd.DataFrame([(str(key[0]), a, b) for a, b in out], columns=["event", "timepoint", "gate"])
 
@@ -91,6 +93,16 @@ def status_counts(rows: DataFrame, time: str, status: str, delay: str = "10 minu
     return rows.withWatermark(time, delay).groupBy(F.window(time, window), status).agg(F.count("*").alias("n"))
 
 
+def updates_to_files(df: DataFrame, path: str, mode: str = "update") -> DataFrame:
+    """Runs a stream over what there is and gives its rows back from files below `path`, a folder for each batch: a
+    batch that runs again overwrites its own.  In update mode a key has a row for each batch that changed it."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    run_available(df.writeStream.outputMode(mode).foreachBatch(write), f"{path}-checkpoint")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/batch=*")
+
+
 def collect_stream(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Runs a stream over what there is into a memory table (tests and small results)."""
     writer: Callable = df.writeStream.format("memory").queryName(name).outputMode(mode)
