@@ -117,6 +117,8 @@ PARITY_WORDS = 16
 PAIRS, STARS = 2, 12
 #: Groups of a shingle that are paired in one task.
 BLOCK = 2000
+#: Slices of the shingles whose groups are paired one after the other.
+SLICES = 4
 
 
 def parity(shingles: np.ndarray) -> np.ndarray:
@@ -252,12 +254,17 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     block = lambda x: F.pmod(F.xxhash64(x), F.ceil(F.col("often") / BLOCK))
     every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("often") / BLOCK).cast("int") - 1)).alias("r")
     # What comes before the shingle: a pair of groups is taken at the first shingle that their prefixes share.
-    rows = rows.join(spheres.join(groups.select("leader", "prefix"), "leader"), "leader").withColumn("rarer", F.slice("prefix", F.lit(1), F.col("at")))
-    one = rows.where("lo <> main or hi <> main").select("h", F.col("own").alias("oa"), F.col("radius").alias("ra"), F.col("rarer").alias("ea"), block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
-    two = rows.select("h", F.col("own").alias("ob"), F.col("radius").alias("rb"), F.col("rarer").alias("eb"), block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
-    apart = (F.least("loa", "lob") < F.greatest("hia", "hib")) & (F.col("mb") | (F.col("ga") <= F.col("gb")))
-    near = apart & may_link("oa", "ob", "na", "nb", F.col("ra") + F.col("rb")) & ~F.arrays_overlap("ea", "eb")
-    pairs = written(one.join(two, ["h", "p", "r"]).where(near).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
+    wide = written(spheres.join(groups.select("leader", "prefix"), "leader"))
+    def paired(k: int) -> DataFrame:
+        """The pairs at one slice of the shingles: rows with maps and prefixes are wide, so slices go one by one."""
+        own = rows.where(F.pmod(F.xxhash64("h"), F.lit(SLICES)) == k).join(wide, "leader").withColumn("rarer", F.slice("prefix", F.lit(1), F.col("at")))
+        one = own.where("lo <> main or hi <> main").select("h", F.col("own").alias("oa"), F.col("radius").alias("ra"), F.col("rarer").alias("ea"), block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
+        two = own.select("h", F.col("own").alias("ob"), F.col("radius").alias("rb"), F.col("rarer").alias("eb"), block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))
+        apart = (F.least("loa", "lob") < F.greatest("hia", "hib")) & (F.col("mb") | (F.col("ga") <= F.col("gb")))
+        close = apart & may_link("oa", "ob", "na", "nb", F.col("ra") + F.col("rb")) & ~F.arrays_overlap("ea", "eb")
+        return written(one.join(two, ["h", "p", "r"]).where(close).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
+
+    pairs = functools.reduce(DataFrame.union, [paired(k) for k in range(SLICES)])
     left = labelled.select(F.col("leader").alias("ga"), F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     right = labelled.select(F.col("leader").alias("gb"), F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     across = pairs.join(left, "ga").join(right, "gb").where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
@@ -265,6 +272,6 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
 
     found = components(links, scratch).withColumnRenamed("id", "first")
     of_set = written(copies.join(found, "first", "left").select("set", F.coalesce("component", "first").alias("component_id")))
-    scratch.drop(copies, ranked, texts, members, spheres, rows_of_groups, labelled, mixed, pairs, links)
+    scratch.drop(copies, ranked, texts, members, spheres, wide, rows_of_groups, labelled, mixed, links)
     out = sets.select("doc", "n", "set").join(of_set, "set", "left")
     return out.select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))).alias("component_id"))
