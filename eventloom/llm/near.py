@@ -255,6 +255,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("often") / BLOCK).cast("int") - 1)).alias("r")
     # What comes before the shingle: a pair of groups is taken at the first shingle that their prefixes share.
     wide = written(spheres.join(groups.select("leader", "prefix"), "leader"))
+
     def paired(k: int) -> DataFrame:
         """The pairs at one slice of the shingles: rows with maps and prefixes are wide, so slices go one by one."""
         own = rows.where(F.pmod(F.xxhash64("h"), F.lit(SLICES)) == k).join(wide, "leader").withColumn("rarer", F.slice("prefix", F.lit(1), F.col("at")))
