@@ -130,8 +130,8 @@ def complete_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", clean.first_value(["a", "b"], "path").alias("first"), F.array_join("valid_sensors", "+").alias("sensors"))
 
 
-@query("""WITH ROLES SELECT pid, CAST(round_even(4 - lat * 10 / 30.0, 0) - 1 AS INT) AS y, CAST(round_even(4 + lon * 10 / 30.0, 0) - 1 AS INT) AS x FROM cu WHERE abs(lat) < 10 AND abs(lon) < 10""")
+@query("""WITH ROLES SELECT pid, CAST(round_even(4 - lat * 10 / 30.0, 0) - 1 AS INT) AS y, CAST(round_even(4 + lon * 10 / 30.0, 0) - 1 AS INT) AS x FROM cu""")
 def aligned_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metre offsets to a window's corner."""
-    p = points(spark, sf_dir).where("abs(lat) < 10 and abs(lon) < 10").withColumn("t", geo.top_left(F.col("lon") * 10, F.col("lat") * 10, F.lit("L89"), 90.0, 8))
+    p = points(spark, sf_dir).withColumn("t", geo.top_left(F.col("lon") * 10, F.col("lat") * 10, F.lit("L89"), 90.0, 8))
     return p.select("pid", F.col("t.y").alias("y"), F.col("t.x").alias("x"))
