@@ -148,7 +148,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     3. Completion: pairs of groups that share a prefix shingle, agree in size and don't lie in one component
        together are taken once each, at their first, then expanded to their members in different components and verified.
        Parity maps, whose differing bits bound the symmetric difference from below, filter groups (by their
-       leaders' maps, less what members' maps may differ from those) and members.
+       leaders' maps, less what members' maps may differ from those), members of one with the other, and members.
        The groups of a shingle's largest component aren't paired with each other; a shingle of many groups
        is paired in blocks of BLOCK groups, so no task has all its pairs.
 
@@ -268,7 +268,11 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     pairs = functools.reduce(DataFrame.union, [paired(k) for k in range(SLICES)])
     left = labelled.select(F.col("leader").alias("ga"), F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     right = labelled.select(F.col("leader").alias("gb"), F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
-    across = pairs.join(left, "ga").join(right, "gb").where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
+    ends = labelled.groupBy("leader").agg(F.min("component").alias("lob"), F.max("component").alias("hib"), F.first("n").alias("nb"))
+    ends = spheres.join(ends, "leader").select(F.col("leader").alias("gb"), F.col("own").alias("ob"), F.col("radius").alias("rb"), "lob", "hib", "nb")
+    # One side's members first, those that may link with one of the other group; then the other's.
+    half = pairs.join(ends, "gb").join(left, "ga").where(((F.col("ca") != F.col("lob")) | (F.col("ca") != F.col("hib"))) & may_link("ba", "ob", "na", "nb", F.col("rb")))
+    across = half.select("ga", "gb", "ua", "ca", "na", "ba").join(right, "gb").where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("ua") < F.col("ub"))) & may_link("ba", "bb", "na", "nb"))
     links = written(links.union(verify(across.select(F.col("ua").alias("a"), F.col("ub").alias("b")))))
 
     found = components(links, scratch).withColumnRenamed("id", "first")
