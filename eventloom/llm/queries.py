@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventloom.llm import align, bpe, fingerprint, lines, near, packing, quality, recompress, repetition, shards, store, variants
+from eventloom.llm import align, bpe, extract, fingerprint, lines, near, packing, quality, recompress, repetition, shards, store, variants
 from eventloom.llm.tables import Scratch, read, short_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(text_bytes(), 256).alias("kept_sha256"))
 
 
+def op11_boosted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages, extract.fit(pages), keep_html=False)
+
+
 def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -83,7 +88,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op3_weak_labels, op4_best_fit_shards, op5_grouped_prefix_join, op6_cutting_stock, op7_content_store, op8_recompression, op9_piecewise_hash, op10_line_spread, op12_lockstep_alignment, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_repetition, op3_weak_labels, op4_best_fit_shards, op5_grouped_prefix_join, op6_cutting_stock, op7_content_store, op8_recompression, op9_piecewise_hash, op10_line_spread, op11_boosted_blocks, op12_lockstep_alignment, op13_spelling_variants)}
 
 
 WORDS = r"[^\x20\x09-\x0D]+"
