@@ -1,7 +1,7 @@
 """Events to products in time and space: windows, as-of, n-th previous overpass, boxes, polygons.
 
-Range joins are equi-joins on day (and tile) buckets with the exact predicate as residual; the side
-with windows is exploded over the days it touches.  Times are timestamps; distances are in microseconds,
+Range joins are equi-joins on buckets of time as wide as the window (and cells of space) with the exact predicate
+as residual; the side with windows has two rows at most.  Times are timestamps; distances are in microseconds,
 never truncated.  Ties end at the least id.
 """
 
@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from eventloom.functions import geo
 from eventloom.functions.temporal import micros
+from eventloom.operators import cover
 
 DAY = 86_400_000_000
 
@@ -32,19 +33,41 @@ class Names:
     keys: tuple[str, ...] = ()
 
 
+def _spread(us: Column, width: int) -> Column:
+    return F.floor(us / F.lit(width))
+
+
+def _sides(events: DataFrame, products: DataFrame, names: Names, before_days: float, after_days: float, anchor_days: float, closed: bool) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with buckets of time as wide as the window, and what holds of a pair in it."""
+    target = micros(names.time) - F.lit(int(anchor_days * DAY))
+    low, high = F.col("_target") - int(before_days * DAY), F.col("_target") + int(after_days * DAY)
+    width = max(1, int(before_days * DAY) + int(after_days * DAY))
+    left = events.withColumn("_target", target).withColumn("_low", low).withColumn("_high", high)
+    left = left.withColumn("_bucket", F.explode(F.array_distinct(F.array(_spread(F.col("_low"), width), _spread(F.col("_high"), width)))))
+    right = products.withColumn("_at", micros(names.product_time)).withColumn("_bucket", _spread(micros(names.product_time), width))
+    inside = (F.col("_at") >= F.col("_low")) & (F.col("_at") <= F.col("_high")) if closed else (F.col("_at") > F.col("_low")) & (F.col("_at") < F.col("_high"))
+    return left, right, inside
+
+
+def _told(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("dt_us", F.col("_at") - F.col("_target")).drop("_bucket", "_low", "_high", "_at", "_target")
+
+
 def in_window(events: DataFrame, products: DataFrame, names: Names, before_days: float, after_days: float, anchor_days: float = 0.0, closed: bool = True) -> DataFrame:
     """Pairs whose product lies in [t - anchor - before, t - anchor + after].
 
+    Buckets of time are as wide as the window, so an event has two rows at most, however long the window is.
     Adds `dt_us`, the product's time less the (moved) event's, signed.  closed=False leaves both ends out.
     """
-    target = micros(names.time) - F.lit(int(anchor_days * DAY))
-    left = events.withColumn("_target", target)
-    low, high = F.col("_target") - int(before_days * DAY), F.col("_target") + int(after_days * DAY)
-    day = lambda us: F.floor(us / DAY)
-    left = left.withColumn("_low", low).withColumn("_high", high).withColumn("_day", F.explode(F.sequence(day(low), day(high))))
-    right = products.withColumn("_at", micros(names.product_time)).withColumn("_day", day(micros(names.product_time)))
-    inside = (F.col("_at") >= F.col("_low")) & (F.col("_at") <= F.col("_high")) if closed else (F.col("_at") > F.col("_low")) & (F.col("_at") < F.col("_high"))
-    return left.join(right, ["_day", *names.keys]).where(inside).withColumn("dt_us", F.col("_at") - F.col("_target")).drop("_day", "_low", "_high", "_at", "_target")
+    left, right, inside = _sides(events, products, names, before_days, after_days, anchor_days, closed)
+    return _told(left.join(right, ["_bucket", *names.keys]).where(inside))
+
+
+def in_window_and_box(events: DataFrame, products: DataFrame, names: Names, before_days: float, after_days: float, lat: str, lon: str, bounds: Column, pad: float = 0.0) -> DataFrame:
+    """As `in_window`, and the event's point in the product's padded box: the pairs meet by bucket of time and
+    cell of space at once, so none is formed for its time alone."""
+    left, right, inside = _sides(events, products, names, before_days, after_days, 0.0, True)
+    return _told(cover.points_in_boxes(left, right, lat, lon, bounds, pad, ["_bucket", *names.keys]).where(inside))
 
 
 def best_pair(pairs: DataFrame, names: Names, order: Sequence[Column]) -> DataFrame:
@@ -101,24 +124,83 @@ def latest_before(events: DataFrame, products: DataFrame, names: Names) -> DataF
     return out.select("_e.*", *[F.col("_last")[c].alias(c) for c in products.columns if c not in key])
 
 
+class _Recent:
+    """The overpasses seen last, each with the times and products of its last two: enough to find the n-th distinct one
+    before an event when one overpass and one product are left out."""
+
+    def __init__(self, n: int, back: int):
+        self.n, self.back = n, back
+        self.seen: dict[str | None, list[tuple[int, object]]] = {}
+
+    def add(self, overpass: str | None, at: int, product: object) -> None:
+        last = self.seen.pop(overpass, [])
+        self.seen[overpass] = [(at, product), *last[:1]]
+        # The oldest goes once n + 2 others are newer, those of its own time apart.
+        while len(self.seen) > self.n + 2:
+            oldest, rows = next(iter(self.seen.items()))
+            if rows[0][0] == list(self.seen.values())[1][0][0]:
+                break
+            del self.seen[oldest]
+
+    def before(self, at: int, product: object, overpass: str | None) -> tuple[int, str | None] | None:
+        """(newest time, name) of the n-th distinct overpass in the window up to `at`, by time and then name."""
+        left = []
+        for name, rows in self.seen.items():
+            newest = next((t for t, p in rows if p != product), None)
+            if name != overpass and newest is not None and newest >= at - self.back:
+                left.append((-newest, name is not None, name or "", name))
+        if len(left) < self.n:
+            return None
+        left.sort(key=lambda x: x[:3])
+        return -left[self.n - 1][0], left[self.n - 1][3]
+
+
 def nth_previous_overpass(events: DataFrame, products: DataFrame, names: Names, overpass: str, n: int, back_days: float, t0_time: str, t0_product: str, t0_overpass: str, pick: str = "latest", cloud: str | None = None) -> DataFrame:
     """The n-th distinct overpass before the event's t0, newest first, t0's own left out.
 
-    Products collapse to one per overpass and event after the range join: the latest, or the least
-    cloudy and then latest (pick='cloud').
+    Events and products, in one table, are swept in order of time; what is carried along are the last few distinct
+    overpasses, not the window's products.  Time is cut into buckets as wide as the window: a product stands in its
+    own and the next, an event in one, so each bucket of a key is swept by itself.  Then the products of the
+    overpass found are joined by its name: the latest stands for it, or the least cloudy and then latest
+    (pick='cloud').  Overpasses of equal time go by name; events without an n-th overpass are left out.
     """
-    pairs = in_window(events, products, Names(names.event, t0_time, names.product, names.product_time, names.keys), back_days, 0.0)
-    pairs = pairs.where((F.col("dt_us") < 0) & ~F.col(names.product).eqNullSafe(F.col(t0_product)) & ~F.col(overpass).eqNullSafe(F.col(t0_overpass)))
-    order = [F.coalesce(F.col(cloud), F.lit(999.0))] if pick == "cloud" and cloud else []
-    rest = [c for c in pairs.columns if c not in (names.event, overpass)]
-    passes = pairs.groupBy(names.event, overpass).agg(F.min_by(F.struct(*rest), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], (-F.col("dt_us")).alias("dt"), F.col(names.product).alias("id"))).alias("_p"), F.max("dt_us").alias("_newest"))
-    rank = F.row_number().over(Window.partitionBy(names.event).orderBy(F.desc("_newest"), overpass))
-    return passes.withColumn("nth", rank).where(F.col("nth") == n).select(names.event, overpass, "nth", *[F.col("_p")[c].alias(c) for c in rest])
-
-
-def in_padded_box(pairs: DataFrame, lat: str, lon: str, bounds: Column, pad: float) -> DataFrame:
-    """Pairs whose point lies in the product's box with a margin, over the antimeridian too."""
-    return pairs.where(geo.in_box(F.col(lat), F.col(lon), bounds, pad))
+    back = max(1, int(back_days * DAY))
+    key = list(names.keys)
+    event_type, product_type = events.schema[names.event].dataType, products.schema[names.product].dataType
+    text = lambda c: F.col(c).cast("string")
+    left = events.select(*key, _spread(micros(t0_time), back).alias("_b"), micros(t0_time).alias("_t"), F.lit(1).alias("_kind"), F.col(names.event).alias("_e"), F.col(t0_product).cast(product_type).alias("_p"), text(t0_overpass).alias("_o"))
+    at = micros(names.product_time)
+    right = products.select(*key, F.explode(F.array(_spread(at, back), _spread(at, back) + 1)).alias("_b"), at.alias("_t"), F.lit(2).alias("_kind"), F.lit(None).cast(event_type).alias("_e"), F.col(names.product).alias("_p"), text(overpass).alias("_o"))
+    groups = [*key, "_b"]
+    # At equal times events come first: products must be strictly before.
+    swept = left.unionByName(right).where(F.col("_t").isNotNull()).repartition(*groups).sortWithinPartitions(*groups, "_t", "_kind", "_p")
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, recent = None, None
+        for batch in batches:
+            found: list[tuple] = []
+            columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
+            for *group, t, kind, event, product, name in zip(*columns, strict=True):
+                if group != current:
+                    current, recent = group, _Recent(n, back)
+                if kind == 2:
+                    recent.add(name, t, product)
+                elif (nth := recent.before(t, product, name)) is not None:
+                    found.append((event, *nth))
+            kind_of = batch.schema.field(len(key) + 3).type
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate((kind_of, pa.int64(), pa.string()))], [names.event, "_newest", "_name"])
+
+    nth = swept.mapInArrow(sweep, f"`{names.event}` {event_type.simpleString()}, _newest long, _name string")
+    chosen = events.join(nth, names.event)
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(key)]
+    own = products.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(key)})
+    near = functools.reduce(operator.and_, on, F.col("_name").eqNullSafe(text(overpass)))
+    inside = (at >= micros(t0_time) - back) & (at <= F.col("_newest")) & ~F.col(names.product).eqNullSafe(F.col(t0_product))
+    pairs = chosen.join(own, near).where(inside).withColumn("dt_us", at - micros(t0_time))
+    rest = [c for c in [*events.columns, *[c for c in products.columns if c not in key], "dt_us"] if c not in (names.event, overpass)]
+    order = [F.coalesce(F.col(cloud), F.lit(999.0)).alias("k0")] if pick == "cloud" and cloud else []
+    best = pairs.groupBy(names.event, overpass).agg(F.min_by(F.struct(*rest), F.struct(*order, (-F.col("dt_us")).alias("dt"), F.col(names.product).alias("id"))).alias("_p"))
+    return best.select(names.event, overpass, F.lit(n).alias("nth"), *[F.col("_p")[c].alias(c) for c in rest])
 
 
 def match_with_reasons(events: DataFrame, timed: DataFrame, boxed: DataFrame, pixels: DataFrame, event: str, max_km: float, min_qa: float) -> DataFrame:
@@ -138,14 +220,16 @@ def match_with_reasons(events: DataFrame, timed: DataFrame, boxed: DataFrame, pi
 
 
 def in_footprint(events: DataFrame, products: DataFrame, names: Names, lat: str, lon: str, vertices: str) -> DataFrame:
-    """Pairs of one UTC day whose point lies in the product's polygon; nearest sensing time wins."""
-    return closest(in_utc_day(events, products, names).where(geo.in_polygon(F.col(lat), F.col(lon), F.col(vertices))), names)
+    """Pairs of one UTC day whose point lies in the product's polygon (concave, over the antimeridian too); nearest
+    sensing time wins.  Pairs meet by day and cell of space at once."""
+    day = lambda c: F.to_date(F.col(c).cast("timestamp"))
+    pairs = cover.points_in_polygons(events.withColumn("_day", day(names.time)), products.withColumn("_day", day(names.product_time)), lat, lon, vertices, ["_day", *names.keys])
+    return closest(pairs.withColumn("dt_us", micros(names.product_time) - micros(names.time)).drop("_day"), names)
 
 
 def first_covering(events: DataFrame, products: DataFrame, names: Names, lat: str, lon: str, bounds: Column, hours: float = 24.0) -> DataFrame:
     """The earliest product within the hours whose box covers the point."""
-    pairs = in_window(events, products, names, hours / 24, hours / 24).where(geo.in_box(F.col(lat), F.col(lon), bounds))
-    return best_pair(pairs, names, [micros(names.product_time)])
+    return best_pair(in_window_and_box(events, products, names, hours / 24, hours / 24, lat, lon, bounds), names, [micros(names.product_time)])
 
 
 def two_sensor_pairs(events: DataFrame, a: DataFrame, b: DataFrame, names: Names, hours: float) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions import clean, geo, names, temporal
-from eventloom.operators import chips as chip, master, planning, quality, report, splits, state, windows
+from eventloom.operators import chips as chip, cover, master, planning, quality, report, splits, state, windows
 from eventloom.plans.registry import chips, points, products, query, sites, table
 from eventloom.sources import scans, sinks
 
@@ -228,14 +228,14 @@ def selected_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     return master.not_done(planning.work_rows(rows, "S2", ["F"], ["t0"]), done, ["l_orderkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("""WITH ROLES SELECT product_id FROM pr JOIN su ON user_id % 10 = oid WHERE sensor = 'S2' AND cloud <= 40 AND abs(olat - (product_id % 180 - 90)) <= 35 AND abs(olon - (product_id % 360 - 180)) <= 35""")
+@query("""WITH ROLES SELECT oid, product_id FROM pr, su WHERE sensor = 'S2' AND cloud <= 40 AND abs(olat - (product_id % 180 - 90)) <= 3.505 AND abs(olon - (product_id % 360 - 180)) <= 3.505""")
 def catalogue_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """products of a type, with little cloud, whose footprint meets a site's box."""
-    p = products(spark, sf_dir).where("sensor = 'S2' and cloud <= 40").withColumn("oid", F.col("user_id") % 10)
+    """every site's search: products of a type, with little cloud, whose footprint meets the site's box."""
     around = lambda lat, lon, r: geo.box(lon - r, lat - r, lon + r, lat + r)
     i = F.col("product_id")
-    near = geo.boxes_meet(around(F.col("olat"), F.col("olon"), 20.0), around((i % 180 - 90).cast("double"), (i % 360 - 180).cast("double"), 15.0))
-    return p.join(sites(spark, sf_dir), "oid").where(near).select("product_id")
+    found = products(spark, sf_dir).where("sensor = 'S2' and cloud <= 40").select("product_id", around((i % 180 - 90).cast("double"), (i % 360 - 180).cast("double"), 1.5025).alias("footprint"))
+    asked = sites(spark, sf_dir).select("oid", around(F.col("olat"), F.col("olon"), 2.0025).alias("asked"))
+    return cover.boxes_that_meet(asked, found, "asked", "footprint").select("oid", "product_id")
 
 
 @query("""WITH d AS (SELECT event_id, CAST(ts AS DATE) + 490 AS day, list_filter([CASE WHEN event_id % 2 = 0 THEN 'S2' END, CASE WHEN event_id % 3 = 0 THEN 'L89' END, CASE WHEN event_id % 5 = 0 THEN 'EMIT' END], lambda x: x IS NOT NULL) AS s FROM events)

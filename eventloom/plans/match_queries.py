@@ -75,6 +75,19 @@ def second_previous_overpass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "overpass", "product_id", F.col("nth").cast("long").alias("nth"))
 
 
+@query("""WITH ROLES, t0 AS (SELECT event_id, user_id, product_id AS t0_product, acq_time AS t0_time, overpass AS t0_overpass FROM (SELECT er.event_id, er.user_id, product_id, acq_time, overpass, row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch_us(acq_time) - epoch_us(ts)), product_id) AS r
+FROM er JOIN pr USING (user_id) WHERE epoch_us(acq_time) BETWEEN epoch_us(ts) AND epoch_us(ts) + 86400000000) WHERE r = 1),
+c AS (SELECT event_id, overpass, product_id, acq_time, cloud FROM t0 JOIN pr USING (user_id) WHERE epoch_us(acq_time) >= epoch_us(t0_time) - 120 * 86400000000 AND acq_time < t0_time AND product_id <> t0_product AND overpass <> t0_overpass),
+g AS (SELECT event_id, overpass, max(acq_time) AS newest FROM c GROUP BY 1, 2), n AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY newest DESC, overpass) AS nth FROM g),
+p AS (SELECT event_id, overpass, product_id, cloud, row_number() OVER (PARTITION BY event_id ORDER BY coalesce(cloud, 999), acq_time DESC, product_id) AS r FROM c JOIN n USING (event_id, overpass) WHERE nth = 5) SELECT event_id, overpass, product_id, cloud FROM p WHERE r = 1""")
+def fifth_previous_overpass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifth distinct overpass of 120 days before t0, its least cloudy product."""
+    events, pr = errors(spark, sf_dir), products(spark, sf_dir)
+    t0 = match.closest(match.in_window(events, pr, N, 0, 1), N).select("event_id", "user_id", F.col("product_id").alias("t0_product"), F.col("acq_time").alias("t0_time"), F.col("overpass").alias("t0_overpass"))
+    out = match.nth_previous_overpass(t0, pr, N, "overpass", 5, 120.0, "t0_time", "t0_product", "t0_overpass", "cloud", "cloud")
+    return out.select("event_id", "overpass", "product_id", "cloud")
+
+
 @query("""WITH ROLES, p AS (SELECT *, product_id % 360 - 180.0 AS w, product_id % 150 - 80.0 AS s FROM pr), e AS (SELECT *, ((event_id * 7919) % 18000) / 100.0 - 90 AS lat, ((event_id * 104729) % 36000) / 100.0 - 180 AS lon FROM er)
 SELECT event_id, product_id FROM e JOIN p USING (user_id) WHERE abs(epoch_us(acq_time) - epoch_us(ts)) <= 86400000000 AND lat BETWEEN s - 2 AND s + 62
 AND CASE WHEN w + 90 < 180 THEN (lon BETWEEN w - 2 AND w + 92 OR lon + 360 BETWEEN w - 2 AND w + 92 OR lon - 360 BETWEEN w - 2 AND w + 92) ELSE (lon >= w - 2 OR lon <= w - 270 + 2) END""")
@@ -83,8 +96,7 @@ def time_and_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = [(((F.col("event_id") * 7919) % 18000) / 100.0 - 90).alias("lat"), (((F.col("event_id") * 104729) % 36000) / 100.0 - 180).alias("lon")]
     w, s = F.col("product_id") % 360 - 180.0, F.col("product_id") % 150 - 80.0
     boxed = products(spark, sf_dir).withColumn("b", geo.box(w, s, geo.lon180(w + 90), s + 60))
-    pairs = match.in_window(errors(spark, sf_dir).select("*", *place), boxed, N, 1, 1)
-    return match.in_padded_box(pairs, "lat", "lon", F.col("b"), 2.0).select("event_id", "product_id")
+    return match.in_window_and_box(errors(spark, sf_dir).select("*", *place), boxed, N, 1, 1, "lat", "lon", F.col("b"), 2.0).select("event_id", "product_id")
 
 
 @query("""WITH ROLES, e AS (SELECT *, ((event_id * 7919) % 18000) / 100.0 - 90 AS lat, ((event_id * 104729) % 36000) / 100.0 - 180 AS lon FROM er),
@@ -113,6 +125,21 @@ def footprint_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.in_footprint(events, pr, N, "lat", "lon", "shape").select("event_id", "product_id")
 
 
+CONCAVE = [(170.0, -30.0), (-150.0, -30.0), (-150.0, 40.0), (-170.0, -10.0), (179.0, 40.0)]
+_ROUND = [(x + 360 if x < 0 else x, y) for x, y in CONCAVE]
+_EDGES = " + ".join(f"(CASE WHEN ({b} > lat) <> ({d} > lat) AND x < ({c} - {a}) * (lat - ({b})) / (({d}) - ({b})) + {a} THEN 1 ELSE 0 END)" for (a, b), (c, d) in zip(_ROUND, _ROUND[1:] + _ROUND[:1], strict=True) if b != d)
+
+
+@query(f"""WITH ROLES, e AS (SELECT *, ((event_id * 7919) % 18000) / 100.0 - 90 AS lat, ((event_id * 104729) % 36000) / 100.0 - 180 AS lon FROM er),
+m AS (SELECT event_id, product_id, lat - product_id % 9 AS lat, CASE WHEN lon < 170 THEN lon + 360 ELSE lon END AS x, abs(epoch_us(acq_time) - epoch_us(ts)) AS d FROM e JOIN pr USING (user_id) WHERE CAST(acq_time AS DATE) = CAST(ts AS DATE))
+SELECT event_id, product_id FROM (SELECT event_id, product_id, row_number() OVER (PARTITION BY event_id ORDER BY d, product_id) AS r FROM m WHERE ({_EDGES}) % 2 = 1) WHERE r = 1""")
+def concave_footprint_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concave footprints over the antimeridian, moved north by the product's number."""
+    place = [(((F.col("event_id") * 7919) % 18000) / 100.0 - 90).alias("lat"), (((F.col("event_id") * 104729) % 36000) / 100.0 - 180).alias("lon")]
+    shape = F.array(*[F.struct(F.lit(x).alias("lon"), (F.col("product_id") % 9 + y).cast("double").alias("lat")) for x, y in CONCAVE])
+    return match.in_footprint(errors(spark, sf_dir).select("*", *place), products(spark, sf_dir).withColumn("shape", shape), N, "lat", "lon", "shape").select("event_id", "product_id")
+
+
 @query("""WITH ROLES, m AS (SELECT event_id, product_id, row_number() OVER (PARTITION BY event_id ORDER BY acq_time, product_id) AS r FROM er JOIN pr ON abs(epoch_us(acq_time) - epoch_us(ts)) <= 3600000000
 WHERE event_id % 90 BETWEEN product_id % 60 AND product_id % 60 + 20 AND event_id % 180 BETWEEN product_id % 100 AND product_id % 100 + 50) SELECT event_id, product_id FROM m WHERE r = 1""")
 def first_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,20 +213,38 @@ HAVERSINE = "2 * 6371.0 * asin(least(1.0, sqrt(pow(sin((radians(olat) - radians(
 @query(f"""WITH ROLES, d AS (SELECT pid, oid, {HAVERSINE} AS km FROM cu, su), r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY km, oid) AS r FROM d WHERE km <= 800) SELECT pid, oid, round(km, 4) AS dist_km FROM r WHERE r = 1""")
 def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each point's nearest site within 800 km."""
-    out = nearest.nearest_within(points(spark, sf_dir), sites(spark, sf_dir), "pid", "oid", 800.0, degrees=5.0)
+    out = nearest.nearest_within(points(spark, sf_dir), sites(spark, sf_dir), "pid", "oid", 800.0)
     return out.select("pid", "oid", F.round("dist_km", 4).alias("dist_km"))
 
 
+@query(f"""WITH ROLES, d AS (SELECT pid, oid, {HAVERSINE} AS km FROM cu, su), r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY km, oid) AS r FROM d) SELECT pid, oid, round(km, 4) AS dist_km FROM r WHERE r = 1""")
+def nearest_anywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each point's nearest site, however far."""
+    return nearest.nearest(points(spark, sf_dir), sites(spark, sf_dir), "pid", "oid").select("pid", "oid", F.round("dist_km", 4).alias("dist_km"))
+
+
+@query(f"""WITH ROLES, px AS (SELECT oid, olat, olon, qa, oid % 7 AS file FROM su), ev AS (SELECT pid, lat, lon, pid % 8 AS file FROM cu), d AS (SELECT pid, oid, qa, {HAVERSINE} AS km FROM ev JOIN px USING (file)),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY km, oid) AS r FROM d) WHERE r = 1)
+SELECT ev.pid, b.oid, round(b.km, 4) AS dist_km, CASE WHEN ev.file = 7 THEN 'no_time_candidate' WHEN abs(ev.lat) > 80 THEN 'no_bbox_candidate' WHEN b.pid IS NULL THEN 'pixel_match_failed' WHEN b.km > 3000 THEN 'too_far' WHEN coalesce(b.qa, 0) < 0 THEN 'low_qa' END AS reason FROM ev LEFT JOIN b USING (pid)""")
+def swath_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest pixel of the event's swath, from however far, so that `too_far` is told with its distance."""
+    events = points(spark, sf_dir).select("pid", "lat", "lon", (F.col("pid") % 8).alias("file"))
+    pixels = nearest.nearest(events, sites(spark, sf_dir).withColumn("file", F.col("oid") % 7), "pid", "oid", on=["file"])
+    timed = events.where("file < 7")
+    out = match.match_with_reasons(events, timed, timed.where("abs(lat) <= 80"), pixels.select("pid", "dist_km", "oid", "qa"), "pid", 3000.0, 0.0)
+    return out.select("pid", F.col("best.oid").alias("oid"), F.round("best.dist_km", 4).alias("dist_km"), "reason")
+
+
 @query(f"""WITH ROLES, d AS (SELECT DISTINCT pid FROM cu, su WHERE {HAVERSINE} <= 300) SELECT cu.pid, d.pid IS NULL AS is_outlier FROM cu LEFT JOIN d ON cu.pid = d.pid""")
 def point_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points without a site within 300 km."""
-    return nearest.split_outliers(points(spark, sf_dir), sites(spark, sf_dir), "pid", 300.0, degrees=5.0).select("pid", "is_outlier")
+    return nearest.split_outliers(points(spark, sf_dir), sites(spark, sf_dir), "pid", 300.0, "oid").select("pid", "is_outlier")
 
 
 @query(f"""WITH ROLES, d AS (SELECT pid, qa, row_number() OVER (PARTITION BY pid ORDER BY {HAVERSINE}, oid) AS r FROM cu, su WHERE {HAVERSINE} <= 500) SELECT cu.pid, coalesce(d.qa, 0.0) AS qa FROM cu LEFT JOIN (SELECT * FROM d WHERE r = 1) d ON cu.pid = d.pid""")
 def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest value within the bound, else 0."""
-    return nearest.resample(points(spark, sf_dir), sites(spark, sf_dir), "pid", "qa", "oid", 500.0, degrees=5.0).select("pid", "qa")
+    return nearest.resample(points(spark, sf_dir), sites(spark, sf_dir), "pid", "qa", "oid", 500.0).select("pid", "qa")
 
 
 @query("""WITH ROLES, g AS (SELECT floor((olat + 90) / 30) * 30 - 75 AS glat, floor((olon + 180) / 60) * 60 - 150 AS glon, avg(qa) AS v FROM su GROUP BY 1, 2),
