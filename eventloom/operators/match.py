@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from eventloom.functions.temporal import micros
@@ -166,11 +167,12 @@ def nth_previous_overpass(events: DataFrame, products: DataFrame, names: Names,
     """
     back = max(1, int(back_days * DAY))
     key = list(names.keys)
-    event_type, product_type = events.schema[names.event].dataType, products.schema[names.product].dataType
+    product_type = products.schema[names.product].dataType
     text = lambda c: F.col(c).cast("string")
-    left = events.select(*key, _spread(micros(t0_time), back).alias("_b"), micros(t0_time).alias("_t"), F.lit(1).alias("_kind"), F.col(names.event).alias("_e"), F.col(t0_product).cast(product_type).alias("_p"), text(t0_overpass).alias("_o"))
+    row = F.struct(*events.columns)
+    left = events.select(*key, _spread(micros(t0_time), back).alias("_b"), micros(t0_time).alias("_t"), F.lit(1).alias("_kind"), F.col(t0_product).cast(product_type).alias("_p"), text(t0_overpass).alias("_o"), row.alias("_row"))
     at = micros(names.product_time)
-    right = products.select(*key, F.explode(F.array(_spread(at, back), _spread(at, back) + 1)).alias("_b"), at.alias("_t"), F.lit(2).alias("_kind"), F.lit(None).cast(event_type).alias("_e"), F.col(names.product).alias("_p"), text(overpass).alias("_o"))
+    right = products.select(*key, F.explode(F.array(_spread(at, back), _spread(at, back) + 1)).alias("_b"), at.alias("_t"), F.lit(2).alias("_kind"), F.col(names.product).alias("_p"), text(overpass).alias("_o"), F.lit(None).cast(events.schema).alias("_row"))
     groups = [*key, "_b"]
     # At equal times events come first: products must be strictly before.
     swept = left.unionByName(right).where(F.col("_t").isNotNull()).repartition(*groups).sortWithinPartitions(*groups, "_t", "_kind", "_p")
@@ -178,20 +180,20 @@ def nth_previous_overpass(events: DataFrame, products: DataFrame, names: Names,
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, recent = None, None
         for batch in batches:
-            found: list[tuple] = []
-            columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-            for *group, t, kind, event, product, name in zip(*columns, strict=True):
+            found: list[tuple[int, int, str | None]] = []
+            columns = [batch.column(k).to_pylist() for k in range(batch.num_columns - 1)]
+            for i, (*group, t, kind, product, name) in enumerate(zip(*columns, strict=True)):
                 if group != current:
                     current, recent = group, _Recent(n, back)
                 if kind == 2:
                     recent.add(name, t, product)
                 elif (nth := recent.before(t, product, name)) is not None:
-                    found.append((event, *nth))
-            kind_of = batch.schema.field(len(key) + 3).type
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate((kind_of, pa.int64(), pa.string()))], [names.event, "_newest", "_name"])
+                    found.append((i, *nth))
+            rows, newest, named = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(batch.num_columns - 1).take(pa.array(rows, pa.int64())), pa.array(newest, pa.int64()), pa.array(named, pa.string())], ["_row", "_newest", "_name"])
 
-    nth = swept.mapInArrow(sweep, f"`{names.event}` {event_type.simpleString()}, _newest long, _name string")
-    chosen = events.join(nth, names.event)
+    nth = swept.mapInArrow(sweep, StructType([StructField("_row", events.schema), StructField("_newest", LongType()), StructField("_name", StringType())]))
+    chosen = nth.select("_row.*", "_newest", "_name")
     on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(key)]
     own = products.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(key)})
     near = functools.reduce(operator.and_, on, F.col("_name").eqNullSafe(text(overpass)))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from eventloom.functions import geo
+from eventloom.operators.cover import computed
 from eventloom.scratch import Scratch
 
 #: Halvings of a cell's edge from one level of the tree to the next, and the level beyond which no cell is split (1 cm).
@@ -40,9 +41,9 @@ def within_radius(points: DataFrame, others: DataFrame, km: float, point: Sequen
     return left.join(right, ["_r", "_c", *on]).withColumn("dist_km", dist).where(F.col("dist_km") <= km).drop("_r", "_c")
 
 
-def _axes(lat: Column, lon: Column) -> list[Column]:
+def _axes(lat: Column, lon: Column) -> dict[str, Column]:
     """The point on the unit sphere: chords grow with great-circle distance, and there are no poles or antimeridian."""
-    return [(F.cos(F.radians(lat)) * F.cos(F.radians(lon))).alias("x"), (F.cos(F.radians(lat)) * F.sin(F.radians(lon))).alias("y"), F.sin(F.radians(lat)).alias("z")]
+    return {"x": F.cos(F.radians(lat)) * F.cos(F.radians(lon)), "y": F.cos(F.radians(lat)) * F.sin(F.radians(lon)), "z": F.sin(F.radians(lat))}
 
 
 def _cells(level: int) -> list[Column]:
@@ -84,12 +85,11 @@ def nearest(points: DataFrame, others: DataFrame, key: str, tie: str, km: float
     rest = [c for c in others.columns if c not in on]
     lat, lon = (F.col(c).cast("double") for c in other)
     places = others.where(good(other[0]) & good(other[1])).groupBy(*on, lat.alias("_lat"), geo.lon180(lon).alias("_lon")).agg(F.min_by(F.struct(*rest), tie).alias("_o"))
-    place = [*[F.col(c) for c in on], *_axes(F.col("_lat"), F.col("_lon"))]
-    whole = scratch.written(places)
-    open_places = whole.select(*place)
-    own = [F.col(key), *[F.col(c) for c in on], *_axes(F.col(point[0]).cast("double"), F.col(point[1]).cast("double"))]
+    whole = scratch.written(computed(places, **_axes(F.col("_lat"), F.col("_lon"))).drop("_lat", "_lon"))
+    open_places = whole.select(*on, "x", "y", "z")
+    axes = _axes(F.col(point[0]).cast("double"), F.col(point[1]).cast("double"))
     bound = F.lit(2 * math.sin(min(km / (2 * geo.EARTH_KM), math.pi / 2)) if km is not None else 2.0)
-    open_points = points.where(good(point[0]) & good(point[1])).select(*own, bound.alias("best"))
+    open_points = computed(points.where(good(point[0]) & good(point[1])).select(key, *on, *point), **axes).select(key, *on, "x", "y", "z", bound.alias("best"))
     cell, up = ["cx", "cy", "cz"], ["px", "py", "pz"]
     leaves: list[tuple[int, DataFrame]] = []
     for depth in range(1, LEVELS + 1):
@@ -108,7 +108,7 @@ def nearest(points: DataFrame, others: DataFrame, key: str, tie: str, km: float
         pairs = scratch.written(pairs)
         split = (F.col("n") > leaf) & F.lit(depth < LEVELS)
         leaves.append((level, pairs.where(~split).select(key, *on, *cell, "near", "best")))
-        large = scratch.written(cells.where(split).select(*on, *cell))
+        large = cells.where(split).select(*on, *cell)
         if large.isEmpty():
             break
         waiting = pairs.where(split).select(key, *on, "x", "y", "z", *[F.col(c).alias(p) for c, p in zip(cell, up, strict=True)], "best")
@@ -117,8 +117,10 @@ def nearest(points: DataFrame, others: DataFrame, key: str, tie: str, km: float
         open_places = open_places.join(large, [*on, *cell], "left_semi")
     found = functools.reduce(DataFrame.unionByName, [df.withColumn("level", F.lit(level)) for level, df in leaves])
     found = found.withColumn("best", F.min("best").over(Window.partitionBy(key))).where(F.col("near") <= F.col("best") * _MORE + _LEAST)
-    found = scratch.written(found.select(key, *on, "level", *cell))
-    reached = functools.reduce(DataFrame.unionByName, [whole.select(*on, "_o", *_axes(F.col("_lat"), F.col("_lon"))).select(*on, "_o", F.lit(level).alias("level"), *_cells(level)).join(found.where(F.col("level") == level), [*on, "level", *cell]) for level, _ in leaves])
+    found = found.select(key, *on, "level", *cell)
+    if len(leaves) > 1:
+        found = scratch.written(found)
+    reached = functools.reduce(DataFrame.unionByName, [whole.select(*on, "_o", F.lit(level).alias("level"), *_cells(level)).join(found.where(F.col("level") == level), [*on, "level", *cell]) for level, _ in leaves])
     joined = reached.select(key, "_o.*").join(points, key)
     joined = joined.withColumn("dist_km", geo.haversine_km(F.col(point[0]), F.col(point[1]), F.col(other[0]), F.col(other[1])))
     if km is not None:

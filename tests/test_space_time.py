@@ -183,6 +183,6 @@ def test_no_pair_is_formed_outside_the_cover(spark):
     """A footprint of one cell and points in every other cell: the join itself forms no pair."""
     p = spark.range(1000).select(F.col("id").alias("pid"), (F.col("id") % 170 - 85).cast("double").alias("lat"), ((F.col("id") * 7) % 340 - 170).cast("double").alias("lon"))
     s = frame(spark, [(1, [{"lon": 0.55, "lat": 0.55}, {"lon": 0.6, "lat": 0.55}, {"lon": 0.6, "lat": 0.6}])], "sid long, shape array<struct<lon:double,lat:double>>")
-    cells = s.select(F.explode(cover.polygon_cells(F.col("shape"))).alias("c")).select("c.*").collect()
-    assert len(cells) == 1 and not cells[0].inner and cells[0].grid == 0
+    cells = cover.polygon_cells(s, "shape").collect()
+    assert len(cells) == 1 and not cells[0]["_inner"] and cells[0]["_grid"] == 0
     assert cover.points_in_polygons(p, s, "lat", "lon", "shape").count() == 0
