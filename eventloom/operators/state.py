@@ -12,28 +12,38 @@ from eventloom.operators.windows import one_per_key
 KEYS = ("sensor", "event_id", "timepoint")
 
 
-def guarded_upsert(manifest: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str, path: str, fields: Sequence[str], protected: Column | None = None) -> DataFrame:
-    """The last update of each key, by `seq`, overwrites its non-empty fields.
+def _last(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """Each key's last row by `seq`; equal ones by all other columns, so none is left to chance."""
+    rest = [c for c in rows.columns if c != seq and c not in keys]
+    return one_per_key(rows, keys, [F.col(seq).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in rest]])
 
-    A row whose `path` has a value (or that `protected` says) isn't changed by an update without one.
-    Adds `changed`.  Updates of unknown keys are left out; running it twice changes nothing more.
+
+def guarded_upsert(manifest: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str, path: str, fields: Sequence[str], protected: Column | None = None, provenance: Sequence[str] = ()) -> DataFrame:
+    """The last update of each key, by `seq` (then by all columns), overwrites its non-empty fields.
+
+    A row whose `path` has a value (or that `protected` says) isn't changed by an update without one, but in its
+    `provenance` fields (status, message, source).  Adds `changed`.  Updates of unknown keys are left out, a null key
+    is unknown; running it twice changes nothing more.
     """
-    last = one_per_key(updates, keys, [F.col(seq).desc()])
-    last = last.select(*keys, F.lit(True).alias("_has"), *[null_if_sentinel(f, "manifest").alias(f"_{f}") for f in fields])
+    own = [*fields, *[p for p in provenance if p not in fields]]
+    last = _last(updates, keys, seq)
+    last = last.select(*keys, F.lit(True).alias("_has"), *[null_if_sentinel(f, "manifest").alias(f"_{f}") for f in own])
     joined = manifest.join(last, list(keys), "left")
     good = has_value(path, "manifest") if protected is None else protected
-    takes = F.coalesce(F.col("_has"), F.lit(False)) & ~(good & F.col(f"_{path}").isNull())
-    values = {f: F.when(takes, F.coalesce(F.col(f"_{f}"), F.col(f).cast("string"))).otherwise(F.col(f).cast("string")) for f in fields}
-    changed = takes & F.exists(F.array(*[~F.col(f"_{f}").eqNullSafe(F.col(f).cast("string")) & F.col(f"_{f}").isNotNull() for f in fields]), lambda x: x)
+    has = F.coalesce(F.col("_has"), F.lit(False))
+    takes = {f: has if f in provenance else has & ~(good & F.col(f"_{path}").isNull()) for f in own}
+    values = {f: F.when(takes[f], F.coalesce(F.col(f"_{f}"), F.col(f).cast("string"))).otherwise(F.col(f).cast("string")) for f in own}
+    changed = F.exists(F.array(*[takes[f] & ~F.col(f"_{f}").eqNullSafe(F.col(f).cast("string")) & F.col(f"_{f}").isNotNull() for f in own]), lambda x: x)
     return joined.select(*[values[c].alias(c) if c in values else F.col(c) for c in manifest.columns], changed.alias("changed"))
 
 
 def completed(records: DataFrame, keys: Sequence[str], path: str, seq: str, inventory: DataFrame | None = None) -> DataFrame:
-    """The last record of each key that has a path (of a non-empty file, given an inventory)."""
+    """The last record of each key that has a path (of a non-empty file, given an inventory); ties in `seq` end by all
+    columns."""
     rows = records.where(has_value(path, "manifest"))
     if inventory is not None:
         rows = rows.join(inventory.where("length > 0").select(F.col("path").alias(path)).distinct(), path, "left_semi")
-    return one_per_key(rows, keys, [F.col(seq).desc()])
+    return _last(rows, keys, seq)
 
 
 def mapped_updates(records: DataFrame, mapping: Mapping[str, Column | str], accept: Column) -> DataFrame:

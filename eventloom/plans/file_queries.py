@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventloom.functions import clean, geo, names, temporal
 from eventloom.operators import chips as chip, cover, master, planning, quality, report, splits, state, windows
 from eventloom.plans.registry import chips, points, products, query, sites, table
+from eventloom.scratch import Scratch
 from eventloom.sources import scans, sinks
 
 
 def _orders_csv(spark: SparkSession, sf_dir: str) -> str:
     """Orders as a manifest of CSV files, its clerk quoted and with a comma."""
-    path = sinks.shared_folder(spark)
+    path = Scratch(spark).path()
     orders = table(spark, sf_dir, "orders").withColumn("clerk", F.concat(F.lit('say "'), F.col("o_orderstatus"), F.lit('", ok')))
     sinks.write_manifest(orders, path, ["o_orderkey", "o_custkey", "o_orderstatus", "clerk", "absent"])
     return path
@@ -35,7 +36,7 @@ def projected_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A look-up table from a file, and one whose file is absent."""
     found = scans.lookup_or_empty(spark, _orders_csv(spark, sf_dir), "o_custkey string, o_orderkey string, o_orderstatus string").withColumn("place", F.col("o_orderkey").cast("long"))
-    absent = scans.lookup_or_empty(spark, sinks.shared_folder(spark), "o_custkey string, o_orderstatus string")
+    absent = scans.lookup_or_empty(spark, Scratch(spark).path(), "o_custkey string, o_orderstatus string")
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("o_custkey"))
     both = master.lookup(master.lookup(customers, found, "o_custkey", ["place"]), absent, "o_custkey", ["o_orderstatus"], "old_")
     return both.select("c_custkey", F.col("o_orderstatus").alias("status"), F.col("old_o_orderstatus").alias("old_status"))
@@ -44,7 +45,7 @@ def looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, CAST(NULL AS VARCHAR) AS brand FROM supplier UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name, NULL, p_brand FROM part""")
 def catalogue_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogues of different headers, one below the other."""
-    a, b = sinks.shared_folder(spark), sinks.shared_folder(spark)
+    a, b = Scratch(spark).path(), Scratch(spark).path()
     sinks.write_manifest(table(spark, sf_dir, "supplier").selectExpr("s_suppkey as id", "s_name as name", "s_nationkey as nation"), a, ["id", "name", "nation"])
     sinks.write_manifest(table(spark, sf_dir, "part").selectExpr("p_partkey as id", "p_name as name", "p_brand as brand"), b, ["id", "name", "brand"])
     return scans.catalogue(spark, [a, b])
@@ -53,7 +54,7 @@ def catalogue_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, 'unassigned') AS split, count(*) AS n FROM orders GROUP BY 1""")
 def split_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder for each split, counted through the inventory of its files."""
-    path = sinks.shared_folder(spark)
+    path = Scratch(spark).path()
     sinks.write_splits(table(spark, sf_dir, "orders").withColumn("split", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))), path)
     files = scans.inventory(spark, path, "*.parquet").where("length > 0")
     old = scans.older_than(files, 3600, F.current_timestamp() + F.expr("interval 2 hours")).select(names.extract("path", "/split=([^/]+)/").alias("split")).distinct()
@@ -115,7 +116,7 @@ def key_value_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT 3 AS version, count(*) AS n, CAST(sum(s_nationkey + 1) AS BIGINT) AS total FROM supplier""")
 def newest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table rewritten three times; readers see the last whole version."""
-    root, rows = sinks.shared_folder(spark), table(spark, sf_dir, "supplier")
+    root, rows = Scratch(spark).path(), table(spark, sf_dir, "supplier")
     for k in (3, 2, 7, 1):
         n = state.write_version(rows.select((F.col("s_nationkey") + k).alias("value")), root)
     return state.read_version(spark, root).agg(F.lit(n).alias("version"), F.count("*").alias("n"), F.sum("value").alias("total"))
@@ -126,7 +127,7 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports written as JSON documents and read again."""
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
     metrics = report.metrics_long({"part": part.agg(F.count("*").alias("rows"), F.max("p_size").alias("max_size")), "supplier": supplier.agg(F.count("*").alias("rows"))})
-    path = sinks.shared_folder(spark)
+    path = Scratch(spark).path()
     sinks.write_report(report.as_json(metrics), path)
     return spark.read.text(path)
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import json
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from eventloom.operators.state import guarded_upsert, newest_version, read_version
+from eventloom.functions.clean import table_fingerprint
+from eventloom.operators import manifest
+
+#: How often a batch is tried while other writers commit between its reading and its commit.
+ATTEMPTS = 5
 
 
 def new_files(spark: SparkSession, path: str, schema: str, form: str = "parquet", files_per_batch: int = 100, latest_first: bool = False, max_age: str | None = None) -> DataFrame:
@@ -25,19 +30,65 @@ def run_available(writer, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def upsert_stream(updates: DataFrame, root: str, keys: Sequence[str], seq: str, path: str, fields: Sequence[str]):
-    """Each batch's updates to the newest version of the manifest under root.
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark has given the query of a checkpoint: another checkpoint is another stream."""
+    return json.loads(manifest._read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def upsert_stream(updates: DataFrame, root: str, seq: str, path: str, fields: Sequence[str], checkpoint: str, provenance: Sequence[str] = ()) -> StreamingQuery:
+    """Takes what there is of a stream of updates into the manifest under root (`manifest.create` made it), then stops.
 
-    A batch writes the version of its own number, so a batch that runs again overwrites itself and
-    nothing is applied twice.  Version 0 is the manifest that stands there at the start.
+    Each batch is one commit on the newest version, whoever wrote it, of the buckets that have updates.  The commit
+    names the stream and the batch, so a batch that runs again changes nothing, and a batch that meets another
+    writer's commit is tried again on that one's version.
     """
     def apply(batch: DataFrame, number: int) -> None:
-        spark, to = batch.sparkSession, number + 1
-        base = min(number, newest_version(spark, root))
-        merged = guarded_upsert(read_version(spark, root, base), batch, keys, seq, path, fields).drop("changed")
-        merged.write.mode("overwrite").parquet(f"{root}/version={to}")
+        rows = batch.persist()  # read for its buckets, then for its rows
+        try:
+            stream = _stream_id(batch.sparkSession, checkpoint)
+            for attempt in range(ATTEMPTS):
+                try:
+                    manifest.upsert(root, rows, seq, path, fields, stream, number, provenance)
+                    return
+                except manifest.CommitConflict:
+                    if attempt == ATTEMPTS - 1:
+                        raise
+        finally:
+            rows.unpersist()
+
+    return run_available(updates.writeStream.foreachBatch(apply), checkpoint)
+
 
-    return updates.writeStream.foreachBatch(apply)
+class ManifestMismatch(RuntimeError):
+    """The manifest isn't the one that the checkpoint was made with."""
+
+
+def run_guarded(writer, checkpoint: str, rows: DataFrame, key: str) -> StreamingQuery:
+    """As `run_available`, if the manifest `rows` is the one that the checkpoint knows.
+
+    Beside the checkpoint stand the least and greatest key and the content fingerprint of the manifest of the last
+    start.  Rows up to that greatest key must be the same now; else ManifestMismatch is raised before any batch.
+    Rows of greater keys are new, and the run goes on with them.  A manifest without rows or keys is like any other.
+    """
+    spark, path = rows.sparkSession, f"{checkpoint.rstrip('/')}-manifest.json"
+    fs, at = manifest._fs(spark, path)
+
+    def identity(df: DataFrame) -> dict[str, str | None]:
+        ends = df.agg(F.min(key).cast("string").alias("least"), F.max(key).cast("string").alias("greatest")).first()
+        found = table_fingerprint(df.select(*sorted(df.columns))).first()
+        return ends.asDict() | {k: None if v is None else str(v) for k, v in found.asDict().items()}
+
+    if fs.exists(at):
+        known = json.loads(manifest._read_text(spark, path))
+        limit = F.lit(known["greatest"]).cast(rows.schema[key].dataType)
+        same = identity(rows.where(F.col(key).isNull() | (F.col(key) <= limit)))
+        wrong = [k for k in known if known[k] != same[k]]
+        if wrong:
+            raise ManifestMismatch(f"{checkpoint} was made with another manifest: {', '.join(f'{k} was {known[k]} and is {same[k]}' for k in wrong)}")
+    out = fs.create(at, True)
+    out.write(json.dumps(identity(rows)).encode())
+    out.close()
+    return run_available(writer, checkpoint)
 
 
 def usage_once(rows: DataFrame, time: str, delay: str, keys: Sequence[str]) -> DataFrame:
@@ -102,9 +153,3 @@ def updates_to_files(df: DataFrame, path: str, mode: str = "update") -> DataFram
     run_available(df.writeStream.outputMode(mode).foreachBatch(write), f"{path}-checkpoint")
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/batch=*")
 
-
-def collect_stream(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over what there is into a memory table (tests and small results)."""
-    writer: Callable = df.writeStream.format("memory").queryName(name).outputMode(mode)
-    run_available(writer, checkpoint)
-    return df.sparkSession.table(name)
