@@ -10,10 +10,12 @@ from eventloom.scratch import Scratch
 from eventloom.streaming import jobs
 
 
-def _arriving(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """The rows as files that a stream takes one by one, in the order of `ts`."""
+def _arriving(spark: SparkSession, rows: DataFrame, last: DataFrame | None = None) -> DataFrame:
+    """The rows as files that a stream takes one by one, in the order of `ts`; those of `last` come after all others."""
     path = Scratch(spark).path()
     rows.repartitionByRange(4, "ts").write.parquet(path)
+    if last is not None:
+        last.write.mode("append").parquet(path)
     return jobs.new_files(spark, path, rows.schema.simpleString()[7:-1].replace(":", " "), files_per_batch=2)
 
 
@@ -64,7 +66,7 @@ def streamed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = one_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity"]).where("l_linenumber > 1 or l_orderkey % 5 > 0")
     gated = rows.select(F.col("l_orderkey").cast("string").alias("event"), F.when(F.col("l_linenumber") == 1, "t0").otherwise(F.concat(F.lit("p"), F.col("l_linenumber").cast("string"))).alias("timepoint"), (F.col("l_quantity") > 20).alias("ok"), F.timestamp_seconds(F.lit(1_700_000_000) - F.col("l_linenumber")).alias("ts"))
     last = spark.range(1).select(F.lit("clock").alias("event"), F.lit("t0").alias("timepoint"), F.lit(True).alias("ok"), F.timestamp_seconds(F.lit(1_701_000_000)).alias("ts"))
-    out = jobs.updates_to_files(jobs.t0_gate_stream(_arriving(spark, gated.union(last)), "event", "ts", "1 day", 86_400_000), Scratch(spark).path(), "append")
+    out = jobs.updates_to_files(jobs.t0_gate_stream(_arriving(spark, gated, last), "event", "ts", "1 day", 86_400_000), Scratch(spark).path(), "append")
     return out.where("event <> 'clock'")
 
 
