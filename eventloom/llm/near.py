@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -136,7 +136,7 @@ def _least(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
+def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc_id", text: str = "text", scratch: Scratch | None = None, digests: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] = K.digests) -> DataFrame:
     """(key, n_shingles, component_id) for each row: the smallest key that links of `rule` reach.
 
     1. Screen: each set's prefix in hash order.  A shingle counts as shared if two different texts have
@@ -153,7 +153,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
        is paired in blocks of BLOCK groups, so no task has all its pairs.
 
     Hashes only propose.  Sizes and intersections are counted by words, texts of equal words are known by
-    128-bit digests.  Shingles of very many texts are counted by partial aggregation and broadcast.  Null
+    128-bit `digests`, both halves.  Shingles of very many texts are counted by partial aggregation and broadcast.  Null
     or empty texts have no shingles and link with nothing; a null key has component null and takes no
     part; rows that share a key are one document for linking, if their texts differ each may bring links;
     an empty table gives no rows, other columns play no part.
@@ -167,7 +167,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
             for part in K.blocks(batch.column(1)):
                 rows = Shingles(part, rule.words)
                 words, begin = K.joined(*rows.text)
-                ids.append(K.digests(words, begin[rows.first[:-1]], begin[rows.first[1:]]).view(np.int64))
+                ids.append(digests(words, begin[rows.first[:-1]], begin[rows.first[1:]]).view(np.int64))
                 for i in range(len(part)):
                     s = rows.of(i)
                     sizes.append(len(s))
@@ -177,21 +177,21 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
 
     docs = df.select(F.col(key).cast("long").alias("doc"), text)
     sets = written(docs.mapInArrow(screen, "doc long, n int, set long, check long, prefix array<long>"))
-    copies = written(sets.where("n > 0 and doc is not null").groupBy("set").agg(F.min("doc").alias("first"), F.min("check").alias("x"), F.max("check").alias("y")))
-    if not copies.where("x <> y").isEmpty():
-        raise ValueError("two texts agree in the first half of a 128-bit digest")
-    entries = sets.where("doc is not null").select("doc", "set", F.explode("prefix").alias("h"))
-    shared = written(entries.groupBy("h").agg(F.min("set").alias("x"), F.max("set").alias("y"), F.count("*").alias("often")).where("x <> y").select("h", "often", F.col("often").alias("_n")))
+    copies = written(sets.where("n > 0 and doc is not null").groupBy("set", "check").agg(F.min("doc").alias("first")))
+    entries = sets.where("doc is not null").select("doc", F.struct("set", "check").alias("text"), F.explode("prefix").alias("h"))
+    shared = written(entries.groupBy("h").agg(F.min("text").alias("x"), F.max("text").alias("y"), F.count("*").alias("often")).where("x <> y").select("h", "often", F.col("often").alias("_n")))
     kept = join_frequent(entries.select("doc", "h"), shared, ["h"], "_n").groupBy("doc").agg(F.collect_set(F.struct("often", "h")).alias("hs"))
     smallest = _least(F.col("n"), percent)
     needed = F.least(F.greatest(F.floor((smallest - _least(smallest, percent)) / 2) + 1, F.lit(rule.overlap)), _least(smallest, percent))
-    kept = kept.join(sets.select("doc", "n", "set"), "doc").withColumn("needed", needed).where(F.size("hs") >= F.col("needed"))
+    kept = kept.join(sets.select("doc", "n", "set", "check"), "doc").withColumn("needed", needed).where(F.size("hs") >= F.col("needed"))
     prefix = F.transform(F.slice(F.array_sort("hs"), 1, (F.size("hs") - F.col("needed") + 1).cast("int")), lambda x: x["h"])
-    ranked = written(kept.withColumn("prefix", prefix).groupBy("set", "n").agg(F.min_by(F.struct("doc", "prefix"), "doc").alias("r")).select("n", "r.*"))
+    ranked = written(kept.withColumn("prefix", prefix).groupBy("set", "check", "n").agg(F.min_by(F.struct("doc", "prefix"), "doc").alias("r")).select("n", "r.*"))
     scratch.drop(shared)
-    groups = written(ranked.groupBy("n", "prefix").agg(F.min("doc").alias("leader"), F.collect_list("doc").alias("docs")))
-    members = groups.select("n", "leader", F.explode("docs").alias("doc"))
-    groups = groups.select("n", "leader", "prefix")
+    # A group is known by its prefix, whose digest is all that its members carry; a large one meets its leader in a join.
+    named = ranked.select("n", "doc", "prefix", F.md5(F.array_join(F.transform("prefix", lambda h: F.hex(h)), " ")).alias("name"))
+    grouped = written(named.groupBy("n", "name").agg(F.min("doc").alias("leader"), F.min_by("prefix", "doc").alias("prefix")))
+    members = named.select("n", "name", "doc").join(grouped.select("n", "name", "leader"), ["n", "name"]).select("n", "leader", "doc")
+    groups = grouped.select("n", "leader", "prefix")
     texts = written(docs.join(ranked.select("doc"), "doc"))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -265,7 +265,8 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
         close = apart & may_link("oa", "ob", "na", "nb", F.col("ra") + F.col("rb")) & ~F.arrays_overlap("ea", "eb")
         return written(one.join(two, ["h", "p", "r"]).where(close).select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct())
 
-    pairs = functools.reduce(DataFrame.union, [paired(k) for k in range(SLICES)])
+    slices = [paired(k) for k in range(SLICES)]
+    pairs = functools.reduce(DataFrame.union, slices)
     left = labelled.select(F.col("leader").alias("ga"), F.col("doc").alias("ua"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     right = labelled.select(F.col("leader").alias("gb"), F.col("doc").alias("ub"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     ends = labelled.groupBy("leader").agg(F.min("component").alias("lob"), F.max("component").alias("hib"), F.first("n").alias("nb"))
@@ -276,7 +277,10 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     links = written(links.union(verify(across.select(F.col("ua").alias("a"), F.col("ub").alias("b")))))
 
     found = components(links, scratch).withColumnRenamed("id", "first")
-    of_set = written(copies.join(found, "first", "left").select("set", F.coalesce("component", "first").alias("component_id")))
-    scratch.drop(copies, ranked, texts, members, spheres, wide, rows_of_groups, labelled, mixed, links)
-    out = sets.select("doc", "n", "set").join(of_set, "set", "left")
-    return out.select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))).alias("component_id"))
+    of_set = written(copies.join(found, "first", "left").select("set", "check", F.coalesce("component", "first").alias("component_id")))
+    scratch.drop(copies, ranked, grouped, texts, members, spheres, wide, rows_of_groups, labelled, mixed, links, *slices)
+    out = sets.select("doc", "n", "set", "check").join(of_set, ["set", "check"], "left")
+    out = out.select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))).alias("component_id"))
+    out = written(out)
+    scratch.drop(sets, of_set)
+    return out

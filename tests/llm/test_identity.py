@@ -81,3 +81,22 @@ def test_windows(spark):
     got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in recompress.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert got == {1: (0, sha(rows[0][1])), 2: (0, sha(rows[1][1])), 3: (61, sha(""))}
+
+
+def test_texts_that_share_half_of_their_digest(spark):
+    """Digests whose first halves are all alike, then whose second halves are: texts are told apart by the other."""
+    words = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join(words[:39])), (4, " ".join(words[::-1])), (5, "w1 w2"), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(r.doc_id, r.n_shingles, r.component_id) for r in near.jaccard_components(df, near.Jaccard(2, 85)).collect()}
+    assert {x[2] for x in want} == {1, 4, 5, 6}
+    from eventloom.llm.kernels import digests
+
+    for half in (0, 1):
+        def alike(*spans, half=half):
+            out = digests(*spans).copy()
+            out[:, half] = 7
+            return out
+
+        got = near.jaccard_components(df, near.Jaccard(2, 85), digests=alike)
+        assert {(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()} == want
