@@ -199,24 +199,48 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end: int = 2, wide:
     _buckets(spark, path).drop("start").write.parquet(f"{path}/manifest")
 
 
+class Chain:
+    """The Merkle root of leaves that come one by one: one hash for each power of two of leaves seen, whatever their number."""
+
+    def __init__(self) -> None:
+        self.peaks: list[tuple[int, bytes]] = []
+
+    def add(self, leaf: bytes) -> None:
+        height = 0
+        while self.peaks and self.peaks[-1][0] == height:
+            leaf, height = hashlib.sha256(b"\1" + self.peaks.pop()[1] + leaf).digest(), height + 1
+        self.peaks.append((height, leaf))
+
+    def root(self) -> bytes:
+        out = b""
+        for _, peak in reversed(self.peaks):
+            out = hashlib.sha256(b"\1" + peak + out).digest() if out else peak
+        return out
+
+
+def leaf(doc_id: int | None, start: int, n_tokens: int, root: bytes) -> bytes:
+    """What a bucket's root covers of a document: who it is, where it begins, how long it is, and its chunks."""
+    return hashlib.sha256(b"\2" + f"{doc_id},{start},{n_tokens},".encode() + root).digest()
+
+
 def _buckets(spark: SparkSession, path: str) -> DataFrame:
     """(bucket, documents, tokens, root, start) as recipes/ give them; start, the first document's, is null
     where the others' don't follow from it."""
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict[int, list] = {}
         for batch in batches:
-            for b, tokens, root, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x = state.setdefault(b, [0, 0, [], start])
+            for b, tokens, root, start, doc_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x = state.setdefault(b, [0, 0, Chain(), start])
                 if x[3] is not None and start != x[3] + x[1]:
                     x[3] = None
                 x[0] += 1
                 x[1] += tokens
-                x[2].append(root)
-        columns = [[*state], *([x[i] for x in state.values()] for i in (0, 1)), [merkle(x[2]) for x in state.values()], [x[3] for x in state.values()]]
+                x[2].add(leaf(doc_id, start, tokens, root))
+        columns = [[*state], *([x[i] for x in state.values()] for i in (0, 1)), [x[2].root() for x in state.values()], [x[3] for x in state.values()]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], ["bucket", "documents", "tokens", "root", "start"])
 
     stored = spark.read.parquet(f"{path}/recipes").select("bucket", "n_tokens", "root", "start", "doc_id")
-    stored = stored.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "doc_id", "root", "start").drop("doc_id")
+    stored = stored.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "doc_id", "root", "start")
     return stored.mapInArrow(roots, "bucket int, documents long, tokens long, root binary, start long")
 
 

@@ -153,3 +153,32 @@ def test_crc_and_merkle():
     ends = store.borders(ids)
     moved = store.borders(np.concatenate([ids[:100], ids[103:]]))
     assert ends[-1] == 20000 and len({20000 - e for e in ends} & {19997 - e for e in moved}) > 0.7 * len(ends)
+
+
+def test_forged_identity_raises(spark, docs):
+    """Another doc_id, in the same order, or another start under the manifest's roots."""
+    base = Scratch(spark).path()
+    store.write_store(docs, base, JSON, end=2)
+    recipes = spark.read.parquet(f"{base}/recipes")
+    for k, forged in enumerate((F.when(F.col("doc_id") == 30, 31).otherwise(F.col("doc_id")), F.col("doc_id"))):
+        path = f"{base}-{k}"
+        for part in ("parts", "manifest"):
+            rows = spark.read.parquet(f"{base}/{part}")
+            (rows.write.partitionBy("kind") if part == "parts" else rows.write).parquet(f"{path}/{part}")
+        recipes.withColumn("doc_id", forged).write.parquet(f"{path}/recipes")
+        if k == 0:
+            with pytest.raises(ValueError, match="differ from the manifest"):
+                store.read_digests(spark, path)
+        else:
+            assert store.read_digests(spark, path).count() == docs.count()
+
+
+def test_chain_of_leaves_holds_one_hash_a_power_of_two():
+    chains = []
+    for n in range(70):
+        chain = store.Chain()
+        for i in range(n):
+            chain.add(hashlib.sha256(bytes([i])).digest())
+        assert len(chain.peaks) == n.bit_count()
+        chains.append(chain.root())
+    assert len(set(chains)) == 70
