@@ -69,3 +69,22 @@ def test_stages_on_odd_rows(spark):
         out = stage(spark, spark.createDataFrame(rows, schema), SF).toPandas()
         assert len(out) <= (len(rows) if name != "packing" else 300), name
     assert out.groupby("sequence_id")["length"].sum().max() <= 2048
+
+
+def test_stages_chained_without_writing(spark):
+    """Lazy results of stages feed the next stages: none deletes what another reads."""
+    docs = read(spark, SF, "documents").limit(60)
+    stages = dict(corpus_pipeline.STAGES)
+    held = stages["line dedup"](spark, docs, SF)
+    for name in ("n-gram Jaccard join", "substring dedup", "packing"):
+        held = stages[name](spark, held, SF)
+    assert held.count() > 0
+
+
+def test_two_runs_over_one_folder(spark):
+    """Each run deletes only its own tables."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        one, two = pool.map(lambda _: corpus_pipeline.run(spark, SF).count(), range(2))
+    assert one == two > 0
