@@ -14,19 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eventloom.llm import lines, near, packing, quality, recompress
 from eventloom.llm.tables import Scratch, read
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 
-#: The scratch tables of the stage that ran last over a folder's tables.  A stage starts when its predecessor's
-#: rows are written, so it deletes those, and no others.
-_before: dict[str, Scratch] = {}
 
-
-def begin(spark: SparkSession, sf_dir: str) -> Scratch:
+def _scratch(spark: SparkSession, scratch: Scratch | None) -> Scratch:
+    """The caller's, who deletes its tables when the stage's rows are written; else one of the stage's own, whose tables
+    (what the lazy result still reads) stay until the driver ends."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)  # texts are long, and stages are lazy: it stays set
-    if sf_dir in _before:
-        _before.pop(sf_dir).delete()
-    _before[sf_dir] = scratch = Scratch(spark)
-    return scratch
+    return scratch or Scratch(spark)
 
 
 def _n_chars(docs: DataFrame) -> Column:
@@ -34,35 +29,35 @@ def _n_chars(docs: DataFrame) -> Column:
     return F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
 
 
-def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents that either scorer calls bad go; null and empty texts are judged by the votes on them."""
-    begin(spark, sf_dir)
+    _scratch(spark, scratch)
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.classify(docs, model).where("kept").select(docs.columns)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Boilerplate lines go, but for their first document; a document that has no word left without them goes."""
-    out = lines.spread_lines(docs, scratch=begin(spark, sf_dir)).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = lines.spread_lines(docs, scratch=_scratch(spark, scratch)).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return out.withColumn("n_chars", _n_chars(docs)).select(docs.columns)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Of each component of linked documents the one of smallest doc_id stays (all rows that have it); rows of null doc_id stay."""
-    found = near.jaccard_components(docs, near.Jaccard(words=5, percent=80), scratch=begin(spark, sf_dir))
+    found = near.jaccard_components(docs, near.Jaccard(words=5, percent=80), scratch=_scratch(spark, scratch))
     return docs.join(found.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
-def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Passages of 50 words or more stay in one document; a document with nothing else goes."""
-    out = recompress.drop_repeats(docs, window=50, scratch=begin(spark, sf_dir)).where("n_removed = 0 or n_removed < n_words")
+    out = recompress.drop_repeats(docs, window=50, scratch=_scratch(spark, scratch)).where("n_removed = 0 or n_removed < n_words")
     return out.withColumn("n_chars", _n_chars(docs)).select(docs.columns)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Each document's ids and an end id, in pieces of 2048 ids at most, in sequences: one row a piece.  Null and
     empty texts have the end id alone."""
-    scratch = begin(spark, sf_dir)
+    scratch = _scratch(spark, scratch)
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1, capacity=2048)
     pieces = scratch.written(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
     return packing.pack(pieces, capacity=2048, scratch=scratch)
@@ -84,7 +79,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = Scratch(spark)
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        last, docs = docs, results.written(stage(spark, docs, sf_dir))
+        with Scratch(spark) as own:
+            last, docs = docs, results.written(stage(spark, docs, sf_dir, own))
         results.drop(last)
-    _before.pop(sf_dir).delete()
     return docs
