@@ -7,9 +7,14 @@ pixels across rows explode them.
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+from eventloom.functions.clean import hash_fraction
 
 
 def _c(x: Column | str | int) -> Column:
@@ -212,21 +217,74 @@ def pick_bands(bands: DataFrame, low: tuple[float, float], core: tuple[float, fl
     return functools.reduce(DataFrame.unionByName, [part("low", low, n_low), part("core", core, None), part("high", high, n_high)]).dropDuplicates([index])
 
 
-def distance_to_mask(windows: DataFrame, masks: DataFrame, key: Sequence[str], px: str, width: int, size: int) -> DataFrame:
-    """Each window's least and mean distance (pixels) of its pixels to the mask's nearest positive pixel.
+def squared_distances(on: np.ndarray) -> np.ndarray:
+    """Of masks (n, height, width): each pixel's squared distance to its mask's nearest positive pixel; infinite where a
+    mask has none.  Along rows by the last positive pixel on either side; then along columns by the lower envelope of
+    the rows' parabolas, for all columns of all masks at once: linear in the pixels."""
+    n, height, width = on.shape
+    far = float(4 * (height + width) ** 2)
+    place = np.arange(width)
+    left = np.maximum.accumulate(np.where(on, place, -2 * (height + width)), axis=2)
+    right = np.minimum.accumulate(np.where(on, place, width + 2 * (height + width))[:, :, ::-1], axis=2)[:, :, ::-1]
+    along = np.minimum(np.minimum(place - left, right - place).astype(float) ** 2, far)
+    f = along.transpose(1, 0, 2).reshape(height, n * width)  # a column of pixels in each column
+    columns = np.arange(n * width)
+    centre, border, top = np.zeros((height, n * width), np.int64), np.full((height + 1, n * width), np.inf), np.zeros(n * width, np.int64)
+    border[0] = -np.inf
+    for q in range(1, height):
+        todo = columns
+        while len(todo):
+            k = top[todo]
+            v = centre[k, todo]
+            meet = ((f[q, todo] + q * q) - (f[v, todo] + v * v)) / (2.0 * (q - v))
+            hidden = meet <= border[k, todo]
+            stay, at = todo[~hidden], k[~hidden] + 1
+            top[stay], centre[at, stay], border[at, stay] = at, q, meet[~hidden]
+            border[np.minimum(at + 1, height), stay] = np.inf
+            todo = todo[hidden]
+            top[todo] -= 1
+    out, k = np.empty_like(f), np.zeros(n * width, np.int64)
+    for q in range(height):
+        while (behind := border[np.minimum(k + 1, height), columns] < q).any():
+            k += behind
+        v = centre[k, columns]
+        out[q] = (q - v) ** 2 + f[v, columns]
+    out[out >= far] = np.inf
+    return out.reshape(height, n, width).transpose(1, 0, 2)
+
+
+def distance_maps(masks: DataFrame, key: Sequence[str], px: str, width: int) -> DataFrame:
+    """(key, distances): each pixel's distance, in pixels, to the mask's nearest positive pixel, in the mask's order.
+    Masks without one are left out; a missing pixel isn't positive; `width` divides a mask's size."""
+    def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_size: dict[int, list[int]] = {}
+            pixels = batch.column(1).to_pylist()
+            for i, p in enumerate(pixels):
+                if p:
+                    by_size.setdefault(len(p), []).append(i)
+            for size, rows in by_size.items():
+                step = max(1, (1 << 22) // size)
+                for a in range(0, len(rows), step):
+                    own = rows[a : a + step]
+                    on = np.array([pixels[i] for i in own], float).reshape(len(own), size // width, width) > 0
+                    d = np.sqrt(squared_distances(on)).reshape(len(own), size)
+                    some = np.isfinite(d[:, 0])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.array(own)[some])), pa.array(list(d[some]), pa.list_(pa.float64()))], ["_key", "distances"])
+
+    rows = masks.select(F.struct(*key).alias("_key"), F.col(px).cast("array<double>"))
+    out = StructType([StructField("_key", rows.schema["_key"].dataType), StructField("distances", ArrayType(DoubleType()))])
+    return rows.mapInArrow(transform, out).select("_key.*", "distances")
 
-    Only the mask's edge pixels are compared, inside a row: distances need no join by pixel.
-    """
-    a = F.col(px)
-    on = lambda i: F.coalesce(F.get(a, i.cast("int")) > 0, F.lit(False))
-    inner = lambda i: (i % width > 0) & (i % width < width - 1) & on(i - 1) & on(i + 1) & on(i - width) & on(i + width)
-    edge = F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: on(i) & ~inner(i))
-    marked = masks.select(*key, a.alias("_px"), edge.alias("_edge")).where(F.size("_edge") > 0)
-    joined = windows.join(marked, list(key))
-    inside = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda k: (F.col("y") + F.floor(k / size)) * width + F.col("x") + k % size)
-    near = lambda i: F.when(F.coalesce(F.get(F.col("_px"), i.cast("int")) > 0, F.lit(False)), F.lit(0.0)).otherwise(F.sqrt(F.array_min(F.transform("_edge", lambda e: F.pow(F.floor(e / width) - F.floor(i / width), 2) + F.pow(e % width - i % width, 2)))))
-    d = F.transform(inside, near)
-    return joined.withColumn("_d", d).withColumn("min_distance", F.array_min("_d")).withColumn("mean_distance", F.aggregate("_d", F.lit(0.0), lambda s, v: s + v) / F.size("_d")).withColumn("covered", F.size(F.filter("_d", lambda v: v == 0)) / F.size("_d")).drop("_px", "_edge", "_d")
+
+def distance_to_mask(windows: DataFrame, masks: DataFrame, key: Sequence[str], px: str, width: int, size: int) -> DataFrame:
+    """Each window's least and mean distance (pixels) of its pixels to the mask's nearest positive pixel, and the
+    share of them that are positive: from the mask's distance map, whose pixels in the window are looked at once.
+    Windows lie inside of the mask; those of masks without a positive pixel are left out."""
+    maps = distance_maps(masks, key, px, width).withColumn("_h", F.expr(f"cast(size(distances) / {int(width)} as int)"))
+    d = crop("distances", "_h", F.lit(width), F.col("y"), F.col("x"), F.lit(size), F.lit(size))
+    joined = windows.join(maps, list(key)).withColumn("_d", d)
+    return joined.withColumn("min_distance", F.array_min("_d")).withColumn("mean_distance", F.aggregate("_d", F.lit(0.0), lambda s, v: s + v) / F.size("_d")).withColumn("covered", F.size(F.filter("_d", lambda v: v == 0)) / F.size("_d")).drop("distances", "_h", "_d")
 
 
 def best_windows(scored: DataFrame, key: Sequence[str], score: Column, k: int) -> DataFrame:
@@ -264,12 +322,27 @@ def paired_negatives(positives: DataFrame, previous: DataFrame, event: str, most
     return rows.withColumn("_o", F.get(fit, 0)).select(*positives.columns, F.col("_o.ny").alias("neg_y"), F.col("_o.nx").alias("neg_x"), F.col("_o").isNotNull().alias("found"))
 
 
-def negative_centres(df: DataFrame, height: Column | str | int, width: Column | str | int, margin: int, cy: Column | str, cx: Column | str, half: int = 5) -> DataFrame:
-    """The corner centre farthest from (cy, cx) that lies outside of the square of `half` around it."""
+def negative_centres(df: DataFrame, px: str, height: Column | str | int, width: Column | str | int, crop_half: int, cy: Column | str, cx: Column | str, key: str, half: int = 5, most_missing: float = 0.5, tries: int = 50) -> DataFrame:
+    """Adds `negative` (cy, cx): the first valid centre of a crop of 2 * crop_half + 1 pixels inside the chip, or null.
+
+    First the four corner centres, those far from (cy, cx) first, then `tries` places drawn by hash of `key` and
+    number, so any engine and partitioning draws them alike.  Valid: outside of the square of `half` around (cy, cx),
+    and at most `most_missing` of the crop's pixels missing."""
     h, w, y, x = _c(height), _c(width), _c(cy), _c(cx)
-    spots = [F.struct((-(F.pow(a - y, 2) + F.pow(b - x, 2))).alias("order"), a.alias("cy"), b.alias("cx")) for a in (F.lit(margin), h - 1 - margin) for b in (F.lit(margin), w - 1 - margin)]
-    free = F.filter(F.array_sort(F.array(*spots)), lambda s: (F.abs(s["cy"] - y) > half) | (F.abs(s["cx"] - x) > half))
-    return df.withColumn("negative", F.get(free, 0))
+    size = 2 * crop_half + 1
+    spots = [F.struct((-(F.pow(a - y, 2) + F.pow(b - x, 2))).alias("order"), a.cast("int").alias("cy"), b.cast("int").alias("cx")) for a in (F.lit(crop_half), h - 1 - crop_half) for b in (F.lit(crop_half), w - 1 - crop_half)]
+    value = lambda k, axis, n: (F.lit(crop_half) + F.floor(hash_fraction(F.concat_ws(":", F.col(key).cast("string"), k.cast("string"), F.lit(axis))) * (n - 2 * crop_half))).cast("int")
+    drawn = F.transform(F.sequence(F.lit(1), F.lit(tries)), lambda k: F.struct(k.cast("double").alias("order"), value(k, "y", h).alias("cy"), value(k, "x", w).alias("cx")))
+    df = df.withColumn("_corners", F.array_sort(F.array(*spots))).withColumn("_drawn", drawn)
+
+    def valid(s: Column) -> Column:
+        outside = (F.abs(s["cy"] - y) > half) | (F.abs(s["cx"] - x) > half)
+        return outside & F.coalesce(share_missing(crop(px, h, w, s["cy"] - crop_half, s["cx"] - crop_half, size, size)) <= most_missing, F.lit(False))
+
+    fits = (h >= size) & (w >= size)
+    first = F.coalesce(F.get(F.filter("_corners", valid), 0), F.get(F.filter("_drawn", valid), 0))
+    found = F.when(fits, first)
+    return df.withColumn("_n", found).withColumn("negative", F.when(F.col("_n").isNotNull(), F.struct(F.col("_n.cy").alias("cy"), F.col("_n.cx").alias("cx")))).drop("_corners", "_drawn", "_n")
 
 
 def tile_samples(tiles: DataFrame, raster: str, date: str, key: str, px: str, done: DataFrame, most_zero: float, cap: int) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from eventloom.functions import geo
 from eventloom.operators.cover import computed
+from eventloom.operators.windows import nearest_value
 from eventloom.scratch import Scratch
 
 #: Halvings of a cell's edge from one level of the tree to the next, and the level beyond which no cell is split (1 cm).
@@ -147,24 +148,15 @@ def resample(grid: DataFrame, source: DataFrame, key: str, value: str, tie: str,
     return grid.join(got, key, "left").withColumn(value, F.coalesce("_v", F.lit(0.0))).drop("_v")
 
 
-def _axis(df: DataFrame, values: DataFrame, column: str, axis: str, limit: int) -> DataFrame:
-    """Adds the axis value nearest to `column`; the axis has at most `limit` values, as a grid's axes have."""
-    steps = sorted(r[0] for r in values.select(axis).distinct().limit(limit + 1).collect())
-    if len(steps) > limit:
-        raise ValueError(f"{axis} has more than {limit} values: not a grid's axis")
-    a = F.array(*[F.lit(s) for s in steps])
-    best = F.array_min(F.transform(a, lambda s: F.struct(F.abs(s - F.col(column)).alias("d"), s.alias("s"))))
-    return df.withColumn(axis, best["s"])
-
-
-def grid_lookup(points: DataFrame, grid: DataFrame, axes: dict[str, str], on: Sequence[str] = (), limit: int = 10_000) -> DataFrame:
+def grid_lookup(points: DataFrame, grid: DataFrame, axes: dict[str, str], on: Sequence[str] = ()) -> DataFrame:
     """Each point takes the grid row of the nearest value on every axis (ties to the lower), and equal `on`.
 
-    axes: point column -> grid axis.  Axis values are a grid's few coordinates; the facts are joined by key.
+    axes: point column -> grid axis, of any length: an hourly axis of many years too.  A point without a value for an
+    axis has no grid row.
     """
     snapped = points
     for column, axis in axes.items():
-        snapped = _axis(snapped, grid, column, axis, limit)
+        snapped = nearest_value(snapped, column, grid, axis, axis)
     return snapped.join(grid, [*axes.values(), *on], "left")
 
 

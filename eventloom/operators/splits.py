@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions.clean import hash_fraction
+from eventloom.operators.cover import computed
 from eventloom.operators.windows import first_n_per_key, rank_rows, running_total
 
 # The last date of train and the first of test for each sensor, and the dates of the split without gap.
@@ -88,15 +91,59 @@ def site_split(df: DataFrame, site: str, time: str, ratio: float, seed: int | No
     return df.join(total.select(F.col(site).alias("_site"), split.alias("split")), F.col(site).eqNullSafe(F.col("_site"))).drop("_site")
 
 
-def cluster_split(df: DataFrame, lat: str, lon: str, clusters: int = 20, test_share: float = 0.4, seed: int = 0) -> DataFrame:
-    """K-means on the coordinates; clusters, in an order by hash, up to the share go to test."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+def spherical_clusters(df: DataFrame, lat: str, lon: str, key: str, clusters: int = 20, seed: int = 0, rounds: int = 25) -> DataFrame:
+    """Adds `cluster`: k-means of the places on the unit sphere, so that poles and antimeridian are places like others.
 
-    points = VectorAssembler(inputCols=[lat, lon], outputCol="_v", handleInvalid="skip").transform(df)
-    found = KMeans(k=clusters, seed=seed, featuresCol="_v", predictionCol="cluster").fit(points).transform(points).drop("_v")
-    names = sorted(range(clusters), key=lambda c: ((c * 2654435761 + seed * 40503) % 2**32, c))
-    return found.withColumn("split", F.when(F.col("cluster").isin(names[: round(clusters * test_share)]), "test").otherwise("train"))
+    The first centre is the place of least hash of `key` and seed; each other one is the place farthest from those
+    before it, of a sample of 50 places a cluster by the same hash.  Then centres and assignments take turns
+    until none moves, `rounds` times at most.  Centres are few, and are rounded to 9 digits, so neither
+    partitioning nor order of rows changes the result.  Rows without a place have cluster null.
+    """
+    x, y, z = F.cos(F.radians(lat)) * F.cos(F.radians(lon)), F.cos(F.radians(lat)) * F.sin(F.radians(lon)), F.sin(F.radians(lat))
+    placed = computed(df, _x=x, _y=y, _z=z)
+    order = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    sample = [(r["_x"], r["_y"], r["_z"]) for r in placed.where("_x + _y + _z is not null and not isnan(_x + _y + _z)").select("_x", "_y", "_z", order.alias("_o"), key).orderBy("_o", key).limit(50 * clusters).collect()]
+    apart = lambda a, b: round(sum((p - q) ** 2 for p, q in zip(a, b, strict=True)), 12)
+    centres = sample[:1]
+    while sample and len(centres) < clusters:
+        gap, i = max((min(apart(s, c) for c in centres), -i) for i, s in enumerate(sample))
+        if not gap:
+            break
+        centres.append(sample[-i])
+
+    def nearest(of: list[tuple[float, float, float]]) -> Column:
+        cells = [F.struct(F.round(functools.reduce(operator.add, [F.pow(F.col(a) - v, 2) for a, v in zip(("_x", "_y", "_z"), c, strict=True)]), 12).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(of)]
+        return F.when((F.col("_x") + F.col("_y") + F.col("_z")).isNotNull(), F.array_min(F.array(*cells))["i"]) if of else F.lit(None).cast("int")
+
+    for _ in range(rounds):
+        if not centres:
+            break
+        means = placed.select("_x", "_y", "_z", nearest(centres).alias("c")).where("c is not null").groupBy("c").agg(*[F.avg(a).alias(a) for a in ("_x", "_y", "_z")]).collect()
+        moved = list(centres)
+        for r in means:
+            size = (r["_x"] ** 2 + r["_y"] ** 2 + r["_z"] ** 2) ** 0.5 or 1.0
+            moved[r["c"]] = tuple(round(r[a] / size, 9) for a in ("_x", "_y", "_z"))
+        if moved == centres:
+            break
+        centres = moved
+    return placed.withColumn("cluster", nearest(centres)).drop("_x", "_y", "_z")
+
+
+def cluster_split(df: DataFrame, lat: str, lon: str, key: str, clusters: int = 20, test_share: float = 0.4, seed: int = 0, of_rows: bool = False) -> DataFrame:
+    """Clusters of places, whole ones to test: the share of the clusters, in an order by hash; or (of_rows) clusters in
+    that order while the rows before them are under the share of all, so that test has the share of rows but for a part
+    of one cluster.  Rows without a place are train."""
+    found = spherical_clusters(df, lat, lon, key, clusters, seed)
+    sizes = {r["cluster"]: r["count"] for r in found.where("cluster is not null").groupBy("cluster").count().collect()}  # as many as clusters
+    order, before = sorted(sizes, key=lambda c: ((c * 2654435761 + seed * 40503) % 2**32, c)), 0
+    test = order[: round(len(order) * test_share)]
+    if of_rows:
+        test = []
+        for c in order:
+            if before < test_share * sum(sizes.values()):
+                test.append(c)
+            before += sizes[c]
+    return found.withColumn("split", F.when(F.col("cluster").isin(test), "test").otherwise("train"))
 
 
 def lists_split(df: DataFrame, key: str, train: DataFrame, test: DataFrame) -> DataFrame:

@@ -2,22 +2,68 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from eventloom.functions import geo
+from eventloom.scratch import Scratch
 
 
-def percentiles(df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
-    """Percentiles as columns p50, p99 ...: exact with linear interpolation, or approximate.
+#: Values of a group that one task may hold; bins of a counting pass.
+HELD, BINS = 1_000_000, 1024
 
-    Exact ones keep a group's distinct values in one task; for continuous values of very large groups take
-    the approximate ones, whose memory is fixed."""
-    p = F.percentile_approx(value, list(shares), 10_000) if approximate else F.percentile(value, [float(s) for s in shares])
-    rows = df.groupBy(*by).agg(p.alias("_p"))
-    return rows.select(*by, *[F.col("_p")[i].alias(f"p{round(100 * s)}") for i, s in enumerate(shares)])
+
+def percentiles(df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = (), held: int = HELD, scratch: Scratch | None = None) -> DataFrame:
+    """Exact percentiles with linear interpolation, as columns p50, p99 ...; nulls don't count.
+
+    Where no group has more than `held` values, one aggregation finds them.  Otherwise the ranks asked for are closed
+    in by counting: each pass counts the values between a rank's bounds in BINS bins and goes on with the bin that
+    holds it, until `held` values or one repeated value are left; only those are sorted.  So no group's values
+    meet in one task, and what is shuffled are bins.
+    """
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= held:
+        found = df.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), [float(s) for s in shares]).alias("_p"))
+        return found.select(*by, *[F.col("_p")[i].alias(f"p{round(100 * s)}") for i, s in enumerate(shares)])
+    ranks = _closed_in(rows, sizes, shares, list(by), held, scratch or Scratch(df.sparkSession))
+    between = F.col("_at") - F.floor("_at")
+    one = ranks.groupBy(*by, "_i", "_at").agg(F.min("_x").alias("_x"), F.max("_x").alias("_y")).withColumn("_p", F.col("_x") + (F.col("_y") - F.col("_x")) * between)
+    return one.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_p"))).alias(f"p{round(100 * s)}") for i, s in enumerate(shares)])
+
+
+def _closed_in(rows: DataFrame, sizes: DataFrame, shares: Sequence[float], by: list[str], held: int, scratch: Scratch) -> DataFrame:
+    """(by, _i, _at, _rank, _x): the values at the ranks next to each share's place `_at`."""
+    places = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), (F.lit(float(s)) * (F.col("_n") - 1)).alias("_at")) for i, s in enumerate(shares)]))
+    asked = sizes.withColumn("_s", places).select(*by, "_n", "_lo", "_hi", "_s.*")
+    asked = asked.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at"))))).withColumn("_below", F.lit(0).cast("long"))
+    bounds = scratch.written(asked.select(*by, "_i", "_at", "_rank", "_below", F.col("_n").alias("_in"), "_lo", "_hi"))
+    own = [*by, "_i", "_at", "_rank"]
+
+    def inside(part: DataFrame) -> DataFrame:
+        near = rows.join(part, by) if by else rows.crossJoin(F.broadcast(part))  # two rows a share
+        return near.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+    closed = []
+    while True:
+        done = (F.col("_in") <= held) | (F.col("_lo") >= F.col("_hi"))
+        closed.append(bounds.where(done))
+        wide = bounds.where(~done)
+        if wide.isEmpty():
+            break
+        # Halves first, so that no difference overflows.
+        bin_of = F.least(F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2) * BINS), F.lit(BINS - 1))
+        bins = inside(wide).groupBy(*own, "_below", bin_of.alias("_bin")).agg(F.count("*").alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        before = F.coalesce(F.sum("_in").over(Window.partitionBy(*own).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        bins = bins.withColumn("_below", F.col("_below") + before).where((F.col("_below") <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_in")))
+        bounds = scratch.written(bins.select(*own, "_below", "_in", "_lo", "_hi"))
+    last = functools.reduce(DataFrame.unionByName, closed)
+    same = last.where("_lo >= _hi").select(*own, F.col("_lo").alias("_x"))
+    few = inside(last.where("_lo < _hi")).groupBy(*own, "_below").agg(F.array_sort(F.collect_list("_v")).alias("_all"))
+    return same.unionByName(few.select(*own, F.get("_all", (F.col("_rank") - F.col("_below")).cast("int")).alias("_x")))
 
 
 def exceedance(df: DataFrame, value: str, thresholds: Sequence[float]) -> DataFrame:
@@ -66,9 +112,9 @@ def noisy_or(df: DataFrame, key: Sequence[str], q: str) -> DataFrame:
     return df.groupBy(*key).agg(F.when(sure == 1, 1.0).otherwise(1 - F.exp(F.sum(F.when(F.col(q) < 1, F.log1p(-F.col(q)))))).alias("combined"))
 
 
-def robust_scale(df: DataFrame, value: str, name: str, approximate: bool = False) -> DataFrame:
-    """(x - median) / (p95 - median), cut to [0, 1]; see `percentiles` for `approximate`."""
-    p = df.agg((F.percentile_approx(value, [0.5, 0.95], 10_000) if approximate else F.percentile(value, [0.5, 0.95])).alias("_p"))
+def robust_scale(df: DataFrame, value: str, name: str, held: int = HELD) -> DataFrame:
+    """(x - median) / (p95 - median), cut to [0, 1]; see `percentiles` for `held`."""
+    p = percentiles(df, value, [0.5, 0.95], held=held).select(F.array("p50", "p95").alias("_p"))
     scaled = F.try_divide(F.col(value) - F.col("_p")[0], F.col("_p")[1] - F.col("_p")[0])
     return df.crossJoin(F.broadcast(p)).withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(scaled, F.lit(0.0))))).drop("_p")  # p: one row
 

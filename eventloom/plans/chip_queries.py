@@ -64,12 +64,31 @@ def aligned_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paired_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows one chip earlier, corners where those are poor; centres outside of the plume."""
+    """Windows one chip earlier, corners where those are poor."""
     c = chips(spark, sf_dir)
     positive = c.select(F.col("chip_id").alias("event"), (F.col("chip_id") % 5).cast("int").alias("y"), (F.col("chip_id") % 4).cast("int").alias("x"), F.lit(3).alias("h"))
     earlier = c.select((F.col("chip_id") + 1).alias("event"), "height", "width", F.transform("px", lambda v: F.greatest(v, F.lit(0.0))).alias("px"))
-    pairs = C.paired_negatives(positive, earlier, "event", 0.5, 8)
-    return C.negative_centres(pairs, 64, 64, 8, "y", "x")
+    return C.paired_negatives(positive, earlier, "event", 0.5, 8)
+
+
+@query(f"""WITH {PIXELS}, n AS (SELECT chip_id, i // 8 AS y, i % 8 AS x, v < -0.12 AS bad FROM px), e AS (SELECT vec_id AS chip_id, vec_id % 8 AS py, vec_id % 7 AS qx FROM embeddings),
+c AS (SELECT chip_id, py, qx, 0 AS part, -((cy - py) * (cy - py) + (cx - qx) * (cx - qx)) AS o, cy, cx FROM e, (VALUES (1, 1), (1, 6), (6, 1), (6, 6)) AS t(cy, cx)
+UNION ALL SELECT chip_id, py, qx, 1, k, 1 + CAST(floor({HASH_SQL.format("chip_id || ':' || k || ':y'")} * 6) AS INT), 1 + CAST(floor({HASH_SQL.format("chip_id || ':' || k || ':x'")} * 6) AS INT) FROM e, (SELECT unnest(range(1, 21)) AS k)),
+s AS (SELECT c.chip_id, part, o, cy, cx, count(*) FILTER (bad) AS n_bad FROM c JOIN n ON n.chip_id = c.chip_id AND y BETWEEN cy - 1 AND cy + 1 AND x BETWEEN cx - 1 AND cx + 1 WHERE NOT (abs(cy - py) <= 2 AND abs(cx - qx) <= 2) GROUP BY 1, 2, 3, 4, 5),
+r AS (SELECT *, row_number() OVER (PARTITION BY chip_id ORDER BY part, o, cy, cx) AS r FROM s WHERE n_bad <= 2) SELECT e.chip_id, CAST(r.cy AS INT) AS cy, CAST(r.cx AS INT) AS cx FROM e LEFT JOIN r ON r.chip_id = e.chip_id AND r.r = 1""")
+def negative_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres of negatives: corners first, then draws, outside of the plume and not too empty."""
+    c = chips(spark, sf_dir).withColumn("px", F.transform("px", lambda v: F.when(v >= -0.12, v))).withColumn("y", (F.col("chip_id") % 8).cast("int")).withColumn("x", (F.col("chip_id") % 7).cast("int"))
+    out = C.negative_centres(c, "px", "height", "width", 1, "y", "x", "chip_id", 2, 0.25, 20)
+    return out.select("chip_id", F.col("negative.cy").alias("cy"), F.col("negative.cx").alias("cx"))
+
+
+@query("""WITH b AS (SELECT p_partkey AS band_idx, 400 + (p_partkey * 7919) % 2100 AS nm FROM part), l AS (SELECT *, row_number() OVER (ORDER BY nm, band_idx) - 1 AS r, count(*) OVER () AS n FROM b WHERE nm BETWEEN 400 AND 1200), h AS (SELECT *, row_number() OVER (ORDER BY nm, band_idx) - 1 AS r, count(*) OVER () AS n FROM b WHERE nm BETWEEN 2000 AND 2499)
+SELECT band_idx, nm, 'low' AS part FROM l WHERE r IN (SELECT CAST(round_even(k * (n - 1) / 7.0, 0) AS BIGINT) FROM range(8) t(k)) UNION ALL SELECT band_idx, nm, 'core' FROM b WHERE nm BETWEEN 1500 AND 1520 UNION ALL SELECT band_idx, nm, 'high' FROM h WHERE r IN (SELECT CAST(round_even(k * (n - 1) / 4.0, 0) AS BIGINT) FROM range(5) t(k))""")
+def picked_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bands of the core window, evenly spaced ones of the others."""
+    bands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("band_idx"), (400 + (F.col("p_partkey") * 7919) % 2100).alias("nm"))
+    return C.pick_bands(bands, (400, 1200), (1500, 1520), (2000, 2499), 8, 5, "nm")
 
 
 def tile_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

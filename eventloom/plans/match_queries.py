@@ -256,6 +256,16 @@ def grid_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.grid_lookup(points(spark, sf_dir), grid, {"lat": "glat", "lon": "glon"}).select("pid", F.round("v", 6).alias("v"))
 
 
+@query("""WITH ROLES, a AS (SELECT DISTINCT epoch_us(acq_time) // 3600000000 AS h FROM pr), e AS (SELECT event_id, epoch_us(ts) / 3600000000.0 AS t FROM er),
+n AS (SELECT event_id, t, (SELECT max(h) FROM a WHERE h <= t) AS lo, (SELECT min(h) FROM a WHERE h >= t) AS hi FROM e) SELECT event_id, CAST(CASE WHEN hi IS NULL OR t - lo <= hi - t THEN lo ELSE hi END AS BIGINT) AS hour FROM n""")
+def hourly_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's nearest hour of those with a product, an axis that grows with time."""
+    hour = lambda c: F.unix_micros(c) / 3_600_000_000
+    grid = products(spark, sf_dir).select(F.floor(hour("acq_time")).cast("double").alias("hour")).distinct()
+    out = nearest.grid_lookup(errors(spark, sf_dir).select("event_id", hour("ts").alias("t")), grid, {"t": "hour"})
+    return out.select("event_id", F.col("hour").cast("long").alias("hour"))
+
+
 @query("""WITH c AS (SELECT c_custkey AS k, c_acctbal AS bal FROM customer), o AS (SELECT o_custkey AS k, o_totalprice AS bal FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders) WHERE r = 1),
 s AS (SELECT s_suppkey AS k, s_acctbal AS bal FROM supplier), e AS (SELECT user_id AS k, value AS bal FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events) WHERE r = 1)
 SELECT coalesce(c.k, o.k, s.k, e.k) AS k, coalesce(c.bal, o.bal, s.bal, e.bal) AS bal, c.k IS NOT NULL AS in_c, e.k IS NOT NULL AS in_e FROM c FULL JOIN o ON c.k = o.k FULL JOIN s ON coalesce(c.k, o.k) = s.k FULL JOIN e ON coalesce(c.k, o.k, s.k) = e.k""")

@@ -208,7 +208,7 @@ def sampled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustered_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-means on coordinates."""
-    return splits.cluster_split(points(spark, sf_dir), "lat", "lon", 10).groupBy("split").agg(F.count("*").alias("n"))
+    return splits.cluster_split(points(spark, sf_dir), "lat", "lon", "pid", 10).select("pid", "cluster", "split")
 
 
 query()(clustered_split)
