@@ -346,8 +346,8 @@ def negative_centres(df: DataFrame, px: str, height: Column | str | int, width:
 
 
 def tile_samples(tiles: DataFrame, raster: str, date: str, key: str, px: str, done: DataFrame, most_zero: float, cap: int) -> DataFrame:
-    """Well filled tiles of dates not done yet, at most `cap` a raster, those of least hash."""
+    """Well filled tiles of dates not done yet, at most `cap` a raster, those of least hash (then of least key)."""
     from eventloom.operators.windows import first_n_per_key
 
     fresh = tiles.where(share_zero(px) <= most_zero).join(done.select(raster, date).distinct(), [raster, date], "left_anti")
-    return first_n_per_key(fresh, [raster], [F.xxhash64(key), key], cap)
+    return first_n_per_key(fresh, [raster], [hash_fraction(key), key], cap)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime
 import functools
 import operator
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions.clean import hash_fraction
 from eventloom.operators.cover import computed
 from eventloom.operators.windows import first_n_per_key, rank_rows, running_total
+from eventloom.scratch import Scratch
 
 # The last date of train and the first of test for each sensor, and the dates of the split without gap.
 GAP_RULES = {"S2": ("2025-05-16", "2025-05-18"), "L89": ("2025-05-10", "2025-05-11"), "EMIT": ("2025-02-11", "2025-02-12"), "S5P": ("2025-07-16", "2025-07-21")}
@@ -203,16 +204,51 @@ def leaks(df: DataFrame, key: str, split: str = "split", by: Sequence[str] = ())
     return sides.where("n = 2").drop("n")
 
 
-def draws(events: DataFrame, event: str, n: int, low: int, high: int, seed: str = "", labels: Sequence[int] = (1,)) -> DataFrame:
-    """N draws (dx, dy) in [low, high) for each event and label; a hash of event, label and number decides
-    them, so any engine and any partitioning gives the same."""
-    rows = events.withColumn("label", F.explode(F.array(*[F.lit(x) for x in labels]))).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
+def draws(events: DataFrame, event: str, n: int, low: int, high: int, seed: str = "", labels: Sequence[int] = (1,), start: int = 1) -> DataFrame:
+    """N draws (dx, dy) in [low, high) for each event and label, numbered from `start`; a hash of event, label and
+    number decides them, so any engine and any partitioning gives the same."""
+    rows = events.withColumn("label", F.explode(F.array(*[F.lit(x) for x in labels])))
+    return _drawn(rows, event, n, low, high, seed, start)
+
+
+def _drawn(rows: DataFrame, event: str, n: int, low: int, high: int, seed: str, start: int) -> DataFrame:
+    rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(start), F.lit(start + n - 1))))
     def value(axis: str) -> Column:
         key = F.concat_ws(":", F.col(event).cast("string"), F.col("label").cast("string"), F.col("draw").cast("string"), F.lit(axis + seed))
         return (F.lit(low) + F.floor(hash_fraction(key) * (high - low))).cast("int")
     return rows.withColumn("dx", value("x")).withColumn("dy", value("y"))
 
 
+def quota_draws(events: DataFrame, event: str, quota: Mapping[int, int], attempts: Mapping[int, int], accept: Callable[[DataFrame], DataFrame], low: int, high: int, seed: str = "", scratch: Scratch | None = None) -> DataFrame:
+    """For each event and label the first `quota` draws that `accept` lets pass, of `attempts` at most; those of
+    events that don't get so many, too.
+
+    accept: (event's columns, label, draw, dx, dy) -> the accepted ones, with what columns it likes.  Draws come in
+    rounds: as many as are asked for, then twice as many, and so on, only for events and labels still short.  Since a
+    draw is decided by its number, rounds only save work: the rows are those of all attempts at once.
+    """
+    scratch = scratch or Scratch(events.sparkSession)
+    events = scratch.written(events)
+    parts = []
+    for label, wanted in quota.items():
+        short, start, n = events.withColumn("label", F.lit(label)), 1, max(1, wanted)
+        while start <= attempts[label]:
+            n = min(n, attempts[label] - start + 1)
+            got = scratch.written(accept(_drawn(short, event, n, low, high, seed, start)))
+            parts.append(got)
+            start, n = start + n, 2 * n
+            if start > attempts[label]:
+                break
+            have = functools.reduce(DataFrame.unionByName, [p.where(F.col("label") == label).select(event, "label") for p in parts])
+            full = have.groupBy(event).agg(F.count("*").alias("_n")).where(F.col("_n") >= wanted)
+            short = scratch.written(events.join(full.select(event), event, "left_anti").withColumn("label", F.lit(label)))
+            if short.isEmpty():
+                break
+    rows = functools.reduce(DataFrame.unionByName, parts)
+    limit = F.create_map(*[F.lit(x) for kv in quota.items() for x in kv])[F.col("label")]
+    return first_n_per_key(rows, [event, "label"], ["draw"], limit)
+
+
 def first_valid_draws(rows: DataFrame, event: str, n: int, valid: Column) -> DataFrame:
     """The first n valid draws of each event and label."""
     return first_n_per_key(rows, [event, "label"], ["draw"], n, valid)

@@ -55,14 +55,29 @@ def drawn_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.first_valid_draws(rows.drop("label").withColumn("label", F.lit(1)), "chip_id", 2, low < 0.6).select("chip_id", "draw", "x", "y")
 
 
+def _drawn_sql(axis: str) -> str:
+    return f"CAST(floor({HASH_SQL.format(f"event || ':' || label || ':' || draw || ':{axis}'")} * 160) AS INT) - 80"
+
+
+@query(f"""WITH {PIXELS}, c AS (SELECT vec_id AS chip_id, vec_id // 2 AS event, CASE WHEN vec_id % 2 = 0 THEN 'S2' ELSE 'L89' END AS sensor, CASE WHEN vec_id % 2 = 0 THEN 10.0 ELSE 30.0 END AS g, CASE WHEN vec_id % 2 = 0 THEN 3 ELSE 1 END AS p FROM embeddings),
+a AS (SELECT event, label, draw FROM (SELECT DISTINCT event FROM c), (VALUES (1, 12), (0, 8)) AS l(label, most), (SELECT unnest(range(1, 13)) AS draw) WHERE draw <= most), d AS (SELECT event, label, draw, {_drawn_sql("x")} AS dx, {_drawn_sql("y")} AS dy FROM a),
+t AS (SELECT d.*, sensor, chip_id, p, round_even(4 - dy / g, 0) - p // 2 AS y, round_even(4 + dx / g, 0) - p // 2 AS x FROM d JOIN c USING (event)),
+s AS (SELECT event, label, draw, dx, dy, sensor, p, count(q.i) FILTER (v <= 0) AS zero, count(q.i) AS n FROM t LEFT JOIN (SELECT chip_id, i, v FROM px) q ON q.chip_id = t.chip_id AND i // 8 BETWEEN y AND y + p - 1 AND i % 8 BETWEEN x AND x + p - 1 GROUP BY ALL),
+o AS (SELECT event, label, draw, dx, dy, string_agg(sensor, '+' ORDER BY sensor) AS sensors FROM s GROUP BY ALL HAVING bool_and(n = p * p AND zero < 0.5 * p * p)), r AS (SELECT *, row_number() OVER (PARTITION BY event, label ORDER BY draw) AS r FROM o)
+SELECT event, label, draw, dx, dy, sensors FROM r WHERE r <= CASE label WHEN 1 THEN 3 ELSE 2 END""")
 def aligned_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows aligned over two sensors' chips of an event, all of which must pass."""
+    """The first 3 and 2 draws of an event, of 12 and 8, whose windows pass in all of its sensors' chips."""
     c = chips(spark, sf_dir)
     both = c.select(F.floor(F.col("chip_id") / 2).alias("event"), F.when(F.col("chip_id") % 2 == 0, "S2").otherwise("L89").alias("sensor"), "height", "width", F.transform("px", lambda v: F.greatest(v, F.lit(0.0))).alias("px"))
-    d = splits.draws(both.select("event").distinct(), "event", 4, -20, 20)
-    return C.aligned_samples(d, both, "event", ["S2", "L89"], 30.0, 8, 0.9)
+    passed = lambda drawn: C.aligned_samples(drawn, both, "event", ["S2", "L89"], 30.0, 8, 0.5).where("ok")
+    out = splits.quota_draws(both.select("event").distinct(), "event", {1: 3, 0: 2}, {1: 12, 0: 8}, passed, -80, 80)
+    return out.select("event", "label", "draw", "dx", "dy", F.array_join("sensors", "+").alias("sensors"))
 
 
+@query(f"""WITH {PIXELS}, e AS (SELECT vec_id AS event, vec_id - 1 AS chip_id, vec_id % 5 AS y, vec_id % 4 AS x FROM embeddings WHERE vec_id - 1 IN (SELECT vec_id FROM embeddings)),
+o AS (SELECT event, chip_id, y, x, 0 AS part, 0 AS ord, y AS ny, x AS nx FROM e UNION ALL SELECT event, chip_id, y, x, 1, -((b - y) * (b - y) + (a - x) * (a - x)), CASE WHEN b > 0 THEN 5 ELSE 0 END, CASE WHEN a > 0 THEN 5 ELSE 0 END FROM e, (VALUES (0, 0), (0, 8), (8, 0), (8, 8)) AS k(b, a)),
+z AS (SELECT o.event, part, ord, ny, nx, count(*) FILTER (v <= 0) AS zero FROM o JOIN px ON px.chip_id = o.chip_id AND i // 8 BETWEEN ny AND ny + 2 AND i % 8 BETWEEN nx AND nx + 2 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY part, ord, ny, nx) AS r FROM z WHERE zero < 4.5)
+SELECT e.event, CAST(e.y AS INT) AS y, CAST(e.x AS INT) AS x, 3 AS h, CAST(ny AS INT) AS neg_y, CAST(nx AS INT) AS neg_x, r.event IS NOT NULL AS found FROM e LEFT JOIN r ON r.event = e.event AND r.r = 1""")
 def paired_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows one chip earlier, corners where those are poor."""
     c = chips(spark, sf_dir)
@@ -71,6 +86,15 @@ def paired_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.paired_negatives(positive, earlier, "event", 0.5, 8)
 
 
+@query(f"""WITH {PIXELS}, c AS (SELECT vec_id AS chip_id, label, vec_id % 7 AS day FROM embeddings), z AS (SELECT chip_id, count(*) FILTER (v <= 0) / 64.0 AS zero FROM px GROUP BY 1),
+r AS (SELECT c.*, row_number() OVER (PARTITION BY label ORDER BY {HASH_SQL.format('c.chip_id')}, c.chip_id) AS r FROM c JOIN z USING (chip_id) WHERE zero <= 0.6 AND NOT EXISTS (SELECT 1 FROM c d WHERE d.day = 3 AND d.label = c.label AND d.day = c.day))
+SELECT chip_id, 0 AS band, 8 AS height, 8 AS width, label, day FROM r WHERE r <= 3""")
+def tile_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Well filled chips of labels not done, three a label at most."""
+    c = chips(spark, sf_dir).withColumn("day", F.col("chip_id") % 7).withColumn("px", F.transform("px", lambda v: F.greatest(v, F.lit(0.0))))
+    return C.tile_samples(c, "label", "day", "chip_id", "px", c.where("day = 3").select("label", "day"), 0.6, 3).drop("px")
+
+
 @query(f"""WITH {PIXELS}, n AS (SELECT chip_id, i // 8 AS y, i % 8 AS x, v < -0.12 AS bad FROM px), e AS (SELECT vec_id AS chip_id, vec_id % 8 AS py, vec_id % 7 AS qx FROM embeddings),
 c AS (SELECT chip_id, py, qx, 0 AS part, -((cy - py) * (cy - py) + (cx - qx) * (cx - qx)) AS o, cy, cx FROM e, (VALUES (1, 1), (1, 6), (6, 1), (6, 6)) AS t(cy, cx)
 UNION ALL SELECT chip_id, py, qx, 1, k, 1 + CAST(floor({HASH_SQL.format("chip_id || ':' || k || ':y'")} * 6) AS INT), 1 + CAST(floor({HASH_SQL.format("chip_id || ':' || k || ':x'")} * 6) AS INT) FROM e, (SELECT unnest(range(1, 21)) AS k)),
@@ -97,10 +121,6 @@ def tile_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.tile_samples(c, "label", "day", "chip_id", "px", c.where("day = 3").select("label", "day"), 0.6, 3).drop("px")
 
 
-for f in (aligned_samples, paired_negatives, tile_samples):
-    query()(f)
-
-
 @query("""SELECT c_custkey, 'POLYGON((' || CAST(w AS VARCHAR) || ' 1.0,' || CAST(w + 2 AS VARCHAR) || ' 1.0,' || CAST(w + 2 AS VARCHAR) || ' 4.0,' || CAST(w AS VARCHAR) || ' 4.0,' || CAST(w AS VARCHAR) || ' 1.0))' AS wkt FROM (SELECT c_custkey, (c_custkey % 90)::DOUBLE AS w FROM customer)""")
 def box_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds texts to boxes to polygons."""

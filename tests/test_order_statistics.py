@@ -162,3 +162,23 @@ def test_negative_places(spark):
                 break
         assert got[k] == want, k
     assert corner > 20 and sum(v is not None for v in got.values()) > corner
+
+
+def test_quotas_are_met_where_they_can_be(spark):
+    events = spark.createDataFrame([(i, i % 10) for i in range(60)], "event long, hard int")
+    calls = []
+
+    def accept(drawn):
+        calls.append(drawn.count())
+        return drawn.where(F.pmod(F.col("dx") + F.col("dy"), F.lit(10)) >= F.col("hard")).drop("hard")
+
+    got = splits.quota_draws(events, "event", {1: 16, 0: 4}, {1: 60, 0: 10}, accept, -50, 50).select("event", "label", "draw", "dx", "dy").collect()
+    every = splits.draws(events, "event", 60, -50, 50, labels=(1, 0)).where("label = 1 or draw <= 10")
+    want = set()
+    for key, rows in __import__("itertools").groupby(sorted(every.collect(), key=lambda r: (r.event, r.label, r.draw)), key=lambda r: (r.event, r.label)):
+        ok = [r for r in rows if (r.dx + r.dy) % 10 >= r.hard]
+        want |= {(*key, r.draw, r.dx, r.dy) for r in ok[: 16 if key[1] else 4]}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert sum(r.event == 0 and r.label == 1 for r in got) == 16 and sum(calls) < every.count()
+    again = splits.quota_draws(events.repartition(7), "event", {1: 16, 0: 4}, {1: 60, 0: 10}, accept, -50, 50).select("event", "label", "draw", "dx", "dy").collect()
+    assert {tuple(r) for r in again} == want
