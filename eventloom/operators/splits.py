@@ -67,6 +67,11 @@ def date_band_split(df: DataFrame, time: str, start: str, end: str, test_inside:
     return df.withColumn("split", F.when(inside if test_inside else ~inside, "test").otherwise("train"))
 
 
+def _salted(key: str, seed: int) -> Column:
+    """What rows are hashed by: any engine can do it."""
+    return F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
+
+
 def chronological_split(df: DataFrame, time: str, tie: str, ratio: float) -> DataFrame:
     """The first floor(ratio * n) rows by (time, tie) train, one row on either side at least.
 
@@ -83,7 +88,7 @@ def site_split(df: DataFrame, site: str, time: str, ratio: float, seed: int | No
     """Whole sites to train until they hold ratio of all rows: by their last time, or (seed) in an
     order by hash.  A site is in while the rows of the sites before it are under the cut; of two sites
     or more the last is always test."""
-    order = F.unix_micros(F.max(F.col(time).cast("timestamp"))) if seed is None else F.xxhash64(site, F.lit(seed))
+    order = F.unix_micros(F.max(F.col(time).cast("timestamp"))) if seed is None else hash_fraction(_salted(site, seed))
     sites = df.groupBy(site).agg(F.count("*").alias("_n"), order.alias("_order"))
     placed = running_total(sites, "_n", "_order", [site], "_before")
     n, k = df.count(), sites.count()
@@ -177,7 +182,7 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
 
     A running count over ranges of the hash places rows; no task ranks all of them.
     """
-    placed = running_total(df.withColumn("_h", F.xxhash64(key, F.lit(seed))).withColumn("_one", F.lit(1)), "_one", "_h", [key], "_place")
+    placed = running_total(df.withColumn("_h", hash_fraction(_salted(key, seed))).withColumn("_one", F.lit(1)), "_one", "_h", [key], "_place")
     return placed.where(F.col("_place") < n).drop("_h", "_one", "_place")
 
 

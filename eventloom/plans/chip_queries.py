@@ -151,13 +151,12 @@ def triplet_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.where("reason is not null").select("o_orderkey", "reason")
 
 
-@query("""SELECT sensor, count(*) AS n FROM (SELECT event_id, unnest(['S2', 'L89']) AS sensor, event_id % 4 AS m FROM events WHERE event_type = 'error') WHERE m IN (1, 2) GROUP BY 1""")
+@query("""SELECT event_id, sensor, timepoint, CASE WHEN event_id % 4 = 1 OR timepoint = 'prev1' THEN 'download' ELSE 'have' END AS action FROM events, (VALUES ('S2'), ('L89')) AS s(sensor), (VALUES ('t0'), ('prev1')) AS t(timepoint) WHERE event_type = 'error' AND event_id % 4 IN (1, 2)""")
 def fetch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to fetch: the missing ones and their events' t0."""
     e = errors(spark, sf_dir).select("event_id", F.explode(F.array(F.lit("S2"), F.lit("L89"))).alias("sensor"))
     m = e.withColumn("timepoint", F.explode(F.array(F.lit("t0"), F.lit("prev1")))).withColumn("action", F.when(F.col("event_id") % 4 == 1, "download").when((F.col("event_id") % 4 == 2) & (F.col("timepoint") == "prev1"), "download").otherwise("have"))
-    out = planning.rows_to_fetch(m, "event_id", F.col("action") == "download")
-    return out.where("timepoint = 't0'").groupBy("sensor").agg(F.count("*").alias("n"))
+    return planning.rows_to_fetch(m, "event_id", F.col("action") == "download").select("event_id", "sensor", "timepoint", "action")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'a' || o_custkey WHEN o_orderkey % 3 = 1 THEN 'b' END AS first, array_to_string(list_filter([CASE WHEN o_orderkey % 3 = 0 THEN 'S2' END, CASE WHEN o_orderkey % 2 = 0 THEN 'L89' END], lambda x: x IS NOT NULL), '+') AS sensors FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0""")

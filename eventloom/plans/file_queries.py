@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventloom.functions import clean, geo, names, temporal
 from eventloom.operators import chips as chip, cover, master, planning, quality, report, splits, state, windows
 from eventloom.plans.registry import chips, points, products, query, sites, table
+from eventloom.plans.report_queries import HASH_SQL
 from eventloom.scratch import Scratch
 from eventloom.sources import scans, sinks
 
@@ -113,13 +114,13 @@ def key_value_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.key_values(rows, "file", "text", ["NAME", "SUN_ELEVATION", "ABSENT"])
 
 
-@query("""SELECT 3 AS version, count(*) AS n, CAST(sum(s_nationkey + 1) AS BIGINT) AS total FROM supplier""")
+@query("""SELECT 3 AS version, s_suppkey, s_nationkey + 1 AS value FROM supplier""")
 def newest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table rewritten three times; readers see the last whole version."""
     root, rows = Scratch(spark).path(), table(spark, sf_dir, "supplier")
     for k in (3, 2, 7, 1):
-        n = state.write_version(rows.select((F.col("s_nationkey") + k).alias("value")), root)
-    return state.read_version(spark, root).agg(F.lit(n).alias("version"), F.count("*").alias("n"), F.sum("value").alias("total"))
+        n = state.write_version(rows.select("s_suppkey", (F.col("s_nationkey") + k).alias("value")), root)
+    return state.read_version(spark, root).select(F.lit(n).alias("version"), "s_suppkey", "value")
 
 
 @query("""SELECT '{"max_size":' || printf('%.1f', CAST(max(p_size) AS DOUBLE)) || ',"rows":' || printf('%.1f', CAST(count(*) AS DOUBLE)) || '}' AS value FROM part UNION ALL SELECT '{"rows":' || printf('%.1f', CAST(count(*) AS DOUBLE)) || '}' FROM supplier""")
@@ -249,12 +250,11 @@ def temporal_split_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.temporal_split(e, "day", "have", "loose_test_priority").select("event_id", "split")
 
 
-@query("""SELECT 1 AS sites_on_both_sides_less_one, (SELECT count(*) FROM orders) AS n, true AS near_ratio, true AS has_test""")
+@query(f"""WITH s AS (SELECT o_custkey, count(*) AS n, {HASH_SQL.format("o_custkey || ':5'")} AS h FROM orders GROUP BY 1), b AS (SELECT *, coalesce(sum(n) OVER (ORDER BY h, o_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total, count(*) OVER () AS sites FROM s)
+SELECT o_orderkey, CASE WHEN before < 0.7 * total AND NOT (before + n = total AND sites > 1) THEN 'train' ELSE 'test' END AS split FROM orders JOIN b USING (o_custkey)""")
 def seeded_site_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole sites in an order by hash: none on both sides, the ratio kept to one site, some test."""
-    o = splits.site_split(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", 0.7, seed=5)
-    per_site = o.groupBy("o_custkey").agg(F.count_distinct("split").alias("k"), F.count("*").alias("n"), F.count_if(F.col("split") == "train").alias("train"))
-    return per_site.agg(F.max("k").alias("sites_on_both_sides_less_one"), F.sum("n").alias("n"), (F.abs(F.sum("train") - 0.7 * F.sum("n")) <= F.max("n")).alias("near_ratio"), (F.sum("train") < F.sum("n")).alias("has_test")).withColumn("sites_on_both_sides_less_one", F.col("sites_on_both_sides_less_one").cast("int"))
+    """Whole sites in an order by hash, to train until they hold the ratio, some test."""
+    return splits.site_split(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", 0.7, seed=5).select("o_orderkey", "split")
 
 
 @query("""SELECT vec_id AS chip_id, label::INT AS changed, list_count(list_filter(embedding, lambda x: x > 0)) AS positives, round(list_count(list_filter(embedding, lambda x: x > 0)) / 64.0, 6) AS share FROM (SELECT vec_id, embedding, 1 AS label FROM embeddings)""")

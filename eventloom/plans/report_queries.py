@@ -185,10 +185,10 @@ def listed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.lists_split(table(spark, sf_dir, "orders"), "o_custkey", c.where("c_mktsegment = 'MACHINERY'"), c.where("c_nationkey < 5")).select("o_orderkey", "split")
 
 
-@query("""SELECT quality, least((SELECT count(*) FROM labels WHERE quality = 0), (SELECT count(*) FROM labels WHERE quality = 1)) AS n FROM labels GROUP BY 1""")
+@query(f"""SELECT doc_id, quality FROM (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {HASH_SQL.format("doc_id || ':0'")}, doc_id) AS r FROM labels WHERE quality IS NOT NULL) WHERE r <= least((SELECT count(*) FROM labels WHERE quality = 0), (SELECT count(*) FROM labels WHERE quality = 1))""")
 def balanced_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many of either class."""
-    return splits.balanced(table(spark, sf_dir, "labels").where("quality is not null"), "quality", "doc_id").groupBy("quality").agg(F.count("*").alias("n"))
+    """As many of either class, those of least hash."""
+    return splits.balanced(table(spark, sf_dir, "labels").where("quality is not null"), "quality", "doc_id").select("doc_id", "quality")
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_returnflag = 'R' AS pos, row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R' ORDER BY l_linenumber, l_partkey) AS k, count(*) FILTER (l_returnflag = 'R') OVER (PARTITION BY l_orderkey) AS np FROM lineitem)
@@ -214,26 +214,26 @@ def clustered_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 query()(clustered_split)
 
 
-@query("""WITH o AS (SELECT DISTINCT o_orderkey, o_orderstatus = 'F' AS good FROM orders) SELECT sensor, timepoint, action, count(*) AS n FROM (SELECT sensor, timepoint, CASE WHEN NOT CASE sensor WHEN 'S2' THEN event_id % 2 = 0 WHEN 'L89' THEN event_id % 3 = 0 WHEN 'EMIT' THEN event_id % 5 = 0 ELSE false END THEN 'skip_no_sensor_t0'
-WHEN event_id % 7 = 0 THEN 'skip_existing_512' WHEN sensor <> 'EMIT' AND event_id % 11 = 0 THEN 'skip_existing_raw' ELSE 'download' END AS action FROM events, (SELECT unnest(['S2', 'L89', 'EMIT', 'S5P']) AS sensor), (SELECT unnest(['t0', 'prev1', 'prev2', 'prev3', 'seasonal', 'year']) AS timepoint) WHERE event_type = 'error') GROUP BY ALL""")
+@query("""WITH o AS (SELECT DISTINCT o_orderkey, o_orderstatus = 'F' AS good FROM orders) SELECT event_id, sensor, timepoint, CASE WHEN NOT CASE sensor WHEN 'S2' THEN event_id % 2 = 0 WHEN 'L89' THEN event_id % 3 = 0 WHEN 'EMIT' THEN event_id % 5 = 0 ELSE false END THEN 'skip_no_sensor_t0'
+WHEN event_id % 7 = 0 THEN 'skip_existing_512' WHEN sensor <> 'EMIT' AND event_id % 11 = 0 THEN 'skip_existing_raw' ELSE 'download' END AS action FROM events, (SELECT unnest(['S2', 'L89', 'EMIT', 'S5P']) AS sensor), (SELECT unnest(['t0', 'prev1', 'prev2', 'prev3', 'seasonal', 'year']) AS timepoint) WHERE event_type = 'error'""")
 def planning_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 24-slot grid and what each slot needs."""
+    """The 24-slot grid and what each slot needs."""
     i = F.col("event_id")
     e = errors(spark, sf_dir).select("event_id", *[F.when(i % k == 0, "True").otherwise("no").alias(s) for s, k in (("S2", 2), ("L89", 3), ("EMIT", 5))])
     grid = planning.planning_grid(e, {s: s for s in ("S2", "L89", "EMIT")})
     path = lambda k: F.when(i % k == 0, "p")
-    return report.counts_by(grid.withColumn("action", planning.planned_action(F.col("sensor_has_t0"), path(7), path(11), F.col("sensor"))), ["sensor", "timepoint", "action"])
+    return grid.withColumn("action", planning.planned_action(F.col("sensor_has_t0"), path(7), path(11), F.col("sensor"))).select("event_id", "sensor", "timepoint", "action")
 
 
 @query("""WITH m AS (SELECT l_orderkey, l_returnflag AS sensor, CAST(l_linenumber AS VARCHAR) AS timepoint, l_quantity > 25 AS ok FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_linenumber ORDER BY l_partkey, l_suppkey) AS r FROM lineitem) WHERE r = 1),
-t AS (SELECT *, max(CASE WHEN timepoint = '1' THEN ok::INT ELSE 0 END) OVER (PARTITION BY l_orderkey, sensor) AS won FROM m) SELECT gate, count(*) AS n FROM (SELECT CASE WHEN timepoint = '1' THEN CASE WHEN ok THEN 't0_ok' ELSE 't0_failed' END WHEN won = 1 THEN 'proceed' ELSE 'skip_t0_failed' END AS gate FROM t) GROUP BY 1""")
+t AS (SELECT *, max(CASE WHEN timepoint = '1' THEN ok::INT ELSE 0 END) OVER (PARTITION BY l_orderkey, sensor) AS won FROM m) SELECT l_orderkey, sensor, CASE timepoint WHEN '1' THEN 't0' ELSE timepoint END AS timepoint, CASE WHEN timepoint = '1' THEN CASE WHEN ok THEN 't0_ok' ELSE 't0_failed' END WHEN won = 1 THEN 'proceed' ELSE 'skip_t0_failed' END AS gate FROM t""")
 def t0_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q12."""
     from eventloom.operators.windows import one_per_key
 
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("sensor"), F.when(F.col("l_linenumber") == 1, "t0").otherwise(F.col("l_linenumber").cast("string")).alias("timepoint"), "l_quantity", "l_partkey", "l_suppkey")
     rows = one_per_key(li, ["l_orderkey", "sensor", "timepoint"], ["l_partkey", "l_suppkey"])
-    return planning.t0_gate(rows, "l_orderkey", F.col("l_quantity") > 25).groupBy("gate").agg(F.count("*").alias("n"))
+    return planning.t0_gate(rows, "l_orderkey", F.col("l_quantity") > 25).select("l_orderkey", "sensor", "timepoint", "gate")
 
 
 @query("""WITH s AS (SELECT c_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1), m AS (SELECT c_custkey, a, b, CAST(unnest(generate_series(date_trunc('month', a), CAST(b AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS m FROM s)
@@ -329,11 +329,11 @@ def crop_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.crop_checks(li, ["l_orderkey"], "label", "l_discount", "l_tax", "mask", 0.09, 0.06)
 
 
-@query("""SELECT alignment, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 10 = 3 THEN 'size_mismatch' WHEN o_totalprice > 300000 THEN 'shifted' ELSE 'centred' END AS alignment FROM orders) GROUP BY 1""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'size_mismatch' WHEN o_totalprice > 300000 THEN 'shifted' ELSE 'centred' END AS alignment FROM orders""")
 def alignment_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q11."""
     size = F.when(F.col("o_orderkey") % 10 == 3, 500).otherwise(512)
-    return quality.alignment(table(spark, sf_dir, "orders"), F.col("o_totalprice"), size, 512, 300000.0).groupBy("alignment").agg(F.count("*").alias("n"))
+    return quality.alignment(table(spark, sf_dir, "orders"), F.col("o_totalprice"), size, 512, 300000.0).select("o_orderkey", "alignment")
 
 
 @query("""WITH d AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0), o AS (SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))
