@@ -1,18 +1,18 @@
-"""Reading the tables, scratch tables on the shared folder, joins on frequent keys, gapless ranks."""
+"""Reading the tables, joins on frequent keys, gapless ranks; scratch tables come from `eventloom.scratch`."""
 
 from __future__ import annotations
 
 import functools
 import operator
-import tempfile
-import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
-from typing import Any
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from eventloom.scratch import Scratch, setting, shared_folder
+
+__all__ = ["FREQUENT", "Scratch", "fields", "gapless_rank", "join_frequent", "partitions", "read", "setting", "shared_folder", "short_batches", "with_lists"]
+
 #: Keys that more than one in so many rows have are joined by broadcast: there can't be more of them than this.
 FREQUENT = 5_000
 
@@ -21,89 +21,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@functools.cache
-def _local_folder() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names.  Where it is unset, a session in local mode (tests) has one
-    of its own; on a cluster that would be lost rows, so it raises."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return _local_folder()
-
-
-@contextmanager
-def setting(spark: SparkSession, name: str, value: Any) -> Iterator[None]:
-    """A setting of the session for what is executed inside; the former one afterwards."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def short_batches(spark: SparkSession, rows: int = 2000):
     """While inside, fewer rows go to a Python worker at once: texts are long, and a worker holds a batch two
     or three times over."""
     return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
-class Scratch:
-    """The scratch tables of one run.  Results that read them are lazy, so only who made the Scratch may delete
-    them, when those results are written; what nobody deletes goes when the driver ends."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.of: dict[str, DataFrame] = {}
-
-    def path(self) -> str:
-        path = f"{shared_folder(self.spark)}/{uuid.uuid4().hex}"
-        fs, at = self._fs(path)
-        fs.deleteOnExit(at)
-        self.of[path] = None
-        return path
-
-    def _fs(self, path: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
-
-    def written(self, df: DataFrame) -> DataFrame:
-        """The rows written as Parquet to the shared folder and read again: later steps neither recompute
-        them nor depend on an executor that may be lost.  The shuffle files behind them go at once."""
-        path = self.path()
-        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-            df.write.parquet(path)
-        self.of[path] = out = self.spark.read.schema(df.schema).parquet(path)
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        """Deletes tables that nothing reads any more."""
-        for path in [p for p, t in self.of.items() if any(t is x for x in tables)]:
-            self._delete(path)
-
-    def _delete(self, path: str) -> None:
-        fs, at = self._fs(path)
-        fs.delete(at, True)
-        fs.cancelDeleteOnExit(at)
-        del self.of[path]
-
-    def delete(self) -> None:
-        for path in list(self.of):
-            self._delete(path)
-
-    def __enter__(self) -> Scratch:
-        return self
-
-    def __exit__(self, *_: object) -> None:
-        self.delete()
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
