@@ -117,7 +117,7 @@ PARITY_WORDS = 16
 PAIRS, STARS = 2, 12
 #: Groups of a shingle that are paired in one task.
 BLOCK = 2000
-#: Slices of the shingles whose groups are paired one after the other.
+#: Slices of the shingles that are counted, and whose groups are paired, one after the other.
 SLICES = 4
 
 
@@ -178,15 +178,30 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     docs = df.select(F.col(key).cast("long").alias("doc"), text)
     sets = written(docs.mapInArrow(screen, "doc long, n int, set long, check long, prefix array<long>"))
     copies = written(sets.where("n > 0 and doc is not null").groupBy("set", "check").agg(F.min("doc").alias("first")))
-    entries = sets.where("doc is not null").select("doc", F.struct("set", "check").alias("text"), F.explode("prefix").alias("h"))
-    shared = written(entries.groupBy("h").agg(F.min("text").alias("x"), F.max("text").alias("y"), F.count("*").alias("often")).where("x <> y").select("h", "often", F.col("often").alias("_n")))
-    kept = join_frequent(entries.select("doc", "h"), shared, ["h"], "_n").groupBy("doc").agg(F.collect_set(F.struct("often", "h")).alias("hs"))
+    entries = sets.where("doc is not null").select("doc", "set", F.explode("prefix").alias("h"))
+    # Texts are counted apart by half of their digest; where that half stands for several, all their shingles go on.
+    alike = copies.groupBy("set").agg(F.count("*").alias("_k")).where("_k > 1").select("set", F.lit(1).alias("_alike"))
+    several = F.col("x") != F.col("y")
+    more = []
+    if not alike.isEmpty():
+        entries, several, more = entries.join(alike, "set", "left"), several | (F.col("_alike") > 0), [F.max(F.coalesce("_alike", F.lit(0))).alias("_alike")]
+
+    def screened(k: int) -> DataFrame:
+        """(doc, h, often) of one slice of the shingles, those that texts share: slices go one by one, each with its part of the rows."""
+        own = entries.where(F.pmod(F.xxhash64("h"), F.lit(SLICES)) == k)
+        shared = written(own.groupBy("h").agg(F.min("set").alias("x"), F.max("set").alias("y"), F.count("*").alias("often"), *more).where(several).select("h", "often", F.col("often").alias("_n")))
+        out = written(join_frequent(own.select("doc", "h"), shared, ["h"], "_n"))
+        scratch.drop(shared)
+        return out
+
+    parts = [screened(k) for k in range(SLICES)]
+    kept = functools.reduce(DataFrame.unionByName, parts).groupBy("doc").agg(F.collect_set(F.struct("often", "h")).alias("hs"))
     smallest = _least(F.col("n"), percent)
     needed = F.least(F.greatest(F.floor((smallest - _least(smallest, percent)) / 2) + 1, F.lit(rule.overlap)), _least(smallest, percent))
     kept = kept.join(sets.select("doc", "n", "set", "check"), "doc").withColumn("needed", needed).where(F.size("hs") >= F.col("needed"))
     prefix = F.transform(F.slice(F.array_sort("hs"), 1, (F.size("hs") - F.col("needed") + 1).cast("int")), lambda x: x["h"])
     ranked = written(kept.withColumn("prefix", prefix).groupBy("set", "check", "n").agg(F.min_by(F.struct("doc", "prefix"), "doc").alias("r")).select("n", "r.*"))
-    scratch.drop(shared)
+    scratch.drop(*parts)
     # A group is known by its prefix, whose digest is all that its members carry; a large one meets its leader in a join.
     named = ranked.select("n", "doc", "prefix", F.md5(F.array_join(F.transform("prefix", lambda h: F.hex(h)), " ")).alias("name"))
     grouped = written(named.groupBy("n", "name").agg(F.min("doc").alias("leader"), F.min_by("prefix", "doc").alias("prefix")))
