@@ -36,19 +36,19 @@ class Record:
     streams: dict[str, int] = field(default_factory=dict)
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def _names(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, time of change in milliseconds) of what stands in a folder; nothing if it isn't there."""
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     return [(x.getPath().getName(), x.getModificationTime()) for x in fs.listStatus(at)] if fs.exists(at) else []
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, at = _fs(spark, path)
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
     stream = fs.open(at)
     try:
         return bytes(stream.readAllBytes()).decode()
@@ -59,7 +59,7 @@ def _read_text(spark: SparkSession, path: str) -> str:
 def _commit(spark: SparkSession, root: str, record: Record) -> None:
     """Writes the record beside its place, then gives it its name, which must be free."""
     jvm = spark._jvm
-    fs, temporary = _fs(spark, f"{root}/log/.{uuid.uuid4().hex}")
+    fs, temporary = file_system(spark, f"{root}/log/.{uuid.uuid4().hex}")
     out = fs.create(temporary, False)
     out.write(json.dumps(record.__dict__).encode())
     out.close()
@@ -85,7 +85,7 @@ def record(spark: SparkSession, root: str, version: int | None = None) -> Record
         if not known:
             raise FileNotFoundError(f"no version under {root}")
         version = known[-1]
-    return Record(**json.loads(_read_text(spark, f"{root}/log/{version:020d}.json")))
+    return Record(**json.loads(read_text(spark, f"{root}/log/{version:020d}.json")))
 
 
 def _bucket(keys: Sequence[str], n: int) -> Column:
@@ -138,7 +138,7 @@ def rewrite(spark: SparkSession, root: str, touched: DataFrame, change: Callable
         _commit(spark, root, Record(of.version + 1, of.schema, of.keys, of.n_buckets, kept | new, streams))
     except CommitConflict:
         for folder in set(new.values()):
-            fs, at = _fs(spark, f"{root}/{folder}")
+            fs, at = file_system(spark, f"{root}/{folder}")
             fs.delete(at, True)
         raise
     return of.version + 1
@@ -159,11 +159,11 @@ def drop_old(spark: SparkSession, root: str, grace_seconds: float) -> int:
     known = sorted(times)
     gone = [v for v, following in zip(known, known[1:], strict=False) if now - times[following] > grace_seconds * 1000]
     for v in gone:
-        fs, at = _fs(spark, f"{root}/log/{v:020d}.json")
+        fs, at = file_system(spark, f"{root}/log/{v:020d}.json")
         fs.delete(at, False)
     used = {f for v in known if v not in gone for f in record(spark, root, v).buckets.values()}
     for name, t in _names(spark, f"{root}/data"):
         if f"data/{name}" not in used and now - t > grace_seconds * 1000:
-            fs, at = _fs(spark, f"{root}/data/{name}")
+            fs, at = file_system(spark, f"{root}/data/{name}")
             fs.delete(at, True)
     return len(gone)

@@ -32,7 +32,7 @@ def run_available(writer, checkpoint: str) -> StreamingQuery:
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark has given the query of a checkpoint: another checkpoint is another stream."""
-    return json.loads(manifest._read_text(spark, f"{checkpoint}/metadata"))["id"]
+    return json.loads(manifest.read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def upsert_stream(updates: DataFrame, root: str, seq: str, path: str, fields: Sequence[str], checkpoint: str, provenance: Sequence[str] = ()) -> StreamingQuery:
@@ -71,7 +71,7 @@ def run_guarded(writer, checkpoint: str, rows: DataFrame, key: str) -> Streaming
     Rows of greater keys are new, and the run goes on with them.  A manifest without rows or keys is like any other.
     """
     spark, path = rows.sparkSession, f"{checkpoint.rstrip('/')}-manifest.json"
-    fs, at = manifest._fs(spark, path)
+    fs, at = manifest.file_system(spark, path)
 
     def identity(df: DataFrame) -> dict[str, str | None]:
         ends = df.agg(F.min(key).cast("string").alias("least"), F.max(key).cast("string").alias("greatest")).first()
@@ -79,7 +79,7 @@ def run_guarded(writer, checkpoint: str, rows: DataFrame, key: str) -> Streaming
         return ends.asDict() | {k: None if v is None else str(v) for k, v in found.asDict().items()}
 
     if fs.exists(at):
-        known = json.loads(manifest._read_text(spark, path))
+        known = json.loads(manifest.read_text(spark, path))
         limit = F.lit(known["greatest"]).cast(rows.schema[key].dataType)
         same = identity(rows.where(F.col(key).isNull() | (F.col(key) <= limit)))
         wrong = [k for k in known if known[k] != same[k]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 import random
 
@@ -146,8 +148,6 @@ def test_negative_places(spark):
     chips += [(100, 4, 4, [1.0] * 16, 0, 0), (101, 6, 6, [1.0] * 36, 3, 3)]
     df = spark.createDataFrame(chips, "k long, height int, width int, px array<double>, cy int, cx int")
     got = {r.k: r.negative and (r.negative.cy, r.negative.cx) for r in C.negative_centres(df, "px", "height", "width", 2, "cy", "cx", "k", tries=30).collect()}
-    import hashlib
-
     part = lambda k, j, axis: int(hashlib.md5(f"{k}:{j}:{axis}".encode()).hexdigest()[:8], 16) / 0xFFFFFFFF
     corner = 0
     for k, h, w, px, y, x in chips:
@@ -175,7 +175,7 @@ def test_quotas_are_met_where_they_can_be(spark):
     got = splits.quota_draws(events, "event", {1: 16, 0: 4}, {1: 60, 0: 10}, accept, -50, 50).select("event", "label", "draw", "dx", "dy").collect()
     every = splits.draws(events, "event", 60, -50, 50, labels=(1, 0)).where("label = 1 or draw <= 10")
     want = set()
-    for key, rows in __import__("itertools").groupby(sorted(every.collect(), key=lambda r: (r.event, r.label, r.draw)), key=lambda r: (r.event, r.label)):
+    for key, rows in itertools.groupby(sorted(every.collect(), key=lambda r: (r.event, r.label, r.draw)), key=lambda r: (r.event, r.label)):
         ok = [r for r in rows if (r.dx + r.dy) % 10 >= r.hard]
         want |= {(*key, r.draw, r.dx, r.dy) for r in ok[: 16 if key[1] else 4]}
     assert {tuple(r) for r in got} == want and len(got) == len(want)
