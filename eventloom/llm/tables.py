@@ -51,10 +51,11 @@ def fields(df: DataFrame) -> str:
 
 def with_lists(df: DataFrame, on: dict[str, Column], lists: DataFrame) -> DataFrame:
     """(the row as one struct, what `lists` (the columns of `on`, and another) has for it or null): whatever the
-    columns of `df` are called, none clashes."""
+    columns of `df` are called, none clashes.  Rows and lists meet in a sort-merge join at every size, so that what a
+    small table shows of its cost holds for a large one, whose lists are too many to be broadcast."""
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(f"{n}_") for n, c in on.items()])
     same = [F.col(f"{n}_") == F.col(n) for n in on]
-    return rows.join(lists, functools.reduce(operator.and_, same), "left").select("_row", *[c for c in lists.columns if c not in on])
+    return rows.join(lists.hint("merge"), functools.reduce(operator.and_, same), "left").select("_row", *[c for c in lists.columns if c not in on])
 
 
 def gapless_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

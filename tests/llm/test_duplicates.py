@@ -169,3 +169,11 @@ def test_blocks_of_a_frequent_shingle(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for k, percent in ((4, 85), (2, 60)):
         assert found(df, near.Jaccard(k, percent, overlap=1)) == links_brute(rows, k, percent)
+
+
+def test_lists_meet_texts_in_one_way_at_every_size(spark, docs):
+    """A broadcast of the lists on small tables alone hid what the join costs on large ones."""
+    for out in (lines.spread_lines(docs, min_sites=2), recompress.drop_repeats(docs.select("doc_id", "text"), window=50)):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
