@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventloom.llm import kernels as K
 from eventloom.llm.components import components
 from eventloom.llm.tables import Scratch, join_frequent
+from eventloom.scratch import release
 
 
 @dataclass(frozen=True)
@@ -192,6 +193,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
         shared = written(own.groupBy("h").agg(F.min("set").alias("x"), F.max("set").alias("y"), F.count("*").alias("often"), *more).where(several).select("h", "often", F.col("often").alias("_n")))
         out = written(join_frequent(own.select("doc", "h"), shared, ["h"], "_n"))
         scratch.drop(shared)
+        release(df.sparkSession)
         return out
 
     parts = [screened(k) for k in range(SLICES)]
@@ -207,7 +209,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
     grouped = written(named.groupBy("n", "name").agg(F.min("doc").alias("leader"), F.min_by("prefix", "doc").alias("prefix")))
     members = named.select("n", "name", "doc").join(grouped.select("n", "name", "leader"), ["n", "name"]).select("n", "leader", "doc")
     groups = grouped.select("n", "leader", "prefix")
-    texts = written(docs.join(ranked.select("doc"), "doc"))
+    texts = written(docs.join(ranked.select("doc").hint("merge"), "doc"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +266,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
         star = star.groupBy(F.col("doc").alias("b")).agg(F.min_by("a", F.struct(_differ("bits", "ba"), "a")).alias("a"))
         links = written(links.union(verify(star.select("a", "b"))))
         turn, before = turn + 1, size["pairs"]
+        release(df.sparkSession)
 
     # Each block of a shingle's groups meets each other block in a task of its own.
     block = lambda x: F.pmod(F.xxhash64(x), F.ceil(F.col("often") / BLOCK))
@@ -273,6 +276,7 @@ def jaccard_components(df: DataFrame, rule: Jaccard = Jaccard(), key: str = "doc
 
     def paired(k: int) -> DataFrame:
         """The pairs at one slice of the shingles: rows with maps and prefixes are wide, so slices go one by one."""
+        release(df.sparkSession)
         own = rows.where(F.pmod(F.xxhash64("h"), F.lit(SLICES)) == k).join(wide, "leader").withColumn("rarer", F.slice("prefix", F.lit(1), F.col("at")))
         one = own.where("lo <> main or hi <> main").select("h", F.col("own").alias("oa"), F.col("radius").alias("ra"), F.col("rarer").alias("ea"), block("leader").alias("p"), every, F.col("leader").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("loa"), F.col("hi").alias("hia"))
         two = own.select("h", F.col("own").alias("ob"), F.col("radius").alias("rb"), F.col("rarer").alias("eb"), block("leader").alias("r"), every.alias("p"), F.col("leader").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lob"), F.col("hi").alias("hib"), ((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main"))).alias("mb"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,6 +41,17 @@ def setting(spark: SparkSession, name: str, value: Any) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def release(spark: SparkSession) -> None:
+    """Gives back what finished queries left in the driver: plans that only cycles of Python objects still hold, their
+    broadcasts and generated classes in the JVM, and pages that Python's allocator keeps.  Jobs of hundreds of queries
+    call it now and then; it takes about as long as a full collection of the driver's heap."""
+    gc.collect()
+    spark._jvm.System.gc()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 class Scratch:
     """The scratch tables and folders of one run.  Results that read them are lazy, so only who made the Scratch may
     delete them, when those results are written; what nobody deletes goes when the driver ends."""

@@ -88,3 +88,18 @@ def test_two_runs_over_one_folder(spark):
     with ThreadPoolExecutor(2) as pool:
         one, two = pool.map(lambda _: corpus_pipeline.run(spark, SF).count(), range(2))
     assert one == two > 0
+
+
+def test_release_frees_plans_held_by_cycles(spark):
+    """Closures of an operator hold its tables in cycles, and with them plans in the driver's JVM."""
+    import weakref
+
+    from eventloom.scratch import release
+
+    df = spark.range(3)
+    held = weakref.ref(df)
+    cycle = [df]
+    cycle.append(cycle)
+    del df, cycle
+    release(spark)
+    assert held() is None
