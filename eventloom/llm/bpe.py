@@ -28,7 +28,7 @@ class Bpe:
         self.pairs = [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
         self.pattern = regex.compile(pattern)
         self.by_token: dict[str, bytes] = {}
-        self.coder = UnitCoder(lambda units: [b"".join([self._token(m) for m in self.pattern.findall(u)]) for u in units])
+        self.coder = UnitCoder(lambda units: [b"".join([self._token(m) for m in self.pattern.findall(u.decode())]) for u in units])
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token.

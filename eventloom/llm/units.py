@@ -17,15 +17,17 @@ from eventloom.llm import kernels as K
 #: Units kept with their ids in each Python worker, unless told otherwise (the first ones met: the frequent
 #: ones are among them), the longest one kept, and how much text is taken at a time, in bytes.
 CACHE_UNITS, CACHE_BYTES, BLOCK = 200_000, 64, 1 << 20
+_WORD = np.array([chr(x).isalnum() and x < 128 for x in range(256)])
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def unit_spans(part: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unit_spans(part: K.Texts, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of units, and the index of each row's first (one more than rows).
 
     A unit begins with ASCII white space after a character that is surely no white space: ASCII, or one
-    whose lead byte no Unicode space has.  Elsewhere units just go on, which is always right.
+    whose lead byte no Unicode space has.  Elsewhere units just go on, which is always right.  cuts (a flag a
+    byte) begin units too, after ASCII letters and digits: a word then is one unit, whatever stop follows it.
     """
     buf, offsets = part.buf, part.offsets
     n = len(buf)
@@ -42,16 +44,18 @@ def unit_spans(part: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sure[3:] |= tail[3:] & (buf[:-3] >= 0xF0)
     begins = np.zeros(n + 1, bool)
     begins[1:-1] = space[1:] & sure[:-1]
+    if cuts is not None:
+        begins[1:-1] |= cuts[buf[1:]] & _WORD[buf[:-1]]
     begins[offsets] = True
     starts = np.flatnonzero(begins[:-1])
     return starts, np.append(starts[1:], n), np.searchsorted(starts, offsets)
 
 
 class UnitCoder:
-    """Encodes columns of texts by an encoder of distinct units (their ids as unsigned 32-bit integers)."""
+    """Encodes columns of texts by an encoder of distinct units (UTF-8; their ids as unsigned 32-bit integers)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], cache_units: int = CACHE_UNITS):
-        self.encode, self.cache_units = encode, cache_units
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], cache_units: int = CACHE_UNITS, cuts: np.ndarray | None = None):
+        self.encode, self.cache_units, self.cuts = encode, cache_units, cuts
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, keys: list[bytes]) -> list[bytes]:
@@ -59,7 +63,7 @@ class UnitCoder:
         found = list(map(known.get, keys))
         holes = [i for i, x in enumerate(found) if x is None]
         if holes:
-            for i, ids in zip(holes, self.encode([keys[i].decode() for i in holes]), strict=True):
+            for i, ids in zip(holes, self.encode([keys[i] for i in holes]), strict=True):
                 found[i] = ids
                 if len(keys[i]) <= CACHE_BYTES and len(known) < self.cache_units:
                     known[keys[i]] = ids
@@ -68,11 +72,11 @@ class UnitCoder:
     def column(self, column: pa.Array | pa.ChunkedArray, end: bytes = b"") -> Iterator[tuple[int, bytes]]:
         """(row, ids and `end`) of each text, in order; null counts as empty."""
         for part in K.blocks(column, BLOCK):
-            starts, ends, first = unit_spans(part)
+            starts, ends, first = unit_spans(part, self.cuts)
             at, inverse = K.classes(part.buf, starts, ends)
             raw = part.buf.tobytes()
             ids = self._ids([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-            counts = np.array([len(x) // 4 for x in ids], np.int64)
+            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             table = np.frombuffer(b"".join(ids), "<u4")
             own = counts[inverse]
             stop = np.cumsum(own)

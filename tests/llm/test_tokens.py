@@ -182,3 +182,13 @@ def test_chain_of_leaves_holds_one_hash_a_power_of_two():
         assert len(chain.peaks) == n.bit_count()
         chains.append(chain.root())
     assert len(set(chains)) == 70
+
+
+def test_words_are_encoded_once_whatever_stop_follows():
+    coder, library = tokens.coder(JSON), Tokenizer.from_file(JSON)
+    rnd, bits = random.Random(5), [*"aZé漢3 .,;:!?'|<>-\n\t\xa0", "'s", "'ll", "<|endoftext|>", "word", "3.14", "...", "!?", "it's.", "x,y", "\x85", " "]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(60))) for _ in range(2000)] + ["", None, ".", "a.", ".a", " a .b"]
+    got = [np.frombuffer(raw, "<u4").tolist() for _, raw in coder.column(pa.array(texts, pa.string()))]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    list(coder.column(pa.array(["x zyxwvutty, x zyxwvutty. x zyxwvutty! x zyxwvutty"])))
+    assert [u for u in coder.known if b"zyxwvutty" in u] == [b" zyxwvutty"]
