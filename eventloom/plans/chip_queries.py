@@ -28,8 +28,10 @@ def ratio_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = chips(spark, sf_dir).select("chip_id", "px")
     pair = a.join(a.select((F.col("chip_id") - 1).alias("chip_id"), F.col("px").alias("next")), "chip_id")
     d = C.band_ratio_difference("px", "next", "next", "px")
-    small = F.zip_with(F.zip_with("px", "next", lambda x, y: F.abs(x + y) > 0.05), d, lambda ok, v: F.when(ok, v))
-    return pair.select("chip_id", F.round(total(small), 1).alias("total"))
+    large = F.zip_with(F.zip_with("px", "next", lambda x, y: F.abs(x + y) > 0.05), d, lambda ok, v: F.when(ok, v))
+    # The sum is rounded once, at the end; a chip without any such pixel has no row, and one id has one row.
+    kept = pair.select("chip_id", F.filter(large, lambda v: v.isNotNull()).alias("kept")).where(F.size("kept") > 0)
+    return kept.groupBy("chip_id").agg(F.round(F.sum(F.aggregate("kept", F.lit(0.0), lambda s, v: s + v)), 1).alias("total"))
 
 
 @query("WITH " + PIXELS + " SELECT chip_id // 3 AS k, round(sum(v), 4) AS total, count(*) AS n FROM px WHERE chip_id // 3 IN (SELECT chip_id // 3 FROM px GROUP BY 1 HAVING count(DISTINCT chip_id) = 3) GROUP BY 1")

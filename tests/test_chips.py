@@ -99,3 +99,22 @@ def test_separability_needs_enough_pixels(spark):
     df = spark.createDataFrame([(1, 0, px, [1.0] * 10 + [0.0] * 30), (2, 0, px, few)], "chip_id int, band int, px array<double>, mask array<double>")
     got = {r.chip_id: r for r in C.separability(df, ["chip_id", "band"], "px", "mask").collect()}
     assert got[1].d_m == pytest.approx((24.5 - 4.5) / np.std(np.arange(10, 40))) and got[2].d_m is None and got[2].n_bands == 0
+
+
+def test_ratio_changes_round_once(spark, tmp_path):
+    """A sum a little below a half, one that is above it, chips without a pixel that counts, and an id that comes twice."""
+    import duckdb
+
+    from eventloom.plans.queries import QUERIES, SQL
+
+    def chip(r=None, n=1):
+        return [0.0] * 64 if r is None else [(1 - r) / (1 + r)] * n + [0.0] * (64 - n)
+
+    ones = [1.0] * 64
+    rows = [(0, ones), (1, chip(0.124998)), (10, ones), (11, chip(0.125002)), (20, chip()), (21, chip()), (30, ones), (30, ones), (31, chip(0.2, 3))]
+    spark.createDataFrame([(k, [float(x) for x in v], 0) for k, v in rows], "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(SQL["ratio_changes"]).fetchall())
+    assert sorted((r.chip_id, r.total) for r in QUERIES["ratio_changes"](spark, str(tmp_path)).select("chip_id", "total").collect()) == want
+    assert [k for k, _ in want] == [0, 10, 30]
