@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -96,39 +98,66 @@ def usage_once(rows: DataFrame, time: str, delay: str, keys: Sequence[str]) -> D
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def t0_gate_stream(rows: DataFrame, event: str, time: str, delay: str, wait_ms: int) -> DataFrame:
+def _packed(df: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(df, schema=_WAITING, preserve_index=False)
+    with pa.ipc.new_stream(sink, _WAITING, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+#: A slice's state in `t0_gate_stream`: a row for each waiting row, and one for each event whose t0 is known (0 or 1).
+_WAITING = pa.schema([("event", pa.string()), ("timepoint", pa.string()), ("waits", pa.bool_()), ("t0", pa.int8()), ("due", pa.int64())])
+
+
+def t0_gate_stream(rows: DataFrame, event: str, time: str, delay: str, wait_ms: int, slices: int = 256) -> DataFrame:
     """Rows of other timepoints wait for their event's t0: then `proceed` or `skip_t0_failed`; after
     wait_ms of event time without one, `skip_t0_failed`.  A t0 is known for as long.
 
-    rows: event, timepoint, ok, time.  State: the waiting rows of one event, a handful of timepoints.
+    rows: event, timepoint, ok, time.  Events are dealt to `slices` by hash, and a batch handles all events of a slice
+    at once: Python is called once for a slice, not once for an event.  State: the waiting rows and known t0s of a
+    slice's events, packed; it is written again when rows of the slice come or its first wait ends.  A slice should
+    have some ten thousands of waiting events at most.
     """
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        t0, waiting = state.get if state.exists else (None, [])
-        waiting, out, latest = list(waiting or []), [], 0
-        if state.hasTimedOut:
+        mark = state.getCurrentWatermarkMs()
+        old = pa.ipc.open_stream(bytes(state.get[0])).read_all().to_pandas() if state.exists else _WAITING.empty_table().to_pandas()
+        new = [] if state.hasTimedOut else [f for f in frames if len(f)]
+        new = pd.concat(new) if new else pd.DataFrame(columns=["event", "timepoint", "ok", "_ms"])
+        codes, events = pd.factorize(np.concatenate([old["event"].to_numpy(object), new["event"].to_numpy(object)]))
+        n = len(events)
+        codes = np.where(codes < 0, n, codes)  # rows of no event: no t0 is theirs
+        before, now = codes[: len(old)], codes[len(old) :]
+        t0, due, latest, seen = np.full(n + 1, -1), np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64), np.zeros(n + 1, bool)
+        t0[before], due[before], seen[now] = old["t0"], old["due"], True
+        is_t0, ok = (new["timepoint"] == "t0").to_numpy(bool), new["ok"].eq(True).fillna(False).to_numpy(bool)
+        t0[now[is_t0]] = ok[is_t0]  # of several, the last
+        t0[n] = -1
+        # Every wait ends: it counts from the watermark, or from the rows' times before there is one.
+        np.maximum.at(latest, now, new["_ms"].fillna(0).to_numpy(np.int64))
+        due[seen] = np.maximum(mark, latest[seen]) + wait_ms
+        over = ~seen & (due < mark)
+        waits = old["waits"].to_numpy(bool)
+        at = np.concatenate([before[waits], now[~is_t0]])
+        names = np.concatenate([old["timepoint"].to_numpy(object)[waits], new["timepoint"].to_numpy(object)[~is_t0]])
+        named = np.append(events.astype(object), None)
+        told = (t0[at] >= 0) | over[at]
+        out = pd.DataFrame({"event": named[np.concatenate([now[is_t0], at[told]])], "timepoint": np.concatenate([new["timepoint"].to_numpy(object)[is_t0], names[told]])})
+        out["gate"] = np.concatenate([np.where(ok[is_t0], "t0_ok", "t0_failed"), np.where(t0[at[told]] == 1, "proceed", "skip_t0_failed")])
+        known = np.flatnonzero((t0 >= 0) & ~over)
+        left, place = at[~told], np.concatenate([at[~told], known])
+        if len(place):
+            kept = pd.DataFrame({"event": named[place], "timepoint": np.concatenate([names[~told], np.full(len(known), None)]), "waits": np.arange(len(place)) < len(left), "t0": t0[place].astype(np.int8), "due": due[place]})
+            state.update((_packed(kept),))
+            state.setTimeoutTimestamp(int(due[place].min()))
+        elif state.exists:
             state.remove()
-            if waiting:
-                yield pd.DataFrame({"event": key[0], "timepoint": waiting, "gate": "skip_t0_failed"}).astype(str)
-            return
-        for frame in frames:
-            latest = max(latest, int(frame[time].max().timestamp() * 1000))
-            for name, ok in zip(frame["timepoint"], frame["ok"], strict=True):
-                if name == "t0":
-                    t0 = bool(ok)
-                    out.append(("t0", "t0_ok" if t0 else "t0_failed"))
-                else:
-                    waiting.append(name)
-        if t0 is not None:
-            out += [(w, "proceed" if t0 else "skip_t0_failed") for w in waiting]
-            waiting = []
-        # Every state ends: the wait counts from the watermark, or from the rows' times before there is one.
-        state.update((t0, waiting))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), latest) + wait_ms)
-        if out:
-            yield pd.DataFrame([(str(key[0]), a, b) for a, b in out], columns=["event", "timepoint", "gate"])
-
-    keyed = rows.withWatermark(time, delay).select(F.col(event).cast("string").alias("event"), "timepoint", "ok", time)
-    return keyed.groupBy("event").applyInPandasWithState(step, "event string, timepoint string, gate string", "t0 boolean, waiting array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+        if len(out):
+            yield out
+
+    keyed = rows.withWatermark(time, delay).select(F.col(event).cast("string").alias("event"), "timepoint", "ok", time, F.unix_millis(F.col(time)).alias("_ms"))
+    keyed = keyed.withColumn("_slice", F.pmod(F.xxhash64("event"), F.lit(slices)))
+    return keyed.groupBy("_slice").applyInPandasWithState(step, "event string, timepoint string, gate string", "waiting binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def match_streams(events: DataFrame, products: DataFrame, key: str, event_time: str, product_time: str, window: str, delay: str) -> DataFrame:

@@ -154,6 +154,28 @@ def test_gate_gives_up_without_t0(spark, tmp_path):
     assert {(r.event, r.timepoint, r.gate) for r in out.collect()} == {("e1", "prev1", "skip_t0_failed"), ("e1", "year", "skip_t0_failed"), ("e2", "t0", "t0_ok"), ("e2", "prev1", "proceed"), ("e9", "t0", "t0_ok")}
 
 
+def test_gate_handles_many_events_at_once(spark, tmp_path):
+    """Python and the state have slices of the events, not an event each; rows of no event have no t0."""
+    schema = "event string, timepoint string, ok boolean, at timestamp"
+    source = f"{tmp_path}/in"
+    n = 2000
+    others = [(str(i), t, True, at(i % 7)) for i in range(n) for t in ("prev1", "year")] + [(None, "prev1", True, at(1))]
+    t0s = [(str(i), "t0", None if i % 3 == 0 else i % 3 == 1, at(8)) for i in range(n) if i % 5] + [(None, "t0", True, at(8))]
+    late = [(str(i), "next", True, at(9)) for i in range(0, n, 2)]
+    for rows in (others, t0s, late, [("clock", "t0", True, at(6000))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    gated = jobs.t0_gate_stream(jobs.new_files(spark, source, schema, files_per_batch=1), "event", "at", "1 hour", 3_600_000)
+    query = jobs.run_available(gated.writeStream.format("memory").queryName("many").outputMode("append"), f"file://{tmp_path}/check")
+    want = [("clock", "t0", "t0_ok"), (None, "t0", "t0_ok"), (None, "prev1", "skip_t0_failed")]
+    for i in range(n):
+        passed = i % 5 > 0 and i % 3 == 1
+        want += [(str(i), t, "proceed" if passed else "skip_t0_failed") for t in ("prev1", "year", *["next"] * (i % 2 == 0))]
+        want += [(str(i), "t0", "t0_ok" if passed else "t0_failed")] * (i % 5 > 0)
+    assert sorted((r.event or "", r.timepoint, r.gate) for r in spark.table("many").collect()) == sorted((e or "", t, g) for e, t, g in want)
+    kept = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(kept) <= 256 and kept[-1] == 1
+
+
 def test_stream_match(spark, tmp_path):
     a, b = f"{tmp_path}/a", f"{tmp_path}/b"
     spark.createDataFrame([(1, "k", at(0)), (2, "k", at(600))], "event_id long, k string, ts timestamp").coalesce(1).write.parquet(a)
