@@ -88,10 +88,14 @@ def polygon_cells(df: DataFrame, vertices: str) -> DataFrame:
     return df.where(F.col("_touched") | geo.in_polygon(F.col("_cs") + half, F.col("_cw") + half, v)).withColumn("_inner", ~F.col("_touched")).drop("_touched", *_OWN)
 
 
+def with_point_cells(points: DataFrame, lat: str, lon: str) -> DataFrame:
+    """A row for each of the point's cells."""
+    return points.withColumn("_cell", F.explode(point_cells(F.col(lat).cast("double"), F.col(lon).cast("double")))).select(*points.columns, "_cell.*")
+
+
 def _joined(points: DataFrame, shapes: DataFrame, on: Sequence[str], lat: str, lon: str, exact: Column) -> DataFrame:
     """shapes: with _grid, _row, _col, _inner."""
-    left = points.withColumn("_cell", F.explode(point_cells(F.col(lat).cast("double"), F.col(lon).cast("double")))).select(*points.columns, "_cell.*")
-    return left.join(shapes, [*on, "_grid", "_row", "_col"]).where(F.col("_inner") | exact).drop("_grid", "_row", "_col", "_inner")
+    return with_point_cells(points, lat, lon).join(shapes, [*on, "_grid", "_row", "_col"]).where(F.col("_inner") | exact).drop("_grid", "_row", "_col", "_inner")
 
 
 def points_in_boxes(points: DataFrame, shapes: DataFrame, lat: str, lon: str, bounds: Column, pad: float = 0.0, on: Sequence[str] = ()) -> DataFrame:

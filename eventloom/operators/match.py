@@ -12,11 +12,14 @@ import operator
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from eventloom.functions import geo
 from eventloom.functions.temporal import micros
 from eventloom.operators import cover
 
@@ -229,9 +232,82 @@ def in_footprint(events: DataFrame, products: DataFrame, names: Names, lat: str,
     return closest(pairs.withColumn("dt_us", micros(names.product_time) - micros(names.time)).drop("_day"), names)
 
 
+def _first_inside(low: np.ndarray, high: np.ndarray, y: np.ndarray, x: np.ndarray, t: np.ndarray, w: np.ndarray, s: np.ndarray, e: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of points (y, x): the place of the first box, in the boxes' order, that holds the point and whose time is in [low, high];
+    -1 without any.  t ascends.  Boxes are looked at in growing steps, only by points that have none so far."""
+    found, at, end = np.full(len(y), -1), np.searchsorted(t, low, "left"), np.searchsorted(t, high, "right")
+    todo, step = np.flatnonzero(at < end), 32
+    while len(todo):
+        for k in range(0, len(todo), max(1, (1 << 18) // step)):
+            own = todo[k : k + max(1, (1 << 18) // step)]
+            place = at[own][:, None] + np.arange(step)
+            box = np.minimum(place, len(t) - 1)
+            point, column = np.nonzero((place < end[own][:, None]) & (s[box] <= y[own][:, None]) & (y[own][:, None] <= n[box]))
+            box, lon = box[point, column], x[own[point]]
+            around = np.logical_or.reduce([(w[box] <= v) & (v <= e[box]) for v in (lon, lon + 360, lon - 360)])
+            held = np.where(w[box] <= e[box], around, (lon >= w[box]) | (lon <= e[box]))
+            first, where = np.unique(point[held], return_index=True)
+            found[own[first]] = box[held][where]
+        at[todo] += step
+        todo, step = todo[(found[todo] < 0) & (at[todo] < end[todo])], min(step * 2, 1 << 12)
+    return found
+
+
 def first_covering(events: DataFrame, products: DataFrame, names: Names, lat: str, lon: str, bounds: Column, hours: float = 24.0) -> DataFrame:
-    """The earliest product within the hours whose box covers the point."""
-    return best_pair(in_window_and_box(events, products, names, hours / 24, hours / 24, lat, lon, bounds), names, [micros(names.product_time)])
+    """The earliest product within the hours whose box covers the point.
+
+    Events and products, in one table, meet by bucket of time and cell of space as in `in_window_and_box`, but no pair
+    is formed: the products of a bucket and cell are swept in order of time, and each event takes the first that
+    covers it.  An event has a row in two buckets at most, so the pairs aggregated in the end are few.
+    """
+    left, right, _ = _sides(events, products, names, hours / 24, hours / 24, 0.0, True)
+    groups = ["_bucket", *names.keys, "_grid", "_row", "_col"]
+    boxes = cover.box_cells(cover.computed(right, _b=bounds), F.col("_b"))
+    used = boxes.select("_grid").distinct()  # five rows at most
+    points = cover.with_point_cells(left, lat, lon).join(F.broadcast(used), "_grid", "left_semi")
+    y, x = F.col(lat).cast("double"), geo.lon180(F.col(lon).cast("double"))
+    edges = ["w", "s", "e", "n"]
+    nothing = F.lit(None).cast("double")
+    p = boxes.select(*groups, F.lit(0).alias("_kind"), F.col("_at").alias("_t"), F.lit(None).cast("long").alias("_end"), *[F.col("_b")[k].alias(f"_{k}") for k in edges], nothing.alias("_y"), nothing.alias("_x"), F.struct(*products.columns).alias("_product"), F.lit(None).cast(events.schema).alias("_event"))
+    e = points.select(*groups, F.lit(1).alias("_kind"), F.col("_low").alias("_t"), F.col("_high").alias("_end"), *[nothing.alias(f"_{k}") for k in edges], y.alias("_y"), x.alias("_x"), F.lit(None).cast(products.schema).alias("_product"), F.struct(*events.columns).alias("_event"))
+    # Products come first in their bucket and cell, by time and then by id.
+    swept = p.unionByName(e).where(functools.reduce(operator.and_, [F.col(g).isNotNull() for g in groups])).repartition(*groups).sortWithinPartitions(*groups, "_kind", "_t", F.col(f"_product.{names.product}"))
+    k = len(groups)
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, held = None, [], None
+        for batch in batches:
+            size = batch.num_rows
+            if not size:
+                continue
+            number = lambda name, b=batch: b.column(name).to_numpy(zero_copy_only=False)
+            new = np.zeros(size - 1, bool)
+            for c in batch.columns[:k]:
+                new |= pc.not_equal(c.slice(1), c.slice(0, size - 1)).to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            ends, kind = np.append(starts[1:], size), number("_kind")
+            n_products = np.add.reduceat(kind == 0, starts, dtype=np.int64)
+            # Cells without a product are passed over, but for the first, which may go on from before, and the last.
+            for g in np.unique([0, *np.flatnonzero(n_products), len(starts) - 1]):
+                start, middle, end = starts[g], starts[g] + n_products[g], ends[g]
+                group = tuple(c[start].as_py() for c in batch.columns[:k])
+                if group != current:
+                    current, parts, held = group, [], None
+                if middle > start:
+                    parts.append(batch.slice(start, middle - start))
+                if end == middle or not parts:
+                    continue
+                if held is None:
+                    table = pa.Table.from_batches(parts).combine_chunks()
+                    held = [table.column(c).to_numpy() for c in ("_t", *[f"_{x}" for x in edges])], table.column("_product").combine_chunks()
+                at = _first_inside(*[number(c)[middle:end] for c in ("_t", "_end", "_y", "_x")], *held[0])
+                some = np.flatnonzero(at >= 0)
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([batch.column("_event").take(pa.array(middle + some)), held[1].take(pa.array(at[some]))], ["_event", "_product"])
+
+    first = swept.mapInArrow(sweep, StructType([StructField("_event", events.schema), StructField("_product", products.schema)]))
+    pairs = first.select("_event.*", *[F.col("_product")[c].alias(c) for c in products.columns if c not in names.keys])
+    return best_pair(pairs.withColumn("dt_us", micros(names.product_time) - micros(names.time)), names, [micros(names.product_time)])
 
 
 def two_sensor_pairs(events: DataFrame, a: DataFrame, b: DataFrame, names: Names, hours: float) -> DataFrame:

@@ -144,10 +144,10 @@ def concave_footprint_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE event_id % 90 BETWEEN product_id % 60 AND product_id % 60 + 20 AND event_id % 180 BETWEEN product_id % 100 AND product_id % 100 + 50) SELECT event_id, product_id FROM m WHERE r = 1""")
 def first_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first product within the hour whose box covers the point; no common key, only time."""
-    events = errors(spark, sf_dir).drop("user_id").withColumn("lat", (F.col("event_id") % 90).cast("double")).withColumn("lon", (F.col("event_id") % 180).cast("double"))
+    events = errors(spark, sf_dir).select("event_id", "ts", (F.col("event_id") % 90).cast("double").alias("lat"), (F.col("event_id") % 180).cast("double").alias("lon"))
     s, w = F.col("product_id") % 60, F.col("product_id") % 100
-    pr = products(spark, sf_dir).withColumn("b", geo.box(w, s, w + 50, s + 20))
-    return match.first_covering(events.where("lon < 180"), pr, match.Names(), "lat", "lon", F.col("b"), 1.0).select("event_id", "product_id")
+    pr = products(spark, sf_dir).select("product_id", "acq_time")
+    return match.first_covering(events.where("lon < 180"), pr, match.Names(), "lat", "lon", geo.box(w, s, w + 50, s + 20), 1.0).select("event_id", "product_id")
 
 
 @query("""WITH ROLES, a AS (SELECT event_id, product_id AS product_a, abs(epoch_us(acq_time) - epoch_us(ts)) AS d FROM er JOIN pr USING (user_id) WHERE sensor = 'S2' AND abs(epoch_us(acq_time) - epoch_us(ts)) <= 43200000000),

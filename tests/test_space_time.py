@@ -169,6 +169,34 @@ def test_points_in_boxes(spark):
         assert {(r.pid, r.bid) for r in rows} == want and len(rows) == len(want) > 300
 
 
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_first_covering_forms_few_pairs(spark, monkeypatch, batch):
+    """Against all pairs; what is aggregated in the end are two rows an event at most, not every pair."""
+    from eventloom.scratch import setting
+
+    rnd = random.Random(11)
+    products = [(i, rnd.choice("ab"), rnd.randrange(60) * HOUR // 2, rnd.uniform(-180, 180), rnd.uniform(-90, 60), rnd.choice([3.0, 40.0, 350.0]), rnd.choice([2.0, 30.0])) for i in range(400)]
+    products = [(i, g, t, w, s, w + a - 360 if w + a > 180 else w + a, s + b) for i, g, t, w, s, a, b in products] + [(900, "a", None, 0.0, 0.0, 9.0, 9.0), (901, None, HOUR, -180.0, -90.0, 180.0, 90.0)]
+    products += [(1000 + i, "c", 100 * HOUR + i % 9, -10.0, -10.0, 10.0, 10.0) for i in range(300)]  # one cell's crowd, with ties
+    events = [(i, rnd.choice("abz"), rnd.randrange(60) * HOUR // 2, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(200)]
+    events += [(500 + k, "a", t, y, x) for k, (t, y, x) in enumerate([(None, 1.0, 1.0), (HOUR, None, 1.0), (HOUR, 1.0, None), (HOUR, 90.0, 180.0)])] + [(501 + i, "c", 100 * HOUR, i % 12 * 1.0, 5.0) for i in range(300)]
+    e = times(spark, events, "event_id long, g string, ts long, lat double, lon double", "ts")
+    p = times(spark, products, "product_id long, g string, acq_time long, w double, s double, e double, n double", "acq_time")
+    names, bounds = match.Names(keys=("g",)), geo.box(F.col("w"), F.col("s"), F.col("e"), F.col("n"))
+    near = F.abs(F.unix_micros("acq_time") - F.unix_micros("ts")) <= 5 * HOUR
+    pairs = e.join(p, "g").where(near & geo.in_box(F.col("lat"), F.col("lon"), bounds))
+    want = {r.event_id: r.b.product_id for r in pairs.groupBy("event_id").agg(F.min(F.struct("acq_time", "product_id")).alias("b")).collect()}
+    last, seen = match.best_pair, []
+    monkeypatch.setattr(match, "best_pair", lambda rows, *more: seen.append(rows) or last(rows, *more))
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", batch):
+        got = match.first_covering(e, p, names, "lat", "lon", bounds, 5.0)
+        assert {"event_id", "g", "ts", "lat", "lon", "product_id", "acq_time", "w", "s", "e", "n", "dt_us"} == set(got.columns)
+        rows = got.collect()
+        assert {r.event_id: r.product_id for r in rows} == want and len(rows) == len(want) > 300
+        assert all(r.dt_us == (r.acq_time - r.ts) / dt.timedelta(microseconds=1) for r in rows)
+        assert seen[0].count() <= 2 * len(events) < pairs.count()
+
+
 def test_boxes_that_meet(spark):
     rnd = random.Random(10)
     make = lambda n: [(i, (w := rnd.uniform(-170, 150)), (s := rnd.uniform(-80, 70)), w + rnd.choice([0.0, 1.0, 15.0]), s + rnd.choice([0.0, 2.0, 9.0])) for i in range(n)]
