@@ -265,13 +265,16 @@ def first_covering(events: DataFrame, products: DataFrame, names: Names, lat: st
     boxes = cover.box_cells(cover.computed(right, _b=bounds), F.col("_b"))
     used = boxes.select("_grid").distinct()  # five rows at most
     points = cover.with_point_cells(left, lat, lon).join(F.broadcast(used), "_grid", "left_semi")
-    y, x = F.col(lat).cast("double"), geo.lon180(F.col(lon).cast("double"))
     edges = ["w", "s", "e", "n"]
-    nothing = F.lit(None).cast("double")
-    p = boxes.select(*groups, F.lit(0).alias("_kind"), F.col("_at").alias("_t"), F.lit(None).cast("long").alias("_end"), *[F.col("_b")[k].alias(f"_{k}") for k in edges], nothing.alias("_y"), nothing.alias("_x"), F.struct(*products.columns).alias("_product"), F.lit(None).cast(events.schema).alias("_event"))
-    e = points.select(*groups, F.lit(1).alias("_kind"), F.col("_low").alias("_t"), F.col("_high").alias("_end"), *[nothing.alias(f"_{k}") for k in edges], y.alias("_y"), x.alias("_x"), F.lit(None).cast(products.schema).alias("_product"), F.struct(*events.columns).alias("_event"))
+    p = boxes.select(*groups, *[F.col("_b")[k].alias(f"_{k}") for k in edges], F.struct(*products.columns).alias("_product"), F.lit(None).cast(events.schema).alias("_event"))
+    e = points.select(*groups, *[F.lit(None).cast("double").alias(f"_{k}") for k in edges], F.lit(None).cast(products.schema).alias("_product"), F.struct(*events.columns).alias("_event"))
+    # What follows from a row's own columns is computed after the shuffle.
+    met = p.unionByName(e).where(functools.reduce(operator.and_, [F.col(g).isNotNull() for g in groups])).repartition(*groups)
+    reach = int(hours / 24 * DAY)
+    near = micros(F.col("_event")[names.time])
+    own = {"_kind": F.col("_event").isNotNull().cast("int"), "_t": F.coalesce(micros(F.col("_product")[names.product_time]), near - reach), "_end": near + reach, "_y": F.col("_event")[lat].cast("double"), "_x": geo.lon180(F.col("_event")[lon].cast("double"))}
     # Products come first in their bucket and cell, by time and then by id.
-    swept = p.unionByName(e).where(functools.reduce(operator.and_, [F.col(g).isNotNull() for g in groups])).repartition(*groups).sortWithinPartitions(*groups, "_kind", "_t", F.col(f"_product.{names.product}"))
+    swept = met.withColumns(own).sortWithinPartitions(*groups, "_kind", "_t", F.col("_product")[names.product])
     k = len(groups)
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
